@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
+from shopfloor.functions.rules import CATEGORY_FAMILIES, DEFAULT_FAMILY
 from shopfloor.config import (
     AGE_MAX, AGE_MIN, DEFAULT_PARAMS, GENDERS, PAYMENT_METHODS, PRICE_MAX, PRICE_MIN, SCD2_TRACK,
     STORE_STATUSES,
@@ -392,6 +393,37 @@ QUERIES: dict[str, tuple[str, list[str]]] = {
 }
 
 
+_FAMILY = ("CASE " + " ".join(f"WHEN regexp_matches(lower(name), '{'|'.join(words)}') THEN '{fam}'"
+                              for fam, words in CATEGORY_FAMILIES) + f" ELSE '{DEFAULT_FAMILY}' END")
+_TAX_RATE = "CAST(CASE WHEN unit_price <= 1000 THEN 0.05 ELSE 0.12 END AS DECIMAL(4,2))"
+
+QUERIES.update({
+    "j8_orphans": (" UNION ALL ".join(
+        f"SELECT b.*, '{name}' AS missing_dimension FROM bronze_sales b WHERE NOT EXISTS "
+        f"(SELECT 1 FROM {name}_current d WHERE d.{key} = b.{key})"
+        for name, key in (("stores", "store_id"), ("customers", "customer_id"), ("products", "product_id"))),
+        ["bronze_sales", "stores_current", "customers_current", "products_current"]),
+    "w4_ntile_orders": ("SELECT o_orderkey, o_totalprice, CAST(ntile(5) OVER (ORDER BY o_totalprice DESC, "
+                        "o_orderkey ASC) AS INTEGER) AS price_tile FROM orders", []),
+    "d1_d2_amount_tax": (
+        f"SELECT transaction_id, product_id, quantity, unit_price, la_ AS line_amount, lt_ AS line_tax, "
+        f"la_ = total_amount AS amount_ok, lt_ = tax_amount AS tax_ok FROM ("
+        f"SELECT *, CAST(round({money('la_')} * {_TAX_RATE}, 2) AS DOUBLE) AS lt_ FROM ("
+        f"SELECT *, CAST(round({money('unit_price')} * quantity, 2) AS DOUBLE) AS la_ FROM feed_sales))",
+        ["feed_sales"]),
+    "d3_d4_product_attributes": (
+        f"SELECT product_id, name, string_split(name, ' ')[1] AS name_color, "
+        f"string_split(name, ' ')[-2] AS name_size, {_FAMILY} AS category_family FROM feed_products",
+        ["feed_products"]),
+    "d5_single_line_address": ("SELECT customer_id, replace(address, chr(10), ', ') AS address "
+                               "FROM feed_customers", ["feed_customers"]),
+    "s12_existing_customer_keys": ("SELECT DISTINCT customer_id FROM feed_customers "
+                                   "WHERE customer_id IS NOT NULL", ["feed_customers"]),
+    "s13_next_transaction_id": ("SELECT CAST(coalesce(max(transaction_id), 0) + 1 AS BIGINT) "
+                                "AS next_transaction_id FROM feed_sales", ["feed_sales"]),
+})
+
+
 def _closure(deps: list[str]) -> list[str]:
     seen: list[str] = []
 

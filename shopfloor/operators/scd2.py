@@ -36,6 +36,10 @@ START, END = "__START_AT", "__END_AT"
 _CHUNK = "_chunk"
 
 
+def _quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _seq_number(df: DataFrame, seq: str) -> Column:
     dtype = df.schema[seq].dataType
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
@@ -102,86 +106,90 @@ def scd2(
     # The input count (no shuffle) bounds the deduplicated count.
     rows, hot = _assign_chunks(rows, changes.count(), keys, seq, hot_rows, max_hot_keys, chunks)
     part = [*keys, _CHUNK]
-    # One shuffle on (key, chunk); every later window and broadcast join keeps it.
-    rows = rows.repartition(*[F.col(c) for c in part])
-
-    w = Window.partitionBy(*part).orderBy(seq)
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*part)
-    local = [F.col(c) for c in [*keys, seq, _CHUNK]]
+    # The first window shuffles on (key, chunk); later windows and the
+    # broadcast joins keep that partitioning.
+
+    q = _quote
+    kp = ", ".join(q(c) for c in part)
+    ks = ", ".join(q(c) for c in keys)
+    w = f"(PARTITION BY {kp} ORDER BY {q(seq)}"
+    upto = f"{w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    before = f"{w} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    whole = f"(PARTITION BY {kp})"
+    nn = "CASE WHEN {c} IS NOT NULL THEN " + q(seq) + " END"
+    local = [q(c) for c in [*keys, seq, _CHUNK]]
     for c in cols:
         if ignore_null_updates:
-            local.append(F.last(c, ignorenulls=True).over(upto).alias(f"_lf_{c}"))
-            local.append(F.last(c, ignorenulls=True).over(before).alias(f"_plf_{c}"))
-            local.append(F.max_by(c, F.when(F.col(c).isNotNull(), F.col(seq))).over(whole)
-                         .alias(f"_end_{c}"))
+            local += [f"last({q(c)}, true) OVER {upto} AS {q('_lf_' + c)}",
+                      f"last({q(c)}, true) OVER {before} AS {q('_plf_' + c)}",
+                      f"max_by({q(c)}, {nn.format(c=q(c))}) OVER {whole} AS {q('_end_' + c)}"]
         else:
-            local.append(F.col(c).alias(f"_lf_{c}"))
-            local.append(F.lag(c).over(w).alias(f"_plf_{c}"))
-            local.append(F.max_by(c, seq).over(whole).alias(f"_end_{c}"))
-    local.append((F.row_number().over(w) == 1).alias("_first"))
-    scanned = rows.select(*local)
+            local += [f"{q(c)} AS {q('_lf_' + c)}",
+                      f"lag({q(c)}) OVER {w}) AS {q('_plf_' + c)}",
+                      f"max_by({q(c)}, {q(seq)}) OVER {whole} AS {q('_end_' + c)}"]
+    local.append(f"row_number() OVER {w}) = 1 AS _first")
+    # The first window shuffles on (key, chunk); the later window and the
+    # broadcast joins keep that partitioning.
+    scanned = rows.selectExpr(*local)
 
     if hot is not None:
         # Per-chunk summary of hot keys: what the chunk leaves behind.
-        hot_rows_df = rows.join(F.broadcast(hot), keys, "left_semi")
         if ignore_null_updates:
-            leave = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col(seq))).alias(f"_x_{c}") for c in cols]
+            leave = [f"max_by({q(c)}, {nn.format(c=q(c))}) AS {q('_x_' + c)}" for c in cols]
         else:
-            leave = [F.max_by(c, seq).alias(f"_x_{c}") for c in cols]
-        summary = hot_rows_df.groupBy(*part).agg(*leave)
-        over_chunks = Window.partitionBy(*keys).orderBy(_CHUNK)
-        prior = over_chunks.rowsBetween(Window.unboundedPreceding, -1)
-        every = over_chunks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        out = [F.col(c) for c in part]
+            leave = [f"max_by({q(c)}, {q(seq)}) AS {q('_x_' + c)}" for c in cols]
+        summary = (rows.join(F.broadcast(hot), keys, "left_semi")
+                   .groupBy(*part).agg(*[F.expr(e) for e in leave]))
+        oc = f"(PARTITION BY {ks} ORDER BY {q(_CHUNK)}"
+        out = [q(c) for c in part]
         for c in cols:
+            x = q("_x_" + c)
             if ignore_null_updates:
-                out.append(F.last(f"_x_{c}", ignorenulls=True).over(prior).alias(f"_carry_{c}"))
-                out.append(F.last(f"_x_{c}", ignorenulls=True).over(every).alias(f"_final_{c}"))
+                out += [f"last({x}, true) OVER {oc} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS {q('_carry_' + c)}",
+                        f"last({x}, true) OVER {oc} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS {q('_final_' + c)}"]
             else:
-                out.append(F.lag(f"_x_{c}").over(over_chunks).alias(f"_carry_{c}"))
-                out.append(F.last(f"_x_{c}").over(every).alias(f"_final_{c}"))
-        out.append(F.lag(_CHUNK).over(over_chunks).isNotNull().alias("_has_prior"))
-        out.append(F.lit(True).alias("_hot"))
-        carries = summary.select(*out)
-        scanned = scanned.join(F.broadcast(carries), part, "left")
-    else:
-        for c in cols:
-            scanned = scanned.withColumn(f"_carry_{c}", F.lit(None).cast(changes.schema[c].dataType))
-            scanned = scanned.withColumn(f"_final_{c}", F.lit(None).cast(changes.schema[c].dataType))
-        scanned = scanned.withColumn("_has_prior", F.lit(False)).withColumn("_hot", F.lit(None).cast("boolean"))
-
-    filled = {c: F.coalesce(F.col(f"_lf_{c}"), F.col(f"_carry_{c}")) if ignore_null_updates
-              else F.col(f"_lf_{c}") for c in cols}
-    if ignore_null_updates:
-        previous = {c: F.coalesce(F.col(f"_plf_{c}"), F.col(f"_carry_{c}")) for c in cols}
+                out += [f"lag({x}) OVER {oc}) AS {q('_carry_' + c)}",
+                        f"last({x}) OVER {oc} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS {q('_final_' + c)}"]
+        out += [f"lag({q(_CHUNK)}) OVER {oc}) IS NOT NULL AS _has_prior", "true AS _hot"]
+        # At most max_hot_keys * chunks rows: bounded broadcast.
+        scanned = scanned.join(F.broadcast(summary.selectExpr(*out)), part, "left")
+
+        def filled(c):
+            return (f"coalesce({q('_lf_' + c)}, {q('_carry_' + c)})" if ignore_null_updates
+                    else q("_lf_" + c))
+
+        def previous(c):
+            return (f"coalesce({q('_plf_' + c)}, {q('_carry_' + c)})" if ignore_null_updates
+                    else f"CASE WHEN _first THEN {q('_carry_' + c)} ELSE {q('_plf_' + c)} END")
+
+        def final(c):
+            return f"CASE WHEN _hot THEN {q('_final_' + c)} ELSE {q('_end_' + c)} END"
+
+        has_prev = "(NOT _first OR coalesce(_has_prior, false))"
     else:
-        previous = {c: F.when(F.col("_first"), F.col(f"_carry_{c}")).otherwise(F.col(f"_plf_{c}"))
-                    for c in cols}
-    has_prev = ~F.col("_first") | F.coalesce(F.col("_has_prior"), F.lit(False))
-    differs = F.lit(False)
-    for c in tracked:
-        differs = differs | ~filled[c].eqNullSafe(previous[c])
-    opened = ~has_prev | differs
-    # The key's last (filled) value: from the summary for hot keys, else the chunk.
-    final = {c: F.when(F.col("_hot").isNotNull(), F.col(f"_final_{c}")).otherwise(F.col(f"_end_{c}"))
-             for c in cols}
-
-    starts = scanned.select(
-        *[F.col(c) for c in [*keys, seq, _CHUNK]],
-        *[filled[c].alias(f"_f_{c}") for c in cols],
-        *[previous[c].alias(f"_p_{c}") for c in cols],
-        *[final[c].alias(f"_k_{c}") for c in cols],
-        opened.alias("_open"),
-    ).where(F.col("_open"))
-
-    wv = Window.partitionBy(*part).orderBy(seq)
-    versions = starts.select(
-        "*",
-        F.lead(seq).over(wv).alias("_next_local"),
-        *[F.lead(f"_p_{c}").over(wv).alias(f"_np_{c}") for c in cols],
-    )
+        def filled(c):
+            return q("_lf_" + c)
+
+        def previous(c):
+            return q("_plf_" + c)
+
+        def final(c):
+            return q("_end_" + c)
+
+        has_prev = "(NOT _first)"
+
+    differs = " OR ".join(f"NOT ({filled(c)} <=> {previous(c)})" for c in tracked) or "false"
+    starts = scanned.selectExpr(
+        *[q(c) for c in [*keys, seq, _CHUNK]],
+        *[f"{filled(c)} AS {q('_f_' + c)}" for c in cols],
+        *[f"{previous(c)} AS {q('_p_' + c)}" for c in cols],
+        *[f"{final(c)} AS {q('_k_' + c)}" for c in cols],
+        f"NOT {has_prev} OR {differs} AS _open",
+    ).where("_open")
+
+    versions = starts.selectExpr(
+        "*", f"lead({q(seq)}) OVER {w}) AS _next_local",
+        *[f"lead({q('_p_' + c)}) OVER {w}) AS {q('_np_' + c)}" for c in cols])
     if hot is not None:
         # First version start of every hot chunk, and the values left just before it.
         firsts = (starts.join(F.broadcast(hot), keys, "left_semi")
@@ -193,23 +201,18 @@ def scd2(
             *part, F.lead("_fs").over(nxt).alias("_next_chunk"),
             *[F.lead(f"_fp_{c}").over(nxt).alias(f"_ncp_{c}") for c in cols])
         versions = versions.join(F.broadcast(following), part, "left")
-    else:
-        versions = versions.withColumn("_next_chunk", F.lit(None).cast(versions.schema[seq].dataType))
-        for c in cols:
-            versions = versions.withColumn(f"_ncp_{c}", F.lit(None).cast(changes.schema[c].dataType))
 
-    end = F.coalesce(F.col("_next_local"), F.col("_next_chunk"))
-    out_cols = [F.col(k) for k in keys]
-    for c in cols:
-        if c in tracked:
-            value = F.col(f"_f_{c}")
-        else:
-            value = (F.when(F.col("_next_local").isNotNull(), F.col(f"_np_{c}"))
-                     .when(F.col("_next_chunk").isNotNull(), F.col(f"_ncp_{c}"))
-                     .otherwise(F.col(f"_k_{c}")))
-        out_cols.append(value.alias(c))
-    out_cols += [F.col(seq).alias(START), end.alias(END)]
-    return versions.select(*out_cols)
+    def untracked(c):
+        if hot is None:
+            return f"CASE WHEN _next_local IS NOT NULL THEN {q('_np_' + c)} ELSE {q('_k_' + c)} END"
+        return (f"CASE WHEN _next_local IS NOT NULL THEN {q('_np_' + c)} "
+                f"WHEN _next_chunk IS NOT NULL THEN {q('_ncp_' + c)} ELSE {q('_k_' + c)} END")
+
+    end = "_next_local" if hot is None else "coalesce(_next_local, _next_chunk)"
+    return versions.selectExpr(
+        *[q(k) for k in keys],
+        *[f"{q('_f_' + c) if c in tracked else untracked(c)} AS {q(c)}" for c in cols],
+        f"{q(seq)} AS {START}", f"{end} AS {END}")
 
 
 def current(history: DataFrame) -> DataFrame:
