@@ -40,40 +40,61 @@ def in_date_range(p: Params, col: str = "sale_date") -> Column:
     return F.col(col).between(F.lit(lo.isoformat()).cast("date"), F.lit(hi.isoformat()).cast("date"))
 
 
+def _month_bounds(lo: date, hi: date, col: str) -> Column:
+    return F.col(col).between(F.lit(lo.replace(day=1).isoformat()).cast("date"),
+                              F.lit(hi.replace(day=1).isoformat()).cast("date"))
+
+
+def _events(facts: DataFrame, p: Params) -> DataFrame:
+    """P16; on stored facts also the implied month range, which prunes folders."""
+    out = facts.where(in_event_range(p))
+    if "event_month" in facts.columns:
+        out = out.where(_month_bounds(p.date_min.date(), p.date_max.date(), "event_month"))
+    return out
+
+
+def _days(daily: DataFrame, p: Params) -> DataFrame:
+    """P17; on the stored rollup also the implied month range."""
+    out = daily.where(in_date_range(p))
+    if "sale_month" in daily.columns:
+        out = out.where(_month_bounds(*date_bounds(p), "sale_month"))
+    return out
+
+
 # --- executive summary ----------------------------------------------------------
 def q01_total_revenue(facts: DataFrame, p: Params) -> DataFrame:
-    return facts.where(in_event_range(p)).agg(round2_double(money_sum("total_amount")).alias("total_revenue"))
+    return _events(facts, p).agg(round2_double(money_sum("total_amount")).alias("total_revenue"))
 
 
 def q02_total_transactions(facts: DataFrame, p: Params) -> DataFrame:
-    return facts.where(in_event_range(p)).agg(F.countDistinct("transaction_id").alias("total_transactions"))
+    return _events(facts, p).agg(F.countDistinct("transaction_id").alias("total_transactions"))
 
 
 def q03_total_customers(facts: DataFrame, p: Params) -> DataFrame:
-    return facts.where(in_event_range(p)).agg(F.countDistinct("customer_id").alias("total_customers"))
+    return _events(facts, p).agg(F.countDistinct("customer_id").alias("total_customers"))
 
 
 def q04_avg_order_value(facts: DataFrame, p: Params) -> DataFrame:
-    return (facts.where(in_event_range(p))
+    return (_events(facts, p)
             .agg(money_sum("total_amount").alias("_s"), F.count("total_amount").alias("_n"))
             .select(mean_round2(cents(F.col("_s")), F.col("_n")).alias("avg_order_value")))
 
 
 def q05_daily_revenue(daily: DataFrame, p: Params) -> DataFrame:
-    return (daily.where(in_date_range(p)).groupBy("sale_date")
+    return (_days(daily, p).groupBy("sale_date")
             .agg(round2_double(money_sum("total_revenue")).alias("daily_total_revenue"))
             .orderBy("sale_date"))
 
 
 def q06_top_stores(daily: DataFrame, p: Params) -> DataFrame:
-    return (daily.where(in_date_range(p)).groupBy("store_name")
+    return (_days(daily, p).groupBy("store_name")
             .agg(round2_double(money_sum("total_revenue")).alias("total_revenue"))
             .orderBy(F.col("total_revenue").desc(), F.col("store_name"))
             .limit(5))
 
 
 def _by_product(facts: DataFrame, p: Params) -> DataFrame:
-    return facts.where(in_event_range(p)).groupBy("product_name", "product_category")
+    return _events(facts, p).groupBy("product_name", "product_category")
 
 
 def q07_top_products(facts: DataFrame, p: Params) -> DataFrame:
@@ -84,20 +105,20 @@ def q07_top_products(facts: DataFrame, p: Params) -> DataFrame:
 
 
 def q08_revenue_by_category(facts: DataFrame, p: Params) -> DataFrame:
-    return (facts.where(in_event_range(p)).groupBy("product_category")
+    return (_events(facts, p).groupBy("product_category")
             .agg(round2_double(money_sum("total_amount")).alias("total_revenue"))
             .orderBy(F.col("total_revenue").desc()))
 
 
 def q09_revenue_by_payment(facts: DataFrame, p: Params) -> DataFrame:
-    return (facts.where(in_event_range(p)).groupBy("payment_method")
+    return (_events(facts, p).groupBy("payment_method")
             .agg(round2_double(money_sum("total_amount")).alias("total_revenue"))
             .orderBy(F.col("total_revenue").desc()))
 
 
 # --- product analytics ----------------------------------------------------------
 def q10_category_performance(facts: DataFrame, p: Params) -> DataFrame:
-    return (facts.where(in_event_range(p)).groupBy("product_category")
+    return (_events(facts, p).groupBy("product_category")
             .agg(F.countDistinct("product_id").alias("product_count"),
                  money_sum("total_amount").alias("_rev"),
                  F.sum("quantity").alias("total_quantity"))
@@ -120,7 +141,7 @@ def q11_top20_products(facts: DataFrame, p: Params) -> DataFrame:
 def _store_kpis(daily: DataFrame, p: Params) -> DataFrame:
     """Re-aggregated daily rows. SUM(unique_customers) over days counts
     a repeat customer once per day, as published."""
-    agg = (daily.where(in_date_range(p)).groupBy("store_name")
+    agg = (_days(daily, p).groupBy("store_name")
            .agg(money_sum("total_revenue").alias("_rev"),
                 F.sum("total_transactions").alias("total_transactions"),
                 F.sum("unique_customers").alias("total_unique_customers"),
@@ -142,7 +163,7 @@ def q12_store_performance(daily: DataFrame, p: Params) -> DataFrame:
 
 def q13_bottom_stores(daily: DataFrame, p: Params) -> DataFrame:
     """Titled stores, computed per store-day as published."""
-    return (daily.where(in_date_range(p)).groupBy("store_name", "sale_date")
+    return (_days(daily, p).groupBy("store_name", "sale_date")
             .agg(round2_double(money_sum("total_revenue")).alias("total_revenue"))
             .orderBy(F.col("total_revenue").asc(), "store_name", "sale_date")
             .limit(5))
@@ -151,7 +172,7 @@ def q13_bottom_stores(daily: DataFrame, p: Params) -> DataFrame:
 def q14_active_stores(stores_history: DataFrame, facts: DataFrame, p: Params) -> DataFrame:
     """Every store ever seen (SCD2 history, so DISTINCT), flagged by
     whether it sold in the range."""
-    active = facts.where(in_event_range(p)).select(F.col("store_id").alias("_sid")).distinct()
+    active = _events(facts, p).select(F.col("store_id").alias("_sid")).distinct()
     st = stores_history.select("store_id")
     return (st.join(active, st.store_id == active._sid, "left")
             .groupBy(F.when(F.col("_sid").isNotNull(), "Active").otherwise("Inactive").alias("store_status"))
