@@ -9,15 +9,27 @@ from pyspark.sql import DataFrame, SparkSession
 
 class ParquetTables:
     """Lazy parquet reads under one folder. Nothing is read until an action;
-    Catalyst prunes columns and pushes filters into each scan."""
+    Catalyst prunes columns and pushes filters into each scan.
 
-    def __init__(self, spark: SparkSession, root: str):
+    A table stored as one file with one row group scans in a single task, and
+    everything up to the first shuffle would run there. Such a scan is spread
+    round-robin over the session's parallelism; on a cluster, where a large
+    table has thousands of splits, this is a no-op.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, spread: bool = True):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.spread = spread
 
     def path(self, name: str) -> str:
         single = f"{self.root}/{name}.parquet"
         return single if os.path.exists(single) or "://" in self.root else f"{self.root}/{name}"
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        df = self.spark.read.parquet(self.path(name))
+        if self.spread:
+            want = self.spark.sparkContext.defaultParallelism
+            if df.rdd.getNumPartitions() < want:
+                df = df.repartition(want)
+        return df
