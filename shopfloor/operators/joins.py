@@ -27,21 +27,23 @@ def at_most(df: DataFrame, max_rows: int) -> bool:
 
 
 def key_set(dim: DataFrame, keys: Sequence[str], max_rows: int = MAX_BROADCAST_KEYS,
-            distinct: bool = True) -> DataFrame:
+            distinct: bool = True, bound: DataFrame | None = None) -> DataFrame:
     keys_df = dim.select(*keys)
     if distinct:
         keys_df = keys_df.distinct()
-    return F.broadcast(keys_df) if at_most(keys_df, max_rows) else keys_df
+    probe = keys_df if bound is None else bound
+    return F.broadcast(keys_df) if at_most(probe, max_rows) else keys_df
 
 
 def semi_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str],
-              max_rows: int = MAX_BROADCAST_KEYS, distinct: bool = True) -> DataFrame:
+              max_rows: int = MAX_BROADCAST_KEYS, distinct: bool = True,
+              bound: DataFrame | None = None) -> DataFrame:
     """Facts whose key exists in the dimension (J1-J3). ``distinct`` is
     redundant for a semi join; pass False when keys are already unique."""
-    return facts.join(key_set(dim, keys, max_rows, distinct), list(keys), "left_semi")
+    return facts.join(key_set(dim, keys, max_rows, distinct, bound), list(keys), "left_semi")
 
 
 def orphans(facts: DataFrame, dim: DataFrame, keys: Sequence[str],
-            max_rows: int = MAX_BROADCAST_KEYS) -> DataFrame:
+            max_rows: int = MAX_BROADCAST_KEYS, bound: DataFrame | None = None) -> DataFrame:
     """Facts whose key is missing from the dimension (J8, anti join)."""
-    return facts.join(key_set(dim, keys, max_rows, distinct=False), list(keys), "left_anti")
+    return facts.join(key_set(dim, keys, max_rows, distinct=False, bound=bound), list(keys), "left_anti")

@@ -21,7 +21,8 @@ def j8_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = Lakehouse.from_tables(spark, sf_dir)
     sales = lake.bronze_sales
     parts = [
-        joins.orphans(sales, dim, [key]).withColumn("missing_dimension", F.lit(name))
+        joins.orphans(sales, dim, [key], bound=lake.dimension_bounds[key])
+        .withColumn("missing_dimension", F.lit(name))
         for name, dim, key in (("stores", lake.stores_current, "store_id"),
                                ("customers", lake.customers_current, "customer_id"),
                                ("products", lake.products_current, "product_id"))

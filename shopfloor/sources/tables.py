@@ -21,15 +21,19 @@ class ParquetTables:
         self.spark = spark
         self.root = root.rstrip("/")
         self.spread = spread
+        self._opened: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         single = f"{self.root}/{name}.parquet"
         return single if os.path.exists(single) or "://" in self.root else f"{self.root}/{name}"
 
     def table(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(self.path(name))
-        if self.spread:
-            want = self.spark.sparkContext.defaultParallelism
-            if df.rdd.getNumPartitions() < want:
-                df = df.repartition(want)
-        return df
+        """The same DataFrame for every call: the split count is planned once."""
+        if name not in self._opened:
+            df = self.spark.read.parquet(self.path(name))
+            if self.spread:
+                want = self.spark.sparkContext.defaultParallelism
+                if df.rdd.getNumPartitions() < want:
+                    df = df.repartition(want)
+            self._opened[name] = df
+        return self._opened[name]
