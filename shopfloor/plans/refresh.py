@@ -4,10 +4,14 @@ Each stage reads the tables the previous stage wrote, so lineage is cut at
 every layer (a lost executor recomputes one stage, not the whole chain) and
 the expectation counters are collected with the write that produced them.
 
-Facts are range-partitioned on event time before the write, so tasks are
-balanced even when one month or one store holds a large share of the rows,
-and stored with a month partition column so date-range queries prune
-folders; row groups are sorted by time for min/max skipping inside a month.
+Facts are stored with a month partition column so date-range queries prune
+folders, and row groups are sorted by time for min/max skipping inside a
+month. Before the write they are rebalanced on the month (``REBALANCE``
+hint): a hash shuffle whose oversized partitions adaptive execution splits
+(a month holding a third of the rows becomes many tasks, each writing its own
+file) and whose small ones it coalesces, so files stay few and tasks even.
+Unlike a range repartition it needs no sampling pass, which would evaluate
+the whole upstream plan (scans and joins) a second time.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..operators import quality, scd2
-from ..session import configure, shuffle_partitions
+from ..session import configure
 from ..sources.store import RunStore, TableStore
 from . import bronze as bronze_plan
 from . import gold as gold_plan
@@ -31,9 +35,8 @@ DAILY_PARTITION = "sale_month"
 
 
 def _by_time(df: DataFrame, ts_col: str, part_col: str) -> DataFrame:
-    n = shuffle_partitions(df.sparkSession)
     return (df.withColumn(part_col, F.trunc(F.col(ts_col).cast("date"), "month"))
-            .repartitionByRange(n, F.col(ts_col))
+            .hint("rebalance", part_col)
             .sortWithinPartitions(part_col, ts_col))
 
 
