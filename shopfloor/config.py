@@ -27,6 +27,9 @@ GOLD_DAILY_STORE = f"{GOLD}.gold_daily_sales_by_store"
 GOLD_PRODUCT = f"{GOLD}.gold_product_performance"
 GOLD_CUSTOMER = f"{GOLD}.gold_customer_lifetime_value"
 
+# Expectation counters per dataset and run / micro-batch (E3 metrics).
+QUALITY_METRICS = f"{QUALITY}.expectations"
+
 # Dataset comments.
 COMMENTS = {
     BRONZE_SALES: "Raw sales data",
@@ -42,6 +45,7 @@ COMMENTS = {
     GOLD_DAILY_STORE: "Daily store sales summary",
     GOLD_PRODUCT: "Product sales performance metrics",
     GOLD_CUSTOMER: "Customer lifetime value metrics with RFM segmentation",
+    QUALITY_METRICS: "Expectation counters per dataset and batch",
 }
 
 # --- fixed values that must equal the reference's ---------------------------

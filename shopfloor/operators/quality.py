@@ -84,3 +84,12 @@ def union_reports(parts: Sequence[DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def metrics_rows(dataset: str, rules: Sequence[Expectation], counts: dict) -> list[tuple]:
+    """(dataset, rule, action, passed, failed) from observed counters."""
+    rows = counts.get("rows", 0)
+    return [(dataset, r.name, r.action, rows - counts.get(r.name, 0), counts.get(r.name, 0)) for r in rules]
+
+
+REPORT_SCHEMA = "dataset string, rule string, action string, passed bigint, failed bigint"

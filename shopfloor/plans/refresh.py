@@ -44,7 +44,7 @@ def _observed(body: DataFrame, name: str, rules, metrics: dict) -> DataFrame:
     """Count every rule on the dataset body (filled by the write), then apply
     the row effect of the rules."""
     observed, obs = quality.observed(body, name, rules)
-    metrics[name] = obs
+    metrics[name] = (obs, rules)
     return quality.enforce(observed, rules)
 
 
@@ -73,10 +73,10 @@ def run_batch(spark: SparkSession, feeds: dict, store: TableStore, params: C.Par
     # The cleansed view feeds two tables: stage it once (one scan, lineage cut).
     store.write(_observed(body, "sales_cleaned", silver_plan.SALES_RULES, metrics), "silver.sales_cleaned_stage")
     staged = store.read("silver.sales_cleaned_stage")
-    store.write(_observed(silver_plan.sales_body_k1(staged), C.SILVER_SALES, silver_plan.FACT_RULES, metrics),
+    store.write(_observed(silver_plan.sales_body_k1(staged), "silver_sales", silver_plan.FACT_RULES, metrics),
                 C.SILVER_SALES)
-    store.write(_observed(silver_plan.returns_body_k2(staged), C.SILVER_RETURNS, silver_plan.FACT_RULES, metrics),
-                C.SILVER_RETURNS)
+    store.write(_observed(silver_plan.returns_body_k2(staged), "silver_returns", silver_plan.FACT_RULES,
+                          metrics), C.SILVER_RETURNS)
 
     facts = gold_plan.denormalized(store.read(C.SILVER_SALES), current["customers"], current["products"],
                                    current["stores"])
@@ -86,7 +86,12 @@ def run_batch(spark: SparkSession, feeds: dict, store: TableStore, params: C.Par
     store.write(_by_time(daily, "sale_date", DAILY_PARTITION), C.GOLD_DAILY_STORE, partition_by=[DAILY_PARTITION])
     store.write(gold_plan.product_performance(stored_facts), C.GOLD_PRODUCT)
     store.write(gold_plan.customer_lifetime_value(stored_facts, params.as_of, params.score_order), C.GOLD_CUSTOMER)
-    return {name: dict(obs.get) for name, obs in metrics.items()}
+    counts = {name: dict(obs.get) for name, (obs, _) in metrics.items()}
+    # E3 counters of this update (one row per rule) next to the tables.
+    rows = [row for name, (_, rules) in metrics.items() for row in quality.metrics_rows(name, rules, counts[name])]
+    report = spark.createDataFrame(rows, quality.REPORT_SCHEMA).withColumn("batch_id", F.lit(0).cast("bigint"))
+    store.write(report.coalesce(1), C.QUALITY_METRICS, partition_by=["dataset", "batch_id"])
+    return counts
 
 
 def full_refresh(spark: SparkSession, feeds: dict, root: str, **kw) -> tuple[str, dict]:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import config as C
-from ..operators import scd2
+from ..operators import quality, scd2
 from ..plans import bronze as bronze_plan
 from ..plans import gold as gold_plan
 from ..plans import silver as silver_plan
@@ -86,6 +86,12 @@ def process_sales_batch(batch: DataFrame, batch_id: int, store: TableStore) -> N
                                        dims["products"])
     clean = clean.persist()
     try:
+        # The C4 rules only warn, so the cleansed batch is also their body.
+        record_quality(store, batch_id, [
+            quality.report(clean, "sales_cleaned", silver_plan.SALES_RULES),
+            quality.report(silver_plan.sales_body_k1(clean), "silver_sales", silver_plan.FACT_RULES),
+            quality.report(silver_plan.returns_body_k2(clean), "silver_returns", silver_plan.FACT_RULES),
+        ])
         tag = F.lit(batch_id).cast("bigint").alias("batch_id")
         sales = silver_plan.silver_sales(clean)
         store.write(sales.select("*", tag), C.SILVER_SALES, partition_by=["batch_id"], dynamic=True)
@@ -104,6 +110,13 @@ def process_sales_batch(batch: DataFrame, batch_id: int, store: TableStore) -> N
         clean.unpersist()
 
 
+def record_quality(store: TableStore, batch_id: int, reports: list[DataFrame]) -> None:
+    """E3 counters of one micro-batch into the quality table: one small
+    aggregate per dataset; a retried batch replaces its own rows."""
+    rows = quality.union_reports(reports).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    store.write(rows.coalesce(1), C.QUALITY_METRICS, partition_by=["dataset", "batch_id"], dynamic=True)
+
+
 def refresh_daily_months(store: TableStore, months: list) -> None:
     """Recompute the daily rollup of the given months from all stored
     facts and replace only those month partitions."""

@@ -18,10 +18,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import config as C
 from ..operators import scd2
-from ..operators.quality import enforce
+from ..operators import quality
 from ..plans import silver as silver_plan
 from ..sources.store import TableStore
-from .ingest import BRONZE_NAMES, DIM_NAMES, read_table_stream
+from .ingest import BRONZE_NAMES, DIM_NAMES, read_table_stream, record_quality
 
 BUCKET, BATCH = "_bucket", "_batch"
 
@@ -35,7 +35,23 @@ def bucket_of(key: str, buckets: int):
 
 
 def apply_changes(batch: DataFrame, batch_id: int, store: TableStore, log_name: str, target: str,
-                  keys: list[str], sequence_by: str, track, except_cols, buckets: int, **scale) -> None:
+                  keys: list[str], sequence_by: str, track, except_cols, buckets: int,
+                  rules=(), dataset: str | None = None, **scale) -> None:
+    """``rules`` (C1-C3 expectations) are counted on the batch body into the
+    quality table, then applied, before the changes reach the log."""
+    body = batch.persist() if rules else batch
+    try:
+        if rules:
+            record_quality(store, batch_id, [quality.report(body, dataset or target, rules)])
+        _log_and_rebuild(quality.enforce(body, rules), batch_id, store, log_name, target, keys, sequence_by,
+                         track, except_cols, buckets, **scale)
+    finally:
+        if rules:
+            body.unpersist()
+
+
+def _log_and_rebuild(batch: DataFrame, batch_id: int, store: TableStore, log_name: str, target: str,
+                     keys: list[str], sequence_by: str, track, except_cols, buckets: int, **scale) -> None:
     tagged = batch.select("*", bucket_of(keys[0], buckets).alias(BUCKET),
                           F.lit(batch_id).cast("bigint").alias(BATCH)).persist()
     try:
@@ -55,17 +71,20 @@ def dimension_stream(spark: SparkSession, store: TableStore, entity: str, checkp
                      max_files_per_trigger: int | None = None, **scale) -> StreamingQuery:
     """C1-C3 then H1-H3 incrementally from the bronze table of ``entity``."""
     src = read_table_stream(spark, store, BRONZE_NAMES[entity], entity, max_files_per_trigger)
-    cleansed = enforce(silver_plan.BODIES[entity](src), silver_plan.CLEANSE_RULES[entity])
-    return changes_stream(cleansed, store, change_log_name(entity), DIM_NAMES[entity], [C.KEYS[entity]],
+    body = silver_plan.BODIES[entity](src)
+    return changes_stream(body, store, change_log_name(entity), DIM_NAMES[entity], [C.KEYS[entity]],
                           C.SEQUENCE_COL, C.SCD2_TRACK[entity], C.SCD2_EXCEPT, checkpoint, buckets,
-                          available_now, **scale)
+                          available_now, rules=silver_plan.CLEANSE_RULES[entity],
+                          dataset=f"{entity}_cleaned", **scale)
 
 
 def changes_stream(changes: DataFrame, store: TableStore, log_name: str, target: str, keys: list[str],
                    sequence_by: str, track, except_cols, checkpoint: str, buckets: int = 16,
-                   available_now: bool = True, **scale) -> StreamingQuery:
+                   available_now: bool = True, rules=(), dataset: str | None = None,
+                   **scale) -> StreamingQuery:
     writer = (changes.writeStream.option("checkpointLocation", checkpoint)
               .foreachBatch(lambda df, bid: apply_changes(df, bid, store, log_name, target, keys, sequence_by,
-                                                          track, except_cols, buckets, **scale)))
+                                                          track, except_cols, buckets, rules, dataset,
+                                                          **scale)))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="15 seconds")
     return writer.start()

@@ -111,6 +111,21 @@ def test_stored_refresh_and_streaming_match_in_memory(spark, scratch, lake):
     lineage = store.read(C.BRONZE_SALES).select("source_file_path", "ingest_timestamp")
     assert lineage.where("source_file_path IS NULL OR ingest_timestamp IS NULL").count() == 0
 
+    # Expectation counters: summed over micro-batches, and from the refresh,
+    # they equal the one-pass quality report.
+    report = {(r.dataset, r.rule): (r.passed, r.failed) for r in lake.quality_report().collect()}
+
+    def counters(table_store):
+        agg = (table_store.read(C.QUALITY_METRICS).groupBy("dataset", "rule")
+               .agg(F.sum("passed").alias("p"), F.sum("failed").alias("f")).collect())
+        return {(r.dataset, r.rule): (r.p, r.f) for r in agg}
+
+    streamed, refreshed = counters(store), counters(stored)
+    assert {d for d, _ in streamed} == {"customers_cleaned", "products_cleaned", "stores_cleaned",
+                                        "sales_cleaned", "silver_sales", "silver_returns"}
+    assert all(report[k] == v for k, v in streamed.items())
+    assert all(report[k] == v for k, v in refreshed.items()) and len(refreshed) == len(streamed)
+
     # A second run with nothing new changes nothing (exactly once).
     before = store.read(C.GOLD_FACTS).count()
     run_available_now(spark, f"{scratch}/landing", store, f"{scratch}/ckpt", max_files_per_trigger=4)
