@@ -234,3 +234,24 @@ def q19_top100_customers(clv: DataFrame, p: Params) -> DataFrame:
                        "first_purchase_date", "last_purchase_date", "rfm_segment")
             .orderBy(F.col("total_spend").desc(), "customer_id")
             .limit(100))
+
+
+# --- SQL text over registered views (S15) ---------------------------------------
+def _ts_literal(value: datetime) -> Column:
+    return F.expr(f"TIMESTAMP '{value.strftime('%Y-%m-%d %H:%M:%S.%f')}'")
+
+
+def date_range_arg(p: Params) -> Column:
+    """The ``:date_range`` widget value: a struct with ``min`` and ``max``
+    (SQL arguments must be literals or collection constructors)."""
+    return F.named_struct(F.lit("min"), _ts_literal(p.date_min), F.lit("max"), _ts_literal(p.date_max))
+
+
+def run_sql(spark, text: str, p: Params, **args) -> DataFrame:
+    """Run dashboard SQL text with its named parameters bound: ``:date_range``
+    (``:date_range.min`` / ``:date_range.max``) and ``:as_of``, plus any
+    extra ``args``. Tables are the views ``TableStore.register`` created."""
+    bound = {"date_range": date_range_arg(p), "as_of": F.expr(f"DATE '{p.as_of.isoformat()}'")}
+    bound.update(args)
+    used = {k: v for k, v in bound.items() if f":{k}" in text}
+    return spark.sql(text, args=used)

@@ -108,3 +108,18 @@ def test_acquisition_window(spark):
                                  (4, date(1995, 6, 1))], sch)
     got = [tuple(r) for r in D.q18_acquisition(clv, DEFAULT_PARAMS).collect()]
     assert got == [(date(1995, 7, 2), 2)]  # 90 days before 1995-09-30 is 1995-07-02
+
+
+def test_sql_text_with_date_range_parameter(spark):
+    """Dashboard SQL over registered views with a bound :date_range."""
+    p = Params(date_min=datetime(2024, 1, 1), date_max=datetime(2024, 1, 31, 23, 59, 59))
+    facts = _facts(spark, [(1, datetime(2024, 1, 31, 23, 0), 1, "a", 1, "s1", 1, 5.25),
+                           (2, datetime(2024, 1, 3, 0, 0), 2, "b", 2, "s2", 2, 7.5),
+                           (3, datetime(2024, 2, 1, 0, 0), 1, "a", 1, "s1", 1, 7.0)])
+    facts.createOrReplaceTempView("gold_denormalized_sales_facts")
+    text = ("SELECT store_name, COUNT(DISTINCT transaction_id) AS orders, SUM(total_amount) AS revenue "
+            "FROM gold_denormalized_sales_facts "
+            "WHERE event_time BETWEEN :date_range.min AND :date_range.max GROUP BY store_name")
+    got = sorted(tuple(r) for r in D.run_sql(spark, text, p).collect())
+    assert got == [("s1", 1, 5.25), ("s2", 1, 7.5)]
+    assert D.run_sql(spark, "SELECT :as_of AS d", p).first()[0] == DEFAULT_PARAMS.as_of
