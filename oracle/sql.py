@@ -258,7 +258,8 @@ CTES["store_kpis"] = (f"""SELECT store_name, sum({money('total_revenue')}) AS re
 def _report(dataset: str, src: str, rules) -> str:
     counts = ", ".join(f"count_if(NOT {ok(p)}) AS f{i}" for i, (_, p, _) in enumerate(rules))
     rows = " UNION ALL ".join(
-        f"SELECT '{dataset}' AS dataset, '{n}' AS rule, '{a}' AS action, n_ - f{i} AS passed, f{i} AS failed FROM q"
+        f"SELECT '{dataset}' AS dataset, '{n}' AS rule, '{a}' AS action, "
+        f"CAST(n_ - f{i} AS BIGINT) AS passed, CAST(f{i} AS BIGINT) AS failed FROM q"
         for i, (n, _, a) in enumerate(rules))
     return f"(WITH q AS (SELECT count(*) AS n_, {counts} FROM {src}) {rows})"
 
