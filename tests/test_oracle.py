@@ -50,13 +50,21 @@ def test_entry_runs(spark):
     assert len(df.collect()) <= 5
 
 
+# Type families shared by the two engines' names.
+FAMILY = {"int": "i32", "integer": "i32", "bigint": "i64", "double": "f64", "string": "str", "varchar": "str",
+          "date": "date", "timestamp": "ts", "timestamp_ntz": "ts", "boolean": "bool"}
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
-    cur = duck.execute(E.oracle_sql()[name])
-    ocols = [d[0] for d in cur.description]
-    orows = cur.fetchall()
+    rel = duck.sql(E.oracle_sql()[name])
+    ocols, otypes = rel.columns, [str(t).lower() for t in rel.types]
+    orows = rel.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    spark_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    for col, otype in zip(ocols, otypes):
+        assert FAMILY.get(spark_types[col], spark_types[col]) == FAMILY.get(otype, otype), col
     assert len(rows) == len(orows)
     assert _digest(df.columns, rows) == _digest(ocols, orows)
