@@ -11,6 +11,11 @@ partitioning even if an executor is lost and work is recomputed.
 
 The ordering must be total (append a unique key) for the result to be
 deterministic; callers always do.
+
+Range partitioning samples its input in a separate pass before the shuffle,
+so an expensive input (an aggregate over all facts) would be computed twice.
+``checkpoint_input`` materializes it once first; inputs that are cheap to
+recompute (a plain scan, a previous ranking) skip that.
 """
 
 from __future__ import annotations
@@ -29,12 +34,14 @@ def int_div(a: Column, b: Column) -> Column:
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column], out: str = "_rn",
-                      partitions: int | None = None) -> DataFrame:
+                      partitions: int | None = None, checkpoint_input: bool = False) -> DataFrame:
     """Add ``out`` = 1-based position of each row in ``order``, and ``_n`` =
     total row count."""
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = partitions or shuffle_partitions(spark)
+    if checkpoint_input:
+        df = df.checkpoint(eager=True)
     ranged = (df.repartitionByRange(n, *order)
               .sortWithinPartitions(*order)
               .withColumn("_part", F.spark_partition_id())
@@ -66,6 +73,6 @@ def ntile_of(rank: Column, total: Column, buckets: int) -> Column:
 
 
 def ntile(df: DataFrame, buckets: int, order: Sequence[Column], out: str,
-          partitions: int | None = None) -> DataFrame:
-    ranked = global_row_number(df, order, "_rn", partitions)
+          partitions: int | None = None, checkpoint_input: bool = False) -> DataFrame:
+    ranked = global_row_number(df, order, "_rn", partitions, checkpoint_input)
     return ranked.withColumn(out, ntile_of(F.col("_rn"), F.col("_n"), buckets)).drop("_rn", "_n")
