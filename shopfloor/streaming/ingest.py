@@ -11,8 +11,10 @@
   duplicating it. Facts already written are not rewritten when a dimension
   changes later; a full refresh does that.
 * Daily rollup (T7): streaming COUNT(DISTINCT) is not supported, so each
-  batch recomputes the months it touched from the stored facts and replaces
-  just those partitions of the rollup.
+  batch recomputes the days it touched from the stored facts and replaces
+  just those partitions of the rollup. The streamed rollup is partitioned by
+  day (``sale_date``), so a batch re-reads one day of facts, not a month: the
+  month folders are pruned and the time ranges are pushed into the scan.
 
 The watermark (T1) is declared on the sales stream as published; no stateful
 operator follows it, so it drops nothing (late rows are kept).
@@ -20,7 +22,7 @@ operator follows it, so it drops nothing (late rows are kept).
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,13 +33,15 @@ from ..operators import quality, scd2
 from ..plans import bronze as bronze_plan
 from ..plans import gold as gold_plan
 from ..plans import silver as silver_plan
-from ..plans.refresh import DAILY_PARTITION, FACT_PARTITION
+from ..plans.refresh import FACT_PARTITION
 from ..schemas import BRONZE_TYPES, LINEAGE_COLS, struct
 from ..sources import landing
 from ..sources.store import TableStore
 
 BRONZE_NAMES = {"sales": C.BRONZE_SALES, "customers": C.BRONZE_CUSTOMERS, "products": C.BRONZE_PRODUCTS,
                 "stores": C.BRONZE_STORES}
+# The streamed rollup is stored by day; the full refresh stores it by month.
+STREAM_DAILY_PARTITION = "sale_date"
 DIM_NAMES = {"customers": C.SILVER_CUSTOMERS, "products": C.SILVER_PRODUCTS, "stores": C.SILVER_STORES}
 
 
@@ -101,11 +105,11 @@ def process_sales_batch(batch: DataFrame, batch_id: int, store: TableStore) -> N
         month = F.trunc(F.col("event_time").cast("date"), "month").alias(FACT_PARTITION)
         facts = facts.select("*", month, tag).persist()
         store.write(facts, C.GOLD_FACTS, partition_by=[FACT_PARTITION, "batch_id"], dynamic=True)
-        # Months touched by this batch: bounded by the calendar, not the data.
-        touched = [r[0] for r in facts.select(FACT_PARTITION).distinct().collect()]
+        # Days touched by this batch: bounded by the calendar, not the data.
+        touched = [r[0] for r in facts.select(F.col("event_time").cast("date")).distinct().collect()]
         facts.unpersist()
         if touched:
-            refresh_daily_months(store, touched)
+            refresh_daily_days(store, touched)
     finally:
         clean.unpersist()
 
@@ -117,13 +121,32 @@ def record_quality(store: TableStore, batch_id: int, reports: list[DataFrame]) -
     store.write(rows.coalesce(1), C.QUALITY_METRICS, partition_by=["dataset", "batch_id"], dynamic=True)
 
 
-def refresh_daily_months(store: TableStore, months: list) -> None:
-    """Recompute the daily rollup of the given months from all stored
-    facts and replace only those month partitions."""
-    facts = store.read(C.GOLD_FACTS).where(F.col(FACT_PARTITION).isin(months))
+def day_ranges(days: list[date]) -> list[tuple[date, date]]:
+    """Sorted days as contiguous [start, end) ranges."""
+    out: list[list[date]] = []
+    for d in sorted(set(days)):
+        if out and out[-1][1] == d:
+            out[-1][1] = d + timedelta(days=1)
+        else:
+            out.append([d, d + timedelta(days=1)])
+    return [(a, b) for a, b in out]
+
+
+def refresh_daily_days(store: TableStore, days: list[date]) -> None:
+    """Recompute the daily rollup of the given days from all stored facts
+    and replace only those day partitions."""
+    ranges = day_ranges(days)
+    ts = F.col("event_time")
+    in_days = None
+    for lo, hi in ranges:
+        one = (ts >= F.lit(lo.isoformat()).cast("timestamp")) & (ts < F.lit(hi.isoformat()).cast("timestamp"))
+        in_days = one if in_days is None else (in_days | one)
+    months = sorted({d.replace(day=1) for d in days})
+    facts = (store.read(C.GOLD_FACTS)
+             .where(F.col(FACT_PARTITION).isin(months))
+             .where(in_days))
     daily = gold_plan.daily_by_store(facts.drop(FACT_PARTITION, "batch_id"))
-    daily = daily.withColumn(DAILY_PARTITION, F.trunc("sale_date", "month"))
-    store.write(daily, C.GOLD_DAILY_STORE, partition_by=[DAILY_PARTITION], dynamic=True)
+    store.write(daily, C.GOLD_DAILY_STORE, partition_by=[STREAM_DAILY_PARTITION], dynamic=True)
 
 
 def sales_stream(spark: SparkSession, store: TableStore, checkpoint: str, available_now: bool = True,
