@@ -60,9 +60,10 @@ def dedupe_sequence(changes: DataFrame, keys: Sequence[str], seq: str, cols: Seq
 
 def _assign_chunks(rows: DataFrame, total: int, keys: list[str], seq: str, hot_rows: int,
                    max_hot_keys: int, chunks: int) -> tuple[DataFrame, DataFrame | None]:
-    """Add ``_chunk``: 0 for cold keys, a sequence-quantile bucket for hot keys.
-    Returns the rows and the (bounded) list of hot keys, or None if none.
-    ``total`` bounds the row count from above."""
+    """Add ``_chunk``: 0 for cold keys, a sequence-quantile bucket for hot keys
+    (a function of key and sequence only). Returns the rows and the (bounded)
+    list of hot keys, or None if none. ``total`` bounds the row count from
+    above."""
     threshold = max(hot_rows, math.ceil(total / max_hot_keys))
     if total <= threshold:
         return rows.withColumn(_CHUNK, F.lit(0)), None
@@ -102,12 +103,21 @@ def scd2(
     cols = [c for c in changes.columns if c not in skip]
     tracked = [c for c in (track or cols) if c in cols]
 
-    rows = dedupe_sequence(changes, keys, seq, cols)
-    # The input count (no shuffle) bounds the deduplicated count.
-    rows, hot = _assign_chunks(rows, changes.count(), keys, seq, hot_rows, max_hot_keys, chunks)
-    part = [*keys, _CHUNK]
-    # The first window shuffles on (key, chunk); later windows and the
-    # broadcast joins keep that partitioning.
+    base = changes.where(F.col(seq).isNotNull())
+    base, hot = _assign_chunks(base, changes.count(), keys, seq, hot_rows, max_hot_keys, chunks)
+    # One shuffle serves everything: the chunk is a function of (key, seq),
+    # so hashing on (key, chunk) co-locates the duplicates of a (key, seq)
+    # for the de-duplication, and its sort on (key, chunk, seq) is also the
+    # order every window below needs. Cold keys are a single chunk, so they
+    # are partitioned by key alone.
+    if hot is None:
+        # No literal chunk in the grouping: it would break the ordering reuse.
+        part = list(keys)
+        rows = (dedupe_sequence(base.drop(_CHUNK).repartition(*part), keys, seq, cols)
+                .withColumn(_CHUNK, F.lit(0)))
+    else:
+        part = [*keys, _CHUNK]
+        rows = dedupe_sequence(base.repartition(*part), part, seq, cols)
 
     q = _quote
     kp = ", ".join(q(c) for c in part)
@@ -128,8 +138,6 @@ def scd2(
                       f"lag({q(c)}) OVER {w}) AS {q('_plf_' + c)}",
                       f"max_by({q(c)}, {q(seq)}) OVER {whole} AS {q('_end_' + c)}"]
     local.append(f"row_number() OVER {w}) = 1 AS _first")
-    # The first window shuffles on (key, chunk); the later window and the
-    # broadcast joins keep that partitioning.
     scanned = rows.selectExpr(*local)
 
     if hot is not None:
