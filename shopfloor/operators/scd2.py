@@ -21,6 +21,10 @@ with more than ``hot_rows`` rows (their number is bounded by
 version start) comes from per-chunk summaries that are small by construction
 (at most ``max_hot_keys * chunks`` rows) and broadcast. Cold keys are one
 chunk each and take no summary.
+
+The change log is shuffled once, on (key, chunk): the de-duplication and
+every window run on that partitioning and on its one sort by
+(key, chunk, sequence).
 """
 
 from __future__ import annotations
