@@ -65,18 +65,24 @@ def observed(df: DataFrame, dataset: str, rules: Sequence[Expectation]) -> tuple
 def report(df: DataFrame, dataset: str, rules: Sequence[Expectation]) -> DataFrame:
     """One aggregate pass over the dataset body: (dataset, rule, action,
     passed, failed) per rule (E4)."""
-    counts = df.agg(F.count(F.lit(1)).alias("_rows"),
-                    *[F.count_if(~r.holds()).alias(f"_f{i}") for i, r in enumerate(rules)])
-    per_rule = [
-        F.struct(F.lit(r.name).alias("rule"), F.lit(r.action).alias("action"),
-                 F.col(f"_f{i}").alias("failed"))
-        for i, r in enumerate(rules)
-    ]
-    return (counts.select(F.col("_rows"), F.explode(F.array(*per_rule)).alias("r"))
-            .select(F.lit(dataset).alias("dataset"), F.col("r.rule").alias("rule"),
-                    F.col("r.action").alias("action"),
-                    (F.col("_rows") - F.col("r.failed")).alias("passed"),
-                    F.col("r.failed").alias("failed")))
+    return report_many(df, [(dataset, rules, None)])
+
+
+def report_many(df: DataFrame, parts: Sequence[tuple[str, Sequence[Expectation], Column | None]]) -> DataFrame:
+    """Reports of several datasets whose bodies are row subsets of ``df``
+    (``None`` = all rows), counted in one aggregate: one scan, however many
+    datasets share it."""
+    counts, per_rule = [], []
+    for j, (dataset, rules, where) in enumerate(parts):
+        member = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+        counts.append(F.count_if(member).alias(f"_n{j}"))
+        for i, r in enumerate(rules):
+            counts.append(F.count_if(member & ~r.holds()).alias(f"_f{j}_{i}"))
+            per_rule.append(F.struct(
+                F.lit(dataset).alias("dataset"), F.lit(r.name).alias("rule"), F.lit(r.action).alias("action"),
+                (F.col(f"_n{j}") - F.col(f"_f{j}_{i}")).alias("passed"), F.col(f"_f{j}_{i}").alias("failed")))
+    return (df.agg(*counts).select(F.explode(F.array(*per_rule)).alias("r"))
+            .select("r.dataset", "r.rule", "r.action", "r.passed", "r.failed"))
 
 
 def union_reports(parts: Sequence[DataFrame]) -> DataFrame:
