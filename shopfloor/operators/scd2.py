@@ -15,8 +15,8 @@ Per key, ordered by the sequence column:
 The result depends only on the set of rows, never on arrival order.
 
 Scale: a per-key window would put a key's whole history in one task. Keys
-with more than ``hot_rows`` rows (their number is bounded by
-``max_hot_keys``) are cut into sequence-quantile chunks; every step runs per
+with more than ``hot_rows`` rows (the ``max_hot_keys`` largest of them) are
+cut into sequence-quantile chunks; every step runs per
 (key, chunk) and what crosses a chunk boundary (last value so far, next
 version start) comes from per-chunk summaries that are small by construction
 (at most ``max_hot_keys * chunks`` rows) and broadcast. Cold keys are one
@@ -29,7 +29,6 @@ every window run on that partitioning and on its one sort by
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -62,19 +61,18 @@ def dedupe_sequence(changes: DataFrame, keys: Sequence[str], seq: str, cols: Seq
             .select(*keys, seq, *[F.col(f"_row.{c}").alias(c) for c in cols]))
 
 
-def _assign_chunks(rows: DataFrame, total: int, keys: list[str], seq: str, hot_rows: int,
-                   max_hot_keys: int, chunks: int) -> tuple[DataFrame, DataFrame | None]:
+def _assign_chunks(rows: DataFrame, keys: list[str], seq: str, hot_rows: int, max_hot_keys: int,
+                   chunks: int) -> tuple[DataFrame, DataFrame | None]:
     """Add ``_chunk``: 0 for cold keys, a sequence-quantile bucket for hot keys
-    (a function of key and sequence only). Returns the rows and the (bounded)
-    list of hot keys, or None if none. ``total`` bounds the row count from
-    above."""
-    threshold = max(hot_rows, math.ceil(total / max_hot_keys))
-    if total <= threshold:
-        return rows.withColumn(_CHUNK, F.lit(0)), None
-    # At most total / threshold <= max_hot_keys keys pass: safe to broadcast.
-    hot = rows.groupBy(*keys).count().where(F.col("count") > threshold).select(*keys)
-    if hot.limit(1).count() == 0:
+    (a function of key and sequence only). Hot keys are the (at most
+    ``max_hot_keys``) largest keys with more than ``hot_rows`` rows, found in
+    one grouped count whose top-k is collected: a bounded list. Returns the
+    rows and the hot keys as a DataFrame, or None if there are none."""
+    top = (rows.groupBy(*keys).count().where(F.col("count") > hot_rows)
+           .orderBy(F.col("count").desc(), *keys).limit(max_hot_keys).select(*keys).collect())
+    if not top:
         return rows.withColumn(_CHUNK, F.lit(0)), None
+    hot = rows.sparkSession.createDataFrame(top, rows.select(*keys).schema)
     probs = [i / chunks for i in range(1, chunks)]
     num = _seq_number(rows, seq)
     bounds = (rows.join(F.broadcast(hot), keys, "left_semi")
@@ -108,7 +106,7 @@ def scd2(
     tracked = [c for c in (track or cols) if c in cols]
 
     base = changes.where(F.col(seq).isNotNull())
-    base, hot = _assign_chunks(base, changes.count(), keys, seq, hot_rows, max_hot_keys, chunks)
+    base, hot = _assign_chunks(base, keys, seq, hot_rows, max_hot_keys, chunks)
     # One shuffle serves everything: the chunk is a function of (key, seq),
     # so hashing on (key, chunk) co-locates the duplicates of a (key, seq)
     # for the de-duplication, and its sort on (key, chunk, seq) is also the
