@@ -98,4 +98,5 @@ def metrics_rows(dataset: str, rules: Sequence[Expectation], counts: dict) -> li
     return [(dataset, r.name, r.action, rows - counts.get(r.name, 0), counts.get(r.name, 0)) for r in rules]
 
 
-REPORT_SCHEMA = "dataset string, rule string, action string, passed bigint, failed bigint"
+REPORT_FIELDS = [("dataset", "string"), ("rule", "string"), ("action", "string"), ("passed", "bigint"),
+                 ("failed", "bigint")]

@@ -35,6 +35,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.tables import local_rows
+
 START, END = "__START_AT", "__END_AT"
 _CHUNK = "_chunk"
 
@@ -72,7 +74,7 @@ def _assign_chunks(rows: DataFrame, keys: list[str], seq: str, hot_rows: int, ma
            .orderBy(F.col("count").desc(), *keys).limit(max_hot_keys).select(*keys).collect())
     if not top:
         return rows.withColumn(_CHUNK, F.lit(0)), None
-    hot = rows.sparkSession.createDataFrame(top, rows.select(*keys).schema)
+    hot = local_rows(rows.sparkSession, top, [(k, rows.schema[k].dataType.simpleString()) for k in keys])
     probs = [i / chunks for i in range(1, chunks)]
     num = _seq_number(rows, seq)
     bounds = (rows.join(F.broadcast(hot), keys, "left_semi")

@@ -26,6 +26,7 @@ from .. import config as C
 from ..operators import quality, scd2
 from ..session import configure
 from ..sources.store import RunStore, TableStore
+from ..sources.tables import local_rows
 from . import bronze as bronze_plan
 from . import gold as gold_plan
 from . import silver as silver_plan
@@ -87,10 +88,12 @@ def run_batch(spark: SparkSession, feeds: dict, store: TableStore, params: C.Par
     store.write(gold_plan.product_performance(stored_facts), C.GOLD_PRODUCT)
     store.write(gold_plan.customer_lifetime_value(stored_facts, params.as_of, params.score_order), C.GOLD_CUSTOMER)
     counts = {name: dict(obs.get) for name, (obs, _) in metrics.items()}
-    # E3 counters of this update (one row per rule) next to the tables.
+    # E3 counters of this update (one row per rule) next to the tables: one
+    # small file, since the run folder already scopes them (streams partition
+    # theirs by dataset and batch for idempotent retries).
     rows = [row for name, (_, rules) in metrics.items() for row in quality.metrics_rows(name, rules, counts[name])]
-    report = spark.createDataFrame(rows, quality.REPORT_SCHEMA).withColumn("batch_id", F.lit(0).cast("bigint"))
-    store.write(report.coalesce(1), C.QUALITY_METRICS, partition_by=["dataset", "batch_id"])
+    report = local_rows(spark, rows, quality.REPORT_FIELDS).withColumn("batch_id", F.lit(0).cast("bigint"))
+    store.write(report.coalesce(1), C.QUALITY_METRICS)
     return counts
 
 

@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 
 from ..operators.ranking import global_row_number
 from ..schemas import LANDING_SCHEMAS, bronze_columns
+from .tables import local_rows
 
 
 def conform(df: DataFrame, entity: str) -> DataFrame:
@@ -49,7 +50,7 @@ def existing_keys_at(spark: SparkSession, path: str, entity: str, key: str) -> D
         if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
             raise
         field = LANDING_SCHEMAS[entity][key]
-        return spark.createDataFrame([], f"{key} {field.dataType.simpleString()}")
+        return local_rows(spark, [], [(key, field.dataType.simpleString())])
 
 
 def next_key(source: DataFrame, key: str) -> DataFrame:

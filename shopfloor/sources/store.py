@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
 
 from ..config import COMMENTS
+from .tables import local_rows
 
 
 class TableStore:
@@ -70,7 +71,7 @@ class RunStore:
         return TableStore(self.spark, f"{self.root}/runs/{run_id}")
 
     def publish(self, run_id: str) -> None:
-        self.spark.createDataFrame([(run_id,)], "run_id string").coalesce(1).write.mode(
+        local_rows(self.spark, [(run_id,)], [("run_id", "string")]).coalesce(1).write.mode(
             "overwrite").parquet(f"{self.root}/{self.POINTER}")
 
     def current(self) -> TableStore:

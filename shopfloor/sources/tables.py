@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 class ParquetTables:
@@ -37,3 +38,13 @@ class ParquetTables:
                     df = df.repartition(want)
             self._opened[name] = df
         return self._opened[name]
+
+
+def local_rows(spark: SparkSession, rows, fields: list[tuple[str, str]]) -> DataFrame:
+    """A small fixed table (a handful of counters, a run id, a bounded key
+    list) as a literal plan evaluated in the JVM: unlike ``createDataFrame``
+    on Python rows it starts no Python worker."""
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(t).alias(n) for n, t in fields])
+    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, fields)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
