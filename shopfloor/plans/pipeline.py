@@ -14,7 +14,6 @@ written table instead of recomputing the lineage.
 from __future__ import annotations
 
 import functools
-import json
 from collections.abc import Callable
 from datetime import datetime
 from functools import cached_property

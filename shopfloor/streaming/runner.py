@@ -12,7 +12,6 @@ from datetime import datetime
 
 from pyspark.sql import SparkSession
 
-from .. import config as C
 from ..sources.store import TableStore
 from .ingest import BRONZE_NAMES, append_table, bronze_stream, sales_stream
 from .scd2_stream import dimension_stream
@@ -38,4 +37,4 @@ def run_available_now(spark: SparkSession, landing_root: str, store: TableStore,
                  ).awaitTermination()
 
 
-__all__ = ["run_available_now", "C"]
+__all__ = ["run_available_now"]
