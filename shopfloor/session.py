@@ -23,6 +23,10 @@ RUNTIME_CONF = {
     # Timestamps written without zone (the driver tables) read as TIMESTAMP_NTZ;
     # the bronze casts turn them into session-zone timestamps.
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
+    # Constraint propagation re-derives every filter through the wide SCD2 and
+    # expectation projections; on these plans it roughly doubles the planning
+    # time of a query and infers nothing the scans do not already push.
+    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 
@@ -47,10 +51,6 @@ def build_session(
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    # Constraint propagation re-derives every filter through the wide SCD2 and
-    # expectation projections; on these plans it costs seconds of driver time
-    # per query and infers nothing the scans do not already push.
-    builder = builder.config("spark.sql.constraintPropagation.enabled", "false")
     builder = builder.config("spark.ui.showConsoleProgress", "false")
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
