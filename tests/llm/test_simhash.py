@@ -1,0 +1,101 @@
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from shopfloor.llm import simhash
+from shopfloor.llm.components import connected
+
+
+def plain_fingerprint(text, k=3):
+    words = [w for w in __import__("re").split(r"[\x20\x09-\x0D]+", text or "") if w]
+    words = ["".join(c.lower() if "A" <= c <= "Z" else c for c in w) for w in words]
+    if not words:
+        return 0
+    grams = [" ".join(words[i:i + k]) for i in range(len(words) - k + 1)] or [" ".join(words)]
+    hashes = [xxhash.xxh64(g.encode(), seed=42).intdigest() for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(fps):
+    ids = list(fps)
+    root = {i: i for i in ids}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for i in ids:
+        for j in ids:
+            if bin((fps[i] ^ fps[j]) & (1 << 64) - 1).count("1") <= 3:
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    return {i: min(j for j in ids if find(j) == find(i)) for i in ids}
+
+
+def test_matches_brute_force(spark, docs_of, prose, clashing):
+    base = prose(120, seed=1)
+    texts = [base, base.upper(), base, base + " tail", "\t" + base.replace(" ", "\n", 3), None, "", " \n", "one", "One",
+             "two words", "é À é À", prose(3000, seed=2)] + [prose(40 + i, seed=50 + i) for i in range(20)]
+    for i in range(12):
+        words = base.split()
+        words[7 * i] = "changed"
+        texts.append(" ".join(words))
+    pairs = list(enumerate(texts, start=100))
+    got = {r.doc_id: r for r in simhash.near_duplicates(clashing(docs_of(pairs))).collect()}
+    assert len(got) == len(pairs)
+    want = {i: plain_fingerprint(t) for i, t in pairs}
+    assert {i: r.fp & (1 << 64) - 1 for i, r in got.items()} == want
+    assert {i: r.component_id for i, r in got.items()} == plain_components(want)
+
+
+def test_xxhash64_is_the_jvm_function(spark):
+    row = spark.sql("select xxhash64('one two three') h").first()
+    assert row.h & (1 << 64) - 1 == xxhash.xxh64(b"one two three", seed=42).intdigest()
+
+
+def test_split_buckets_lose_no_link(spark):
+    rng = random.Random(3)
+    base = rng.getrandbits(64)
+    values = set()
+    while len(values) < 300:
+        v = base
+        for _ in range(rng.randint(0, 3)):
+            v ^= 1 << rng.choice([0, 1, 2, 30, 31, 32, 62, 63])
+        values.add(v)
+        values.add(v ^ rng.getrandbits(64))
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    fps = spark.createDataFrame([(v,) for v in signed], "fp long")
+    want = {(min(a, b), max(a, b)) for a in signed for b in signed if a != b and bin((a ^ b) & (1 << 64) - 1).count("1") <= 3}
+    for rows in (4, 10_000):
+        got = simhash.links(fps, bucket_rows=rows).collect()
+        assert len(got) == len(want) and {(r.a, r.b) for r in got} == want
+
+
+def test_components_of_chains_stars_and_noise(spark):
+    rng = random.Random(5)
+    edges = [(i, i + 1) for i in range(0, 300)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5000, 5000), (None, 7)]
+    order = list(range(2000))
+    rng.shuffle(order)
+    edges = [(order[a] if a is not None and a < 2000 else a, order[b] if b < 2000 else b) for a, b in edges]
+    got = {r.node: r.root for r in connected(spark.createDataFrame(edges, "a long, b long")).collect()}
+    chain = [order[i] for i in range(0, 301)]
+    star = [order[i] for i in range(1000, 1200)]
+    assert {got[n] for n in chain} == {min(chain)} and {got[n] for n in star} == {min(star)}
+    assert len(got) == len(chain) + len(star)
+
+
+def test_empty_table_and_null_ids(spark, docs_of):
+    assert simhash.near_duplicates(docs_of([])).count() == 0
+    got = simhash.near_duplicates(docs_of([(None, "a b c d"), (None, "a b c d"), (4, "x y z q")])).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got if r.doc_id) == [(4, 4)]
+    assert [r.component_id for r in got if r.doc_id is None] == [None, None]
+
+
+def test_keep_one_keeps_columns_and_one_row(spark, docs_of, prose, clashing):
+    base = prose(80, seed=9)
+    docs = clashing(docs_of([(3, base), (1, base), (1, base), (2, base.upper()), (9, prose(60, seed=10)), (None, base)]))
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 9]
