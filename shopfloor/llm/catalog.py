@@ -6,10 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import chat, decontam, lang_id, licenses, simhash, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lang_id": lang_id.op1,
+    "op2_decontamination": decontam.op2,
+    "op3_chat_format": chat.op3,
+    "op5_substring_dedup": substring.op5,
+    "op8_licenses": licenses.op8,
     "op9_simhash": simhash.op9,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: Language id and SimHash have no SQL form: DuckDB has no zstandard and no XXH64.
+ORACLE_SQL: dict[str, str] = {
+    "op2_decontamination": decontam.OP2_SQL,
+    "op3_chat_format": chat.OP3_SQL,
+    "op5_substring_dedup": substring.OP5_SQL,
+    "op8_licenses": licenses.OP8_SQL,
+}
