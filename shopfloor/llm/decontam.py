@@ -61,6 +61,13 @@ class Tables:
         self.bucket = np.searchsorted(suffix[order], np.arange(TABLE + 1))
         self.whole = range_hash(words, heads, heads + length, PATTERN_BASE)
 
+    @classmethod
+    def of(cls, state: dict) -> Tables:
+        """From another's attributes: broadcasts carry plain arrays and lists."""
+        out = cls.__new__(cls)
+        out.__dict__.update(state)
+        return out
+
     def search(self, chunk: Chunk, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(last word, pattern) of every occurrence in the chunk's texts."""
         m = self.length
@@ -140,11 +147,12 @@ def _result_rows(tables, names: list[str], earlier: bool):
     """Counts, merged spans and items of every row. With ``earlier`` the last
     two columns hold spans and items that searches for other blocks found."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_tables = [Tables.of(t) for t in tables.value] if tables else []
         for batch in batches:
             n_words, n_hit, items, spans = [], [], [], []
             before = batch.columns[-2:] if earlier else None
             for chunk in chunks(batch, "__text", ALNUM, lower=True):
-                for i, (found, ids) in enumerate(_hits(tables.value if tables else [], chunk)):
+                for i, (found, ids) in enumerate(_hits(own_tables, chunk)):
                     if before:
                         found = found + [(s["start"], s["n"]) for s in before[0][chunk.lo + i].as_py() or []]
                         ids = ids.union(before[1][chunk.lo + i].as_py() or [])
@@ -164,10 +172,11 @@ def _result_rows(tables, names: list[str], earlier: bool):
 def _found_rows(tables):
     """Only rows with occurrences: their keys, spans and items."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_tables = [Tables.of(t) for t in tables.value]
         for batch in batches:
             rows, items, spans = [], [], []
             for chunk in chunks(batch, "__text", ALNUM, lower=True):
-                for i, (found, ids) in enumerate(_hits(tables.value, chunk)):
+                for i, (found, ids) in enumerate(_hits(own_tables, chunk)):
                     if found:
                         rows.append(chunk.lo + i)
                         spans.append(_merged(int(chunk.first[i + 1] - chunk.first[i]), found))
@@ -199,7 +208,8 @@ def search(docs: DataFrame, bench: DataFrame, window: int = WINDOW_WORDS, bench_
     schema += f", n_words long, n_hit long, items array<string>, spans {SPANS}"
 
     def tables(part: int):
-        return spark.sparkContext.broadcast(build([(r.item, r.text) for r in items.where(F.col("part") == part).toLocalIterator()], window))
+        built = build([(r["item"], r["text"]) for r in items.where(F.col("part") == part).toLocalIterator()], window)
+        return spark.sparkContext.broadcast([vars(t) for t in built])
 
     if parts == 1:
         return rows.mapInArrow(_result_rows(tables(0), names, False), schema)
