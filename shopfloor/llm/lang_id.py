@@ -9,17 +9,17 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read_table
 
 UNDETERMINED = "und"
 
-#: Bounds of the training sample: bytes of a training text, texts and
-#: dictionary bytes of a language, and languages (the most frequent ones).
+#: Bounds of the training sample: bytes of a training text, dictionary bytes
+#: of a language (the sample holds half as much again, as an expectation), and
+#: languages (the most frequent ones).
 TRAIN_TEXT_BYTES = 16 << 10
-TRAIN_TEXTS = 256
 DICTIONARY_BYTES = 110_000
 LANGUAGES = 200
 
@@ -42,23 +42,21 @@ def letters(text: str | None) -> str:
 def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> dict[str, bytes]:
     """Dictionaries by language, most frequent first, from a bounded sample of
     the labelled rows: those whose text hashes smallest, as far as they fit."""
-    spark = docs.sparkSession
     lang, text = F.col(f"`{lang_col}`").cast("string"), F.col(f"`{text_col}`")
-    rows = docs.select(lang.alias("lang"), text.alias("text")).where("lang is not null and text is not null")
-    counts = rows.where(F.col("text").rlike(r"\p{L}")).groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    known = [r["lang"] for r in counts]
-    if not known:
-        return {}
-    rows = rows.where(F.col("lang").isin(known) & F.col("text").rlike(r"\p{L}"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    first = rows.where(F.octet_length("text") <= TRAIN_TEXT_BYTES).dropDuplicates(["lang", "text"]).withColumn(
-        "place", F.row_number().over(order)).where(F.col("place") <= TRAIN_TEXTS)
-    upto = F.sum(F.octet_length("text")).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    sample = first.withColumn("before", F.coalesce(upto, F.lit(0))).where(F.col("before") < DICTIONARY_BYTES)
-    texts: dict[str, list[str]] = {name: [] for name in known}
-    for row in sample.orderBy("lang", "place").toLocalIterator():
+    rows = docs.select(lang.alias("lang"), text.alias("text")).where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    fits = F.octet_length("text") <= TRAIN_TEXT_BYTES
+    known = rows.groupBy("lang").agg(F.count("*").alias("texts"), F.sum(F.when(fits, F.octet_length("text"))).alias("bytes"))
+    known = known.orderBy(F.desc("texts"), "lang").limit(LANGUAGES).collect()
+    # A language's sample is the same share of its hash space on every machine.
+    spot = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
+    share = F.lit(False)
+    for r in known:
+        share = share | ((F.col("lang") == r["lang"]) & (spot < int((1 << 30) * min(1.0, 1.5 * DICTIONARY_BYTES / (r["bytes"] or 1)))))
+    sample = rows.where(fits & share).distinct().orderBy("lang", F.xxhash64("text"), "text")
+    texts: dict[str, list[str]] = {r["lang"]: [] for r in known}
+    for row in sample.toLocalIterator():
         texts[row["lang"]].append(letters(row["text"]))
-    return {name: " ".join(texts[name]).encode()[:DICTIONARY_BYTES] for name in known}
+    return {name: " ".join(own).encode()[:DICTIONARY_BYTES] for name, own in texts.items()}
 
 
 class Classifier:
