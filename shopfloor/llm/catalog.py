@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, lang_id, licenses, simhash, substring
+from . import chat, decontam, lang_id, licenses, quality, simhash, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lang_id": lang_id.op1,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_substring_dedup": substring.op5,
     "op8_licenses": licenses.op8,
     "op9_simhash": simhash.op9,
+    "op10_quality": quality.op10,
 }
 
 #: Language id and SimHash have no SQL form: DuckDB has no zstandard and no XXH64.
