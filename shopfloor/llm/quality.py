@@ -25,9 +25,11 @@ BUCKETS = 1 << 18
 #: chosen by hash. All rows, if there are fewer.
 TRAIN_ROWS = 10_000
 
-#: A feature counts only if its texts' grades differ from all texts' by this
-#: chi-square: words that a few long texts happen to share would only add noise.
-CHI_SQUARE = 50.0
+#: A feature counts only if so many texts of the sample have it and their
+#: grades differ from all texts' more than the luckiest of as many features
+#: without meaning would (chi-square beyond 2 ln(features)). Words that a few
+#: long texts happen to share would only add noise.
+MIN_TEXTS = 4
 
 #: Steps, step size and ridge weight of the fit.
 STEPS, RATE, RIDGE = 150, 0.15, 2e-4
@@ -99,7 +101,9 @@ def fit(buckets: np.ndarray, offsets: np.ndarray, grades: np.ndarray, n_grades:
     of_text = np.repeat(grades, np.diff(offsets))
     seen = np.stack([np.bincount(buckets[of_text == k], minlength=BUCKETS) for k in range(n_grades)], axis=1)
     expected = seen.sum(axis=1, keepdims=True) * np.bincount(grades, minlength=n_grades) / n
-    keep = ((seen - expected) ** 2 / np.maximum(expected, 1e-9)).sum(axis=1)[buckets] >= CHI_SQUARE
+    texts = seen.sum(axis=1)
+    luck = 2 * np.log(max(np.count_nonzero(texts), 2))
+    keep = ((((seen - expected) ** 2 / np.maximum(expected, 1e-9)).sum(axis=1) > luck) & (texts >= MIN_TEXTS))[buckets]
     lengths = _sums(keep, offsets).astype(np.int64)
     names, slot = np.unique(buckets[keep], return_inverse=True)
     row = np.repeat(np.arange(n), lengths)
