@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, lang_id, licenses, quality, simhash, substring
+from . import chat, decontam, lang_id, licenses, pieces, quality, simhash, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lang_id": lang_id.op1,
     "op2_decontamination": decontam.op2,
     "op3_chat_format": chat.op3,
+    "op4_pieces": pieces.op4,
     "op5_substring_dedup": substring.op5,
     "op8_licenses": licenses.op8,
     "op9_simhash": simhash.op9,
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op2_decontamination": decontam.OP2_SQL,
     "op3_chat_format": chat.OP3_SQL,
+    "op4_pieces": pieces.op4,
     "op5_substring_dedup": substring.OP5_SQL,
     "op8_licenses": licenses.OP8_SQL,
 }
