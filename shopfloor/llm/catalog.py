@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, lang_id, licenses, pieces, quality, simhash, substring
+from . import ann, chat, decontam, lang_id, licenses, lm_score, pieces, quality, simhash, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lang_id": lang_id.op1,
@@ -14,6 +14,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat_format": chat.op3,
     "op4_pieces": pieces.op4,
     "op5_substring_dedup": substring.op5,
+    "op6_nearest": ann.op6,
+    "op7_lm_score": lm_score.op7,
     "op8_licenses": licenses.op8,
     "op9_simhash": simhash.op9,
     "op10_quality": quality.op10,
@@ -25,5 +27,7 @@ ORACLE_SQL: dict[str, str] = {
     "op3_chat_format": chat.OP3_SQL,
     "op4_pieces": pieces.op4,
     "op5_substring_dedup": substring.OP5_SQL,
+    "op6_nearest": ann.op6,
+    "op7_lm_score": lm_score.op7,
     "op8_licenses": licenses.OP8_SQL,
 }
