@@ -236,6 +236,24 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW_WORDS, id_col: str = "doc_
         f"{schema}, n_words long, n_removed long, spans array<struct<start: bigint, n: bigint>>, kept_text string")
 
 
+def cut_texts(docs: DataFrame, window: int = WINDOW_WORDS, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
+    """``docs`` with repeated windows cut out. A text that holds none stays as
+    it is, byte for byte; of the others the kept words are joined by single
+    spaces, ``chars_col`` (if there is one) is set anew, and rows of which no
+    word is kept go."""
+    cut = cut_repeats(docs, window, "doc_id", text_col)
+    changed = F.col("n_removed") > 0
+    columns = []
+    for i, c in enumerate(docs.columns):
+        own = F.col(f"c{i}")
+        if c == text_col:
+            own = F.when(changed, F.col("kept_text")).otherwise(own)
+        elif c == chars_col:
+            own = F.when(changed, F.length("kept_text").cast(docs.schema[c].dataType)).otherwise(own)
+        columns.append(own.alias(c))
+    return cut.where("n_removed = 0 or n_removed < n_words").select(*columns)
+
+
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = cut_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select(F.col("c0").alias("doc_id"), "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
