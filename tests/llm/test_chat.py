@@ -1,0 +1,91 @@
+import hashlib
+import random
+
+from shopfloor.llm import chat
+
+SCHEMA = "conv_id long, msg long, seq long, event string, role string, text string"
+
+
+def plain_fold(events):
+    """One conversation's events, in order, applied one by one."""
+    log = {}
+    for _, msg, seq, kind, role, text in sorted(events, key=lambda e: (e[2], e[3], e[4] or "", e[5] or "")):
+        m = log.setdefault(msg, {"start": seq, "text": "", "role": None, "gone": False})
+        m["role"] = m["role"] if m["role"] is not None else role
+        if kind == "delta":
+            m["text"] += text or ""
+        elif kind == "edit":
+            m["text"] = text or ""
+        else:
+            m["text"] = ""
+            for other in log.values():
+                if other["start"] > m["start"]:
+                    other["gone"] = True
+    return [(m["role"] or "", m["text"]) for _, m in sorted((m["start"], k) for k, m in log.items() if not m["gone"]) for m in [log[m]]]
+
+
+def test_folds_deltas_edits_and_regenerations(spark):
+    events = [
+        (1, 1, 1, "delta", "user", "Hel"), (1, 1, 2, "delta", None, "lo"), (1, 2, 3, "delta", "assistant", "Hi"),
+        (1, 2, 4, "delta", None, " there"), (1, 3, 5, "delta", "user", "thanks"), (1, 2, 6, "regenerate", None, None),
+        (1, 2, 7, "delta", None, "Good "), (1, 2, 8, "delta", None, "day"), (1, 1, 9, "edit", None, "Hello!"),
+        (1, 4, 10, "delta", "user", "new"), (1, 4, 11, "noise", "x", "ignored"), (2, 1, 1, "delta", None, None),
+    ]
+    rows = chat.fold(spark.createDataFrame(events, SCHEMA)).orderBy("conv_id", "first_seq").collect()
+    assert [(r.conv_id, r.role, r.text) for r in rows] == [
+        (1, "user", "Hello!"), (1, "assistant", "Good day"), (1, "user", "new"), (2, "", "")]
+
+
+def test_random_logs_match_one_by_one(spark):
+    rng = random.Random(2)
+    events, by_conv = [], {}
+    for conv in range(30):
+        own, seq = [], 0
+        for _ in range(rng.randint(1, 40)):
+            seq += 1
+            msg = rng.randint(1, 6)
+            own.append((conv, msg, seq, rng.choice(["delta"] * 5 + ["edit", "regenerate"]), rng.choice(["user", None, "assistant"]), rng.choice(["a ", "b", None, "<|im_end|>"])))
+        by_conv[conv] = own
+        events += own
+    rng.shuffle(events)
+    got = {}
+    for r in chat.fold(spark.createDataFrame(events, SCHEMA).repartition(4)).orderBy("conv_id", "first_seq").collect():
+        got.setdefault(r.conv_id, []).append((r.role, r.text))
+    assert got == {c: f for c, f in ((c, plain_fold(own)) for c, own in by_conv.items()) if f}
+
+
+def test_escape_is_reversible(spark):
+    texts = ["<|im_end|>", "<\\|", "<\\\\|x", "<||>", "<|<|\\|", "a<b|c", "", "<", "|", "\\", "<\\", "<|im_start|>assistant\n", "\u0000é😀<|"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in df.select("t", chat.escape(df.t).alias("e"), chat.unescape(chat.escape(df.t)).alias("u")).collect():
+        assert r.u == r.t and "<|" not in r.e
+    roles = ["a\nb", "a\\nb", "\\", "\\\\n", "<|im_end|>", "\n\n", ""]
+    df = spark.createDataFrame([(t,) for t in roles], "t string")
+    for r in df.select("t", chat._escape_role(df.t).alias("e"), chat._unescape_role(chat._escape_role(df.t)).alias("u")).collect():
+        assert r.u == r.t and "\n" not in r.e
+
+
+def test_round_trip_and_mask(spark):
+    rows = [(5, 0, "user", None), (5, 1, "assistant", "<|im_end|>\n<|im_start|>"), (5, 1, "assistant", "tie"), (5, 2, "assistant", "é😀"),
+            (6, 0, None, "x" * 200_000), (6, 0, None, "same"), (6, 0, None, "same"), (None, 0, "user", "no id"), (7, None, "assistant", "")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    from pyspark.sql import functions as F
+    table = table.withColumns({c: F.lit("clash") for c in ("msg", "seq", "event", "at", "piece", "turns", "loss")})
+    done = chat.format_events(chat.table_events(table))
+    got = {r.conv_id: r for r in done.select("conv_id", "formatted", chat.read_back(F.col("formatted")).alias("turns"),
+                                             chat.masked_texts(F.col("formatted"), F.col("loss_spans")).alias("masked")).collect()}
+    assert [tuple(t) for t in got[5].turns] == [("user", ""), ("assistant", "<|im_end|>\n<|im_start|>"), ("assistant", "tie"), ("assistant", "é😀")]
+    assert got[5].masked == ["<|im_end|>\n<|im_start|>", "tie", "é😀"]
+    assert [t.text for t in got[6].turns] == ["same", "same", "x" * 200_000] and got[6].masked == []
+    assert [tuple(t) for t in got[None].turns] == [("user", "no id")] and got[7].masked == [""]
+    assert got[5].formatted.startswith("<|im_start|>user\n<|im_end|>\n<|im_start|>assistant\n")
+
+
+def test_empty_log_and_query(spark, tmp_path):
+    assert chat.format_events(spark.createDataFrame([], SCHEMA)).count() == 0
+    spark.createDataFrame([], "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    (row,) = chat.op3(spark, str(tmp_path)).collect()
+    said = "<|im_end|><|im_start|>assistant ok"
+    assert (row.conv_id, row.n_turns, row.loss_chars) == (-1, 2, len(said))
+    assert row.loss_sha256 == hashlib.sha256(said.encode()).hexdigest()
+    assert row.turns_sha256 == hashlib.sha256(f"user\n{said}\nassistant\n{said}\n".encode()).hexdigest()
