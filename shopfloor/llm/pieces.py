@@ -20,6 +20,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,7 @@ CACHE_WORDS = 600_000
 CACHE_CHARS = 64
 
 #: Words and characters that advance together.
-ROWS = 4096
+ROWS = 8192
 CELLS = 1 << 18
 
 CHAR_BASE = 0x8CB92BA72F3D8DD7
@@ -109,7 +110,8 @@ def merged(symbols: str, rank: dict[str, float]) -> list[str]:
     return [p for p in parts if p is not None]
 
 
-#: The upper bits of a polynomial hash depend on every character.
+#: A hash is the sum of (character + 1) * base ** place, places from 1, modulo
+#: 2**64; its upper bits depend on every character.
 BITMAP_SHIFT = np.uint64(64 - BITMAP_BITS.bit_length() + 1)
 
 
@@ -128,16 +130,19 @@ class Encoder:
         if v.kind == "bpe":
             self._pair_tables(plain)
             plain = [i for i in plain if self.reached[i]]
-        size = self.longest + 1
-        up = np.ones(size, dtype=np.uint64)
-        up[1:] = np.multiply.accumulate(np.full(size - 1, CHAR_BASE, dtype=np.uint64))
+        up = np.ones(self.longest + 1, dtype=np.uint64)
+        up[1:] = np.multiply.accumulate(np.full(self.longest, CHAR_BASE, dtype=np.uint64))
         keys = np.array([self._key(v.pieces[i], up) for i in plain], dtype=np.uint64)
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], np.array(plain, dtype=np.int64)[order]
         assert len(np.unique(self.keys)) == len(self.keys), "two pieces share a hash"
         self.scores = np.array(v.scores)
         self.bitmap = np.zeros(BITMAP_BITS, dtype=bool)
-        self.bitmap[(self.keys >> BITMAP_SHIFT).astype(np.int64)] = True
+        slot = (self.keys >> BITMAP_SHIFT).astype(np.int64)
+        self.bitmap[slot] = True
+        #: Where the sorted keys with given upper bits begin, and how many share them.
+        self.begin = np.searchsorted(slot, np.arange(BITMAP_BITS)).astype(np.int32)
+        self.most = int(np.bincount(slot).max(initial=1))
         #: An unknown character costs more than any piece.
         self.unknown_score = min(v.scores, default=0.0) - 10.0
 
@@ -156,7 +161,7 @@ class Encoder:
     @staticmethod
     def _key(piece: str, up: np.ndarray) -> int:
         codes = np.array([ord(c) + 1 for c in piece], dtype=np.uint64)
-        return int((codes * up[: len(codes)]).sum())
+        return int((codes * up[1 : len(codes) + 1]).sum())
 
     # --- BPE: which pieces can stand side by side
 
@@ -246,7 +251,16 @@ class Encoder:
 
     # --- the walk
 
-    def _walk(self, words: list[str]) -> list[np.ndarray]:
+    def _probe(self, some: np.ndarray, key: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rows whose substring is a piece, and the piece."""
+        first = self.begin[slot]
+        spot = first.copy()
+        for more in range(1, self.most):
+            spot = np.where(self.keys[spot] < key, np.minimum(first + more, len(self.keys) - 1), spot)
+        hit = self.keys[spot] == key
+        return some[hit], self.ids[spot[hit]]
+
+    def _walk(self, words: list[str]) -> list[bytes]:
         """Ids of words of one length."""
         n, length = len(words), len(words[0])
         codes = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32).reshape(n, length).astype(np.uint64) + np.uint64(1)
@@ -255,74 +269,88 @@ class Encoder:
         down = np.ones(length + 1, dtype=np.uint64)
         down[1:] = np.multiply.accumulate(np.full(length, pow(CHAR_BASE, -1, 1 << 64), dtype=np.uint64))
         total = np.zeros((length + 1, n), dtype=np.uint64)
-        np.cumsum((codes * up[:length]).T, axis=0, out=total[1:])
+        np.cumsum((codes * up[1:]).T, axis=0, out=total[1:])
         bpe, unknown = self.vocabulary.kind == "bpe", len(self.vocabulary.pieces)
         best = np.zeros((length + 1, n))
-        last = np.full((length + 1, n), -1, dtype=np.int64)
-        back = np.zeros((length + 1, n), dtype=np.int64)
+        last = np.full((length + 1, n), unknown, dtype=np.int64)
+        back = np.ones((length + 1, n), dtype=np.int64)
         rows = np.arange(n)
         for end in range(1, length + 1):
-            widest = min(self.longest, end)
-            # An unknown character is the path of length 1 unless a piece is better.
-            value = np.full((widest, n), -np.inf)
-            piece = np.full((widest, n), unknown, dtype=np.int64)
-            for width in range(1, widest + 1):
+            hits = []
+            for width in range(1, min(self.longest, end) + 1):
                 key = (total[end] - total[end - width]) * down[end - width]
-                some = np.flatnonzero(self.bitmap[key >> BITMAP_SHIFT])
-                spot = np.minimum(np.searchsorted(self.keys, key[some]), len(self.keys) - 1)
-                hit = self.keys[spot] == key[some]
-                some, ids = some[hit], self.ids[spot[hit]]
-                if bpe and end > width:
-                    fits = self._joins(last[end - width, some], ids)
-                    some, ids = some[fits], ids[fits]
-                value[width - 1, some] = width if bpe else best[end - width, some] + self.scores[ids]
+                slot = key >> BITMAP_SHIFT
+                some = np.flatnonzero(self.bitmap[slot])
+                hits.append((width, *self._probe(some, key[some], slot[some])))
+            if bpe:
+                # One piece fits every position, most often the longest.
+                open_ = np.ones(n, dtype=bool)
+                for width, some, ids in reversed(hits):
+                    left = open_[some]
+                    some, ids = some[left], ids[left]
+                    if end > width:
+                        fits = self._joins(last[end - width, some], ids)
+                        some, ids = some[fits], ids[fits]
+                    open_[some] = False
+                    last[end, some], back[end, some] = ids, width
+                continue
+            value = np.full((len(hits), n), -np.inf)
+            piece = np.full((len(hits), n), unknown, dtype=np.int64)
+            for width, some, ids in hits:
+                value[width - 1, some] = best[end - width, some] + self.scores[ids]
                 piece[width - 1, some] = ids
+            # A character outside the vocabulary is a path of length 1.
             free = piece[0] == unknown
-            lone = np.full(n, 0.5) if bpe else best[end - 1] + self.unknown_score
-            value[0, free] = lone[free]
+            value[0, free] = best[end - 1, free] + self.unknown_score
             pick = value.argmax(axis=0)
             best[end] = value[pick, rows]
             last[end] = piece[pick, rows]
             back[end] = pick + 1
-        out: list[list[int]] = [[] for _ in range(n)]
+        found, of_row = [], []
         at, going = np.full(n, length), rows
         while len(going):
-            for r, i in zip(going.tolist(), last[at[going], going].tolist()):
-                out[r].append(i)
-            at[going] -= back[at[going], going]
+            here = at[going]
+            found.append(last[here, going])
+            of_row.append(going)
+            at[going] = here - back[here, going]
             going = going[at[going] > 0]
-        return [self._final(w, ids[::-1]) for w, ids in zip(words, out)]
+        ids, of_row = np.concatenate(found[::-1]), np.concatenate(of_row[::-1])
+        order = np.argsort(of_row, kind="stable")
+        ids, ends = ids[order].astype(np.int32), np.append(0, np.cumsum(np.bincount(of_row, minlength=n)))
+        flat = ids.tobytes()
+        out = [flat[4 * lo : 4 * hi] for lo, hi in zip(ends[:-1].tolist(), ends[1:].tolist())]
+        for r in np.unique(of_row[order][ids == unknown]).tolist():
+            out[r] = self._final(words[r], ids[ends[r] : ends[r + 1]].tolist())
+        return out
 
-    def _final(self, word: str, ids: list[int]) -> np.ndarray:
+    def _final(self, word: str, ids: list[int]) -> bytes:
         """Unknown characters become bytes, or one unknown id in a row."""
         v = self.vocabulary
         unknown = len(v.pieces)
-        if unknown in ids:
-            out, at = [], 0
-            for i in ids:
-                if i != unknown:
-                    out.append(i)
-                    at += len(v.pieces[i])
-                    continue
-                if v.bytes_at:
-                    out += [v.bytes_at[b] for b in word[at].encode()]
-                elif not out or out[-1] != v.unknown:
-                    out.append(v.unknown)
-                at += 1
-            ids = out
-        return np.array(ids, dtype=np.int32)
-
-    def _plainly(self, word: str) -> np.ndarray:
+        out, at = [], 0
+        for i in ids:
+            if i != unknown:
+                out.append(i)
+                at += len(v.pieces[i])
+                continue
+            if v.bytes_at:
+                out += [v.bytes_at[b] for b in word[at].encode()]
+            elif not out or out[-1] != v.unknown:
+                out.append(v.unknown)
+            at += 1
+        return np.array(out, dtype=np.int32).tobytes()
+
+    def _plainly(self, word: str) -> bytes:
         return self._final(word, [self.id_of.get(p, len(self.vocabulary.pieces)) for p in merged(word, self.rank_of)])
 
-    def encode_words(self, words: list[str]) -> dict[str, np.ndarray]:
-        """Ids of distinct words."""
-        out: dict[str, np.ndarray] = {}
+    def encode_words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of distinct words, as int32 bytes."""
+        out: dict[str, bytes] = {}
         by_length: dict[int, list[str]] = {}
         tied = self.tied if self.vocabulary.kind == "bpe" else []
-        pattern = re.compile("|".join(map(re.escape, tied))) if tied else None
+        search = re.compile("|".join(map(re.escape, tied))).search if tied else lambda w: None
         for w in words:
-            if pattern and pattern.search(w):
+            if search(w):
                 out[w] = self._plainly(w)
             else:
                 by_length.setdefault(len(w), []).append(w)
@@ -340,18 +368,17 @@ class Encoder:
         for t in texts:
             plain = (t or "").replace(" ", SPACE)
             split.append(self.splitter.findall((SPACE + plain if v.dummy_prefix else plain) if plain else ""))
-        new = {w for words in split for w in words if w not in cache}
-        long: dict[str, bytes] = {}
-        if new:
-            if len(cache) + len(new) > CACHE_WORDS:
-                cache.clear()
-                new = {w for words in split for w in words}
-            for w, ids in self.encode_words(sorted(new)).items():
-                (cache if len(w) <= CACHE_CHARS else long)[w] = ids.tobytes()
-        out = []
-        for words in split:
-            ids = np.frombuffer(b"".join([cache[w] if w in cache else long[w] for w in words]), dtype=np.int32)
-            out.append(self._one_unknown(ids))
+        words = set(chain.from_iterable(split))
+        new = words.difference(cache)
+        if len(cache) + len(new) > CACHE_WORDS:
+            cache.clear()
+            new = words
+        found = self.encode_words(list(new))
+        long = {w: ids for w, ids in found.items() if len(w) > CACHE_CHARS}
+        cache.update(found)
+        out = [self._one_unknown(np.frombuffer(b"".join(map(cache.__getitem__, own)), dtype=np.int32)) for own in split]
+        for w in long:
+            del cache[w]
         return out
 
     def _one_unknown(self, ids: np.ndarray) -> np.ndarray:
@@ -394,7 +421,7 @@ class Decoder:
 
 
 #: Texts that are encoded together, in characters.
-BATCH_CHARS = 2 << 20
+BATCH_CHARS = 6 << 20
 
 
 def _batches(texts: list[str | None]) -> Iterator[list[str | None]]:

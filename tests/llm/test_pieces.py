@@ -66,7 +66,7 @@ def test_unigram_paths_are_the_best(with_bytes):
     words = ["▁" * rng.randint(0, 2) + "".join(rng.choice("abcd") for _ in range(rng.randint(1, 14))) for _ in range(300)]
     for word, ids in encoder.encode_words(sorted(set(words))).items():
         total, text, at = 0.0, "", 0
-        for i in ids.tolist():
+        for i in np.frombuffer(ids, dtype=np.int32).tolist():
             if i >= start:
                 total += scores[i]
                 text += own[i]
