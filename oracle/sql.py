@@ -8,17 +8,27 @@ driver's pre-registered tables.
 
 from __future__ import annotations
 
-from datetime import timedelta
-
-from shopfloor.functions.rules import CATEGORY_FAMILIES, DEFAULT_FAMILY
-from shopfloor.config import (
-    AGE_MAX, AGE_MIN, DEFAULT_PARAMS, GENDERS, PAYMENT_METHODS, PRICE_MAX, PRICE_MIN, SCD2_TRACK,
-    STORE_STATUSES,
+# Fixed values, written out here on purpose: nothing is imported from the
+# package, so a wrong value there shows as a difference.
+LO, HI = "1997-01-01 00:00:00", "1998-12-31 23:59:59"
+AS_OF = "2002-01-01"
+ACQUIRED_SINCE = "1995-07-02"  # 90 days before 1995-09-30
+RUN_TS = "2002-01-01 00:00:00"
+PAYMENT_METHODS = ("Cash", "Credit Card", "Debit Card", "Mobile Pay", "Gift Card", "UPI", "Net Banking")
+SCD2_TRACK = {
+    "customers": ("name", "email", "address", "phone_number", "gender"),
+    "products": ("name", "category", "brand", "price", "description", "color", "size"),
+    "stores": ("name", "address", "manager", "status"),
+}
+CATEGORY_FAMILIES = (
+    ("footwear", "shoe|sandal|chappal|loafer|slipper|boot"),
+    ("accessories", "belt|cap|scarf|socks|muffler|backpack"),
+    ("ethnic", "saree|salwar|kameez|lehenga|kurti|dupatta|anarkali|churidar|kurta|sherwani|nehru|dhoti|pajama|pathani"),
+    ("sport", "track|sport|active|gym|workout|jersey"),
+    ("formal", "shirt|blazer|suit|tie|formal"),
+    ("winter", "jacket|sweater|hoodie|sweatshirt"),
+    ("party", "gown|dress|party"),
 )
-
-P = DEFAULT_PARAMS
-LO = P.date_min.strftime("%Y-%m-%d %H:%M:%S")
-HI = P.date_max.strftime("%Y-%m-%d %H:%M:%S")
 EVENT_RANGE = f"event_time >= TIMESTAMP '{LO}' AND event_time <= TIMESTAMP '{HI}'"
 DATE_RANGE = f"sale_date >= TIMESTAMP '{LO}' AND sale_date <= TIMESTAMP '{HI}'"
 
@@ -28,14 +38,15 @@ def _in(values) -> str:
 
 
 def money(x: str) -> str:
-    return f"CAST({x} AS DECIMAL(18,2))"
+    return f"CAST({x} AS DECIMAL(28,6))"
 
 
 def r2(num_hundredths: str, den: str) -> str:
-    """ROUND(n / d, 2), half away from zero, from 100*n and d (integers)."""
-    n, d = f"CAST({num_hundredths} AS BIGINT)", f"CAST({den} AS BIGINT)"
+    """ROUND(n / d, 2), half away from zero, from 100 * n (up to four decimals) and an integer d."""
+    n, d = f"CAST({num_hundredths} AS DECIMAL(30,4))", f"CAST({den} AS HUGEINT)"
     sign = f"(CASE WHEN ({n} < 0) <> ({d} < 0) THEN -1 ELSE 1 END)"
-    return (f"(CASE WHEN {d} = 0 THEN NULL ELSE CAST({sign} * ((2 * abs({n}) + abs({d})) // (2 * abs({d}))) "
+    whole = f"CAST(abs({n}) * 10000 AS HUGEINT)"
+    return (f"(CASE WHEN {d} = 0 THEN NULL ELSE CAST({sign} * ((2 * {whole} + 10000 * abs({d})) // (20000 * abs({d}))) "
             f"AS DOUBLE) / 100 END)")
 
 
@@ -44,7 +55,7 @@ def round2(dec: str) -> str:
 
 
 def cents(dec: str) -> str:
-    return f"CAST({dec} * 100 AS BIGINT)"
+    return f"CAST({dec} AS DECIMAL(28,6)) * 100"
 
 
 def msum(col: str) -> str:
@@ -60,44 +71,62 @@ def ok(pred: str) -> str:
 FEEDS = {
     "sales": """
 with b as (
- select l.*, o.o_custkey, o.o_orderpriority,
-  case when l_returnflag = 'R' and l_linenumber = 7 then -cast(l_quantity as int)
-       when l_linenumber = 1 and l_suppkey % 25 = 0 then 0 else cast(l_quantity as int) end as quantity,
+ select l.*, o.o_custkey, o.o_orderkey, o.o_orderpriority,
+  case when l_returnflag = 'R' and l_linenumber = 7 then -cast(l_quantity as bigint)
+       when l_linenumber = 1 and l_suppkey % 25 = 0 then 0 else cast(l_quantity as bigint) end as quantity,
   (l_partkey * 37) % 20000 + 90000 as cents
- from lineitem l join orders o on l.l_orderkey = o.o_orderkey)
-select cast(l_orderkey as int) as transaction_id, cast(l_suppkey as int) as store_id,
+ from lineitem l join orders o on l.l_orderkey = o.o_orderkey),
+t as (select *, cast(quantity as hugeint) * cents * case when cents <= 100000 then 5 else 12 end as tax_parts from b)
+select cast(l_orderkey as bigint) as transaction_id,
+ cast(case when l_suppkey % 20 = 9 then l_suppkey + 10000000 else l_suppkey end as bigint) as store_id,
  cast(l_shipdate + l_linenumber * interval '1' hour as timestamp) as event_time,
- cast(o_custkey as int) as customer_id, cast(l_partkey as int) as product_id, quantity,
+ cast(case when o_orderkey % 37 = 5 then o_custkey + 10000000 else o_custkey end as bigint) as customer_id,
+ cast(l_partkey as bigint) as product_id, quantity,
  cast(cents as double) / 100 as unit_price, cast(quantity * cents as double) / 100 as total_amount,
  case o_orderpriority when '1-URGENT' then 'Credit Card' when '2-HIGH' then 'UPI' when '3-MEDIUM' then 'Cash'
   when '4-NOT SPECIFIED' then 'Net Banking' else 'Cheque' end as payment_method,
  case when l_partkey % 50 = 0 then -(l_discount + 0.01e0) else l_discount end as discount_applied,
- cast(quantity * cents * case when cents <= 100000 then 5 else 12 end as double) / 10000 as tax_amount
-from b""",
+ cast(case when tax_parts < 0 then -((50 - tax_parts) // 100) else (tax_parts + 50) // 100 end as double) / 100 as tax_amount
+from t""",
     "customers": """
-select cast(c_custkey as int) as customer_id, c_name as name,
- case when c_custkey % 50 = 0 then null when c_custkey % 50 = 1 then 'bad-email' else concat(c_name, '@x.io') end as email,
- concat('addr ', cast(c_nationkey as varchar)) as address, timestamp '1994-06-01 00:00:00' as join_date,
- cast(floor(c_acctbal) as int) as loyalty_points, concat('p', cast(c_custkey as varchar)) as phone_number,
- cast(c_custkey % 110 as int) as age,
+with x as (select *, unnest(range(0, c_custkey % 4 + 1)) as v from customer)
+select cast(c_custkey as bigint) as customer_id, c_name as name,
+ case when c_custkey % 50 = 0 or (v = 1 and c_custkey % 3 = 0) then null when c_custkey % 50 = 1 then 'bad-email'
+  when v = 2 then concat(c_name, '.new@x.io') else concat(c_name, '@x.io') end as email,
+ concat('addr ', cast(c_nationkey + case when v = 3 then 100 else 0 end as varchar), chr(10), 'floor ',
+  cast(c_custkey % 9 as varchar)) as address, timestamp '1994-06-01 00:00:00' as join_date,
+ cast(floor(c_acctbal) as bigint) + v * 10 as loyalty_points, concat('p', cast(c_custkey as varchar)) as phone_number,
+ cast(c_custkey % 110 as bigint) as age,
  case c_custkey % 4 when 0 then 'Male' when 1 then 'Female' when 2 then 'Other' else 'n/a' end as gender,
- timestamp '1995-01-01 00:00:00' as last_update_time
-from customer where c_custkey % 37 <> 5""",
+ timestamp '1995-01-01 00:00:00' + interval 1 day * (case when c_custkey % 11 = 0 and v = 1 then 0
+  when c_custkey % 2 = 1 then 3 - v else v end) as last_update_time
+from x""",
     "products": """
-select cast(p_partkey as int) as product_id, p_name as name,
+with x as (select *, unnest(range(0, p_partkey % 3 + 1)) as v from part)
+select cast(p_partkey as bigint) as product_id,
+ concat(p_name, ' ', list_extract(['Shoe', 'Belt', 'Saree', 'Track', 'Shirt', 'Sweater', 'Gown', 'Jeans', 'Cap'],
+  p_partkey % 9 + 1)) as name,
  case when p_partkey % 40 = 7 then null else p_type end as category,
- case when p_partkey % 30 = 0 then null else p_brand end as brand,
- case when p_partkey % 25 = 3 then 50.0e0 when p_partkey % 25 = 4 then 10000.0e0 else p_retailprice end as price,
- cast(p_partkey % 7 as int) - 1 as stock_quantity, cast(p_size as varchar) as size, split_part(p_name, ' ', 1) as color,
- concat('about ', p_name) as description, timestamp '1995-01-01 00:00:00' as last_update_time
-from part""",
+ case when p_partkey % 30 = 0 or (v = 1 and p_partkey % 4 = 1) then null else p_brand end as brand,
+ case when p_partkey % 25 = 3 then 50.0e0 when p_partkey % 25 = 4 then 10000.0e0
+  else p_retailprice + case when v = 2 then 1.0e0 else 0.0e0 end end as price,
+ cast(case when p_partkey % 23 = 0 then 3000000000 else p_partkey % 7 - 1 + v end as bigint) as stock_quantity,
+ cast(p_size as varchar) as size, split_part(p_name, ' ', 1) as color, concat('about ', p_name) as description,
+ timestamp '1995-01-01 00:00:00' + interval 1 day * ((v * 2) % 3) as last_update_time
+from x""",
     "stores": """
-select cast(s_suppkey as int) as store_id, s_name as name, concat('addr ', cast(s_nationkey as varchar)) as address,
+with x as (select *, unnest(range(0, s_suppkey % 3 + 1)) as v from supplier)
+select cast(s_suppkey as bigint) as store_id, s_name as name, concat('addr ', cast(s_nationkey as varchar)) as address,
  case when s_suppkey % 10 = 3 then null else concat('m', cast(s_nationkey as varchar)) end as manager,
  timestamp '1994-01-01 00:00:00' as open_date,
- case s_suppkey % 4 when 0 then 'Under Renovation' when 1 then 'Closed' else 'Open' end as status,
- concat('p', cast(s_suppkey as varchar)) as phone_number, timestamp '1995-01-01 00:00:00' as last_update_time
-from supplier where s_suppkey % 20 <> 19""",
+ case (s_suppkey + v // 2) % 4 when 0 then 'Under Renovation' when 1 then 'Closed' else 'Open' end as status,
+ concat('p', cast(s_suppkey as varchar), '-', cast(v as varchar)) as phone_number,
+ timestamp '1995-01-01 00:00:00' + interval 1 day * (2 - v) as last_update_time
+from x""",
+    "product_grades": """
+select cast(l_partkey as int) as product_id, l_returnflag as grade,
+ case when l_linenumber % 3 <> 0 then l_linestatus end as state, cast(l_quantity as int) as quantity,
+ cast(l_shipdate + (l_linenumber % 2) * interval '1' hour as timestamp) as last_update_time from lineitem""",
     "customer_changes": """
 select cast(user_id as int) as customer_id, concat('n', cast(user_id as varchar)) as name,
  case when event_type = 'error' then null else concat(event_type, '@x.io') end as email,
@@ -145,13 +174,13 @@ def _scd2_for(entity: str, src: str) -> str:
 CUSTOMER_PRED = [
     ("valid customer_id", "customer_id IS NOT NULL", "drop"),
     ("valid_email", "email IS NULL OR email LIKE '%@%.%'", "warn"),
-    ("realistic_age", f"age >= {AGE_MIN} AND age <= {AGE_MAX}", "warn"),
+    ("realistic_age", "age >= 16 AND age <= 100", "warn"),
     ("realistic_loyalty_points", "loyalty_points >= 0", "warn"),
-    ("valid_gender", f"gender IN ({_in(GENDERS)})", "warn"),
+    ("valid_gender", "gender IN ('Male', 'Female', 'Other')", "warn"),
 ]
 PRODUCT_PRED = [
     ("valid_product_id", "product_id IS NOT NULL", "drop"),
-    ("valid_product_price", f"price >= {PRICE_MIN} AND price < {PRICE_MAX}", "drop"),
+    ("valid_product_price", "price >= 99 AND price < 10000", "drop"),
     ("valid_category", "category IS NOT NULL", "drop"),
     ("non_negative_stock", "stock_quantity >= 0", "warn"),
     ("valid_brand", "brand IS NOT NULL", "warn"),
@@ -159,7 +188,7 @@ PRODUCT_PRED = [
 STORE_PRED = [
     ("valid_store_id", "store_id IS NOT NULL", "drop"),
     ("valid_manager_name", "manager IS NOT NULL", "warn"),
-    ("valid_status", f"status IN ({_in(STORE_STATUSES)})", "warn"),
+    ("valid_status", "status IN ('Open', 'Under Renovation')", "warn"),
 ]
 SALES_PRED = [
     ("valid_payment_method", f"payment_method IN ({_in(PAYMENT_METHODS)})", "warn"),
@@ -178,9 +207,15 @@ def drops(rules) -> str:
     return " AND ".join(preds) if preds else "TRUE"
 
 
+INTS = ("transaction_id", "store_id", "customer_id", "product_id", "quantity", "loyalty_points", "age", "stock_quantity")
+FILE = {"sales": "lineitem", "customers": "customer", "products": "part", "stores": "supplier"}
+
+
 def _bronze(entity: str) -> str:
-    # The typed projection is the identity on these feeds; E1 keeps key IS NOT NULL.
-    return f"SELECT * FROM feed_{entity} WHERE {KEY[entity]} IS NOT NULL"
+    # Whole numbers land as BIGINT; one that does not fit is NULL. E1 keeps key IS NOT NULL.
+    cols = ", ".join(f"try_cast({c} AS INTEGER) AS {c}" if c in INTS else c for c in COLUMNS[entity])
+    return (f"SELECT * FROM (SELECT {cols}, TIMESTAMP '{RUN_TS}' AS ingest_timestamp, '{FILE[entity]}.parquet' AS source_file_path "
+            f"FROM feed_{entity}) WHERE {KEY[entity]} IS NOT NULL")
 
 
 def _clv(as_of) -> str:
@@ -191,7 +226,7 @@ def _clv(as_of) -> str:
    FROM gold_facts GROUP BY customer_id, customer_name),
  b AS (SELECT customer_id, coalesce(customer_name, 'Unknown') AS customer_name, {round2('s_')} AS total_spend,
      total_orders, {r2(cents('s_'), 'n_')} AS avg_order_value, first_purchase_date, last_purchase_date,
-     CAST(datediff('day', last_purchase_date, DATE '{as_of.isoformat()}') AS INTEGER) AS days_since_last_purchase
+     CAST(datediff('day', last_purchase_date, DATE '{as_of}') AS INTEGER) AS days_since_last_purchase
    FROM a WHERE total_orders > 0 AND round(s_, 2) >= 0 AND last_purchase_date IS NOT NULL),
  c AS (SELECT *,
      CAST(ntile(5) OVER (ORDER BY days_since_last_purchase ASC, customer_id ASC, customer_name ASC) AS INTEGER) AS r_score,
@@ -211,7 +246,7 @@ def _clv(as_of) -> str:
 
 # name -> (sql body, dependencies)
 CTES: dict[str, tuple[str, list[str]]] = {}
-for _e in ("sales", "customers", "products", "stores", "customer_changes"):
+for _e in ("sales", "customers", "products", "stores", "customer_changes", "product_grades"):
     CTES[f"feed_{_e}"] = (FEEDS[_e], [])
 for _e in ("sales", "customers", "products", "stores"):
     CTES[f"bronze_{_e}"] = (_bronze(_e), [f"feed_{_e}"])
@@ -248,7 +283,7 @@ CTES["gold_product"] = (f"""SELECT product_id, product_name, product_category,
   {round2(f"sum({money('total_amount')})")} AS total_revenue, CAST(sum(quantity) AS BIGINT) AS total_quantity_sold,
   count(transaction_id) AS total_orders
   FROM gold_facts GROUP BY product_id, product_name, product_category""", ["gold_facts"])
-CTES["gold_customer"] = (_clv(P.as_of), ["gold_facts"])
+CTES["gold_customer"] = (_clv(AS_OF), ["gold_facts"])
 CTES["store_kpis"] = (f"""SELECT store_name, sum({money('total_revenue')}) AS rev_,
   CAST(sum(total_transactions) AS BIGINT) AS total_transactions,
   CAST(sum(unique_customers) AS BIGINT) AS total_unique_customers, CAST(sum(total_items_sold) AS BIGINT) AS items_
@@ -278,6 +313,9 @@ CTES["quality_report"] = (" UNION ALL ".join([
 ]), ["feed_sales", "feed_customers", "feed_products", "feed_stores", "bronze_customers", "bronze_products",
      "stores_body", "sales_body", "sales_cleaned", "returns_body"])
 
+CTES["product_grades_history"] = (
+    scd2_sql("feed_product_grades", "product_id", "last_update_time", ["grade", "state", "quantity"], ["grade", "state"]),
+    ["feed_product_grades"])
 _CHANGE_COLS = ["name", "email", "loyalty_points"]
 CTES["customer_changes_history"] = (
     scd2_sql("feed_customer_changes", "customer_id", "last_update_time", _CHANGE_COLS, ["name", "email"]),
@@ -289,8 +327,6 @@ def _segment_order() -> str:
             "WHEN 'New/Potential' THEN 4 WHEN 'Lost' THEN 5 END")
 
 
-_ACQ_SINCE = (P.acquisition_as_of - timedelta(days=P.acquisition_days)).isoformat()
-
 # query name -> (final SELECT, dependencies)
 QUERIES: dict[str, tuple[str, list[str]]] = {
     "b1_bronze_sales": ("SELECT * FROM bronze_sales", ["bronze_sales"]),
@@ -305,6 +341,7 @@ QUERIES: dict[str, tuple[str, list[str]]] = {
     "h2_scd2_products": ("SELECT * FROM silver_products", ["silver_products"]),
     "h3_scd2_stores": ("SELECT * FROM silver_stores", ["silver_stores"]),
     "h4_scd2_customer_changes": ("SELECT * FROM customer_changes_history", ["customer_changes_history"]),
+    "h5_scd2_hot_keys": ("SELECT * FROM product_grades_history", ["product_grades_history"]),
     "v1_customers_current": ("SELECT * FROM customers_current", ["customers_current"]),
     "v2_products_current": ("SELECT * FROM products_current", ["products_current"]),
     "v3_stores_current": ("SELECT * FROM stores_current", ["stores_current"]),
@@ -385,7 +422,7 @@ QUERIES: dict[str, tuple[str, list[str]]] = {
         f"GROUP BY rfm_segment) ORDER BY {_segment_order()}", ["gold_customer"]),
     "q18_acquisition": (
         f"SELECT CAST(first_purchase_date AS DATE) AS acquisition_date, count(*) AS new_customers "
-        f"FROM gold_customer WHERE first_purchase_date >= DATE '{_ACQ_SINCE}' "
+        f"FROM gold_customer WHERE first_purchase_date >= DATE '{ACQUIRED_SINCE}' "
         f"GROUP BY CAST(first_purchase_date AS DATE) ORDER BY acquisition_date ASC", ["gold_customer"]),
     "q19_top100_customers": (
         "SELECT customer_id, customer_name, round(total_spend, 2) AS total_spend, total_orders, "
@@ -394,13 +431,13 @@ QUERIES: dict[str, tuple[str, list[str]]] = {
 }
 
 
-_FAMILY = ("CASE " + " ".join(f"WHEN regexp_matches(lower(name), '{'|'.join(words)}') THEN '{fam}'"
-                              for fam, words in CATEGORY_FAMILIES) + f" ELSE '{DEFAULT_FAMILY}' END")
+_FAMILY = ("CASE " + " ".join(f"WHEN regexp_matches(lower(name), '{words}') THEN '{fam}'"
+                              for fam, words in CATEGORY_FAMILIES) + f" ELSE 'default' END")
 _TAX_RATE = "CAST(CASE WHEN unit_price <= 1000 THEN 0.05 ELSE 0.12 END AS DECIMAL(4,2))"
 
 QUERIES.update({
     "j8_orphans": (" UNION ALL ".join(
-        f"SELECT b.*, '{name}' AS missing_dimension FROM bronze_sales b WHERE NOT EXISTS "
+        f"SELECT b.* EXCLUDE (ingest_timestamp, source_file_path), '{name}' AS missing_dimension FROM bronze_sales b WHERE NOT EXISTS "
         f"(SELECT 1 FROM {name}_current d WHERE d.{key} = b.{key})"
         for name, key in (("stores", "store_id"), ("customers", "customer_id"), ("products", "product_id"))),
         ["bronze_sales", "stores_current", "customers_current", "products_current"]),

@@ -32,20 +32,26 @@ QUALITY_METRICS = f"{QUALITY}.expectations"
 
 # Dataset comments.
 COMMENTS = {
-    BRONZE_SALES: "Raw sales data",
-    BRONZE_CUSTOMERS: "Raw customers data from landing zone",
-    BRONZE_PRODUCTS: "Raw products data",
-    BRONZE_STORES: "Raw stores data",
-    SILVER_CUSTOMERS: "SCD2 customers",
-    SILVER_PRODUCTS: "SCD2 products",
-    SILVER_STORES: "SCD2 stores",
-    SILVER_SALES: "Stream sales table (positive quantity)",
-    SILVER_RETURNS: "Stream returns table (negative quantity)",
-    GOLD_FACTS: "Fully denormalized sales fact table for analytic use",
-    GOLD_DAILY_STORE: "Daily store sales summary",
-    GOLD_PRODUCT: "Product sales performance metrics",
-    GOLD_CUSTOMER: "Customer lifetime value metrics with RFM segmentation",
-    QUALITY_METRICS: "Expectation counters per dataset and batch",
+    BRONZE_SALES: "Every landed sales line, typed, with its ingest time and file",
+    BRONZE_CUSTOMERS: "Every landed customer change, typed",
+    BRONZE_PRODUCTS: "Every landed product change, typed",
+    BRONZE_STORES: "Every landed store change, typed",
+    SILVER_CUSTOMERS: "Customer versions over time",
+    SILVER_PRODUCTS: "Product versions over time",
+    SILVER_STORES: "Store versions over time",
+    SILVER_SALES: "Checked sales lines that sold something",
+    SILVER_RETURNS: "Checked sales lines that came back, as positive amounts",
+    GOLD_FACTS: "One wide row per sold line, with today's names",
+    GOLD_DAILY_STORE: "Turnover, lines, items and customers of each store and UTC day",
+    GOLD_PRODUCT: "Turnover, items and lines of each product",
+    GOLD_CUSTOMER: "Spend, orders, recency and segment of each customer",
+    QUALITY_METRICS: "Rows passing and failing each rule, by dataset and batch",
+}
+# The views of open versions.
+CURRENT_VIEWS = {
+    SILVER_CUSTOMERS: "silver_customers_current",
+    SILVER_PRODUCTS: "silver_products_current",
+    SILVER_STORES: "silver_stores_current",
 }
 
 # --- fixed values that must equal the reference's ---------------------------

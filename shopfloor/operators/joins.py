@@ -1,12 +1,10 @@
-"""Dimension lookups (J1-J8) with a broadcast only behind a proven size bound.
-
-Dimensions grow with the data (customers, products and stores are all
-proportional to scale), so a blanket broadcast hint is wrong at scale. The
-key set of a dimension is broadcast only when a bounded probe
-(``limit(max_rows + 1).count()``) proves it has at most ``max_rows`` keys;
-otherwise the join is a shuffle join that adaptive execution may still turn
-into a broadcast from measured sizes, and whose skewed partitions (one hot
-store holding a third of the sales) it splits.
+"""Dimension lookups (J1-J8): semi and anti joins without hints.
+
+Dimensions grow with the data, so nothing here forces a broadcast or probes
+sizes with extra jobs. The planner picks a broadcast from estimated sizes,
+adaptive execution from measured ones; otherwise both sides are shuffled on
+the key and a skewed partition (one store holding a third of the sales) is
+split.
 """
 
 from __future__ import annotations
@@ -14,36 +12,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Keys (4-byte ints, ~16 bytes per hashed row) broadcast comfortably below 64 MB.
-MAX_BROADCAST_KEYS = 2_000_000
-
-
-def at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Reads no more than
-    ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
 
 
-def key_set(dim: DataFrame, keys: Sequence[str], max_rows: int = MAX_BROADCAST_KEYS,
-            distinct: bool = True, bound: DataFrame | None = None) -> DataFrame:
+def key_set(dim: DataFrame, keys: Sequence[str], distinct: bool = True) -> DataFrame:
     keys_df = dim.select(*keys)
-    if distinct:
-        keys_df = keys_df.distinct()
-    probe = keys_df if bound is None else bound
-    return F.broadcast(keys_df) if at_most(probe, max_rows) else keys_df
+    return keys_df.distinct() if distinct else keys_df
 
 
-def semi_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str],
-              max_rows: int = MAX_BROADCAST_KEYS, distinct: bool = True,
-              bound: DataFrame | None = None) -> DataFrame:
+def semi_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], distinct: bool = True) -> DataFrame:
     """Facts whose key exists in the dimension (J1-J3). ``distinct`` is
     redundant for a semi join; pass False when keys are already unique."""
-    return facts.join(key_set(dim, keys, max_rows, distinct, bound), list(keys), "left_semi")
+    return facts.join(key_set(dim, keys, distinct), list(keys), "left_semi")
 
 
-def orphans(facts: DataFrame, dim: DataFrame, keys: Sequence[str],
-            max_rows: int = MAX_BROADCAST_KEYS, bound: DataFrame | None = None) -> DataFrame:
+def orphans(facts: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Facts whose key is missing from the dimension (J8, anti join)."""
-    return facts.join(key_set(dim, keys, max_rows, distinct=False, bound=bound), list(keys), "left_anti")
+    return facts.join(key_set(dim, keys, distinct=False), list(keys), "left_anti")

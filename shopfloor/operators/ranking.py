@@ -25,14 +25,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.money import int_div
 from ..session import checkpoint_dir, shuffle_partitions
 
 
-def int_div(a: Column, b: Column) -> Column:
-    """a DIV b for a >= 0, b > 0 (exact, no float)."""
-    return ((a - F.pmod(a, b)) / b).cast("bigint")
-
-
 def global_row_number(df: DataFrame, order: Sequence[Column], out: str = "_rn",
                       partitions: int | None = None, checkpoint_input: bool = False) -> DataFrame:
     """Add ``out`` = 1-based position of each row in ``order``, and ``_n`` =
@@ -72,6 +68,20 @@ def ntile_of(rank: Column, total: Column, buckets: int) -> Column:
             .otherwise(int_div(rank - 1 - big, F.greatest(size, F.lit(1))) + rem + 1)).cast("int")
 
 
+def ntile_keys(df: DataFrame, keys: Sequence[str], buckets: int, metrics: dict[str, Column]) -> DataFrame:
+    """``df`` with one NTILE column per entry of ``metrics`` (name -> ordering
+    of a metric; ties by the keys, which must be unique and not NULL). Only the
+    keys and the one metric travel through each ranking; the tiles come back
+    by a join on the keys."""
+    ties = [F.col(k).asc() for k in keys]
+    out = df
+    for name, order in metrics.items():
+        narrow = df.select(*keys, order.alias("_metric"))
+        tiles = ntile(narrow, buckets, [F.col("_metric").asc(), *ties], name)
+        out = out.join(tiles.select(*keys, name), list(keys))
+    return out
+
+
 def ntile(df: DataFrame, buckets: int, order: Sequence[Column], out: str,
           partitions: int | None = None, checkpoint_input: bool = False) -> DataFrame:
     ranked = global_row_number(df, order, "_rn", partitions, checkpoint_input)

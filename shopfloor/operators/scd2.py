@@ -14,17 +14,22 @@ Per key, ordered by the sequence column:
 
 The result depends only on the set of rows, never on arrival order.
 
-Scale: a per-key window would put a key's whole history in one task. Keys
-with more than ``hot_rows`` rows (the ``max_hot_keys`` largest of them) are
-cut into sequence-quantile chunks; every step runs per
-(key, chunk) and what crosses a chunk boundary (last value so far, next
-version start) comes from per-chunk summaries that are small by construction
-(at most ``max_hot_keys * chunks`` rows) and broadcast. Cold keys are one
-chunk each and take no summary.
-
-The change log is shuffled once, on (key, chunk): the de-duplication and
-every window run on that partitioning and on its one sort by
-(key, chunk, sequence).
+Scale: a per-key window would put a key's whole history in one task. Every
+key with more than ``hot_rows`` rows, however many such keys there are, is cut
+into chunks of about ``hot_rows`` sequence values, so the number of chunks
+grows with the key. Every step runs per (key, chunk); what crosses a chunk
+boundary (last value so far, next version start) comes from per-chunk
+summaries. Cold keys are chunk 0 and take no summary; chunks of hot keys
+count from 1.
+
+The chunk bounds are values of a hash sample of the key's own sequence
+numbers: they depend on the set of rows only, not on how the rows are dealt
+out. They are checkpointed once and every branch reads that one table.
+
+The change log of cold keys is shuffled once, on the key: the de-duplication
+and every window run on that partitioning and on its one sort by (key,
+sequence). With hot keys, replays of a (key, sequence) are first combined
+map-side, then one shuffle on (key, chunk) serves the windows.
 """
 
 from __future__ import annotations
@@ -35,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.tables import local_rows
+from ..session import checkpoint_dir
 
 START, END = "__START_AT", "__END_AT"
 _CHUNK = "_chunk"
@@ -55,38 +60,52 @@ def _seq_number(df: DataFrame, seq: str) -> Column:
 
 
 def dedupe_sequence(changes: DataFrame, keys: Sequence[str], seq: str, cols: Sequence[str]) -> DataFrame:
-    """One row per (key, seq); ties resolved by the smallest row (NULLs first).
-    A grouped ``min`` is combined map-side, so a replayed key is cheap."""
+    """One row per (key, seq); ties resolved by the smallest row (NULLs first)."""
     picked = F.min(F.struct(*[F.col(c) for c in cols])).alias("_row")
     return (changes.where(F.col(seq).isNotNull())
             .groupBy(*keys, seq).agg(picked)
             .select(*keys, seq, *[F.col(f"_row.{c}").alias(c) for c in cols]))
 
 
-def _assign_chunks(rows: DataFrame, keys: list[str], seq: str, hot_rows: int, max_hot_keys: int,
-                   chunks: int) -> tuple[DataFrame, DataFrame | None]:
-    """Add ``_chunk``: 0 for cold keys, a sequence-quantile bucket for hot keys
-    (a function of key and sequence only). Hot keys are the (at most
-    ``max_hot_keys``) largest keys with more than ``hot_rows`` rows, found in
-    one grouped count whose top-k is collected: a bounded list. Returns the
-    rows and the hot keys as a DataFrame, or None if there are none."""
-    top = (rows.groupBy(*keys).count().where(F.col("count") > hot_rows)
-           .orderBy(F.col("count").desc(), *keys).limit(max_hot_keys).select(*keys).collect())
-    if not top:
-        return rows.withColumn(_CHUNK, F.lit(0)), None
-    hot = local_rows(rows.sparkSession, top, [(k, rows.schema[k].dataType.simpleString()) for k in keys])
-    probs = [i / chunks for i in range(1, chunks)]
+# Sampled sequence numbers per chunk: a chunk is within about an eighth of its size.
+_SAMPLED = 64
+# Every so many bounds there is a coarse one: a row finds its chunk in two short scans.
+_STRIDE = 64
+
+
+def chunk_bounds(rows: DataFrame, keys: list[str], seq: str, hot_rows: int) -> DataFrame | None:
+    """Per key with more than ``hot_rows`` rows its sorted chunk bounds
+    (``_bounds``) and every ``_STRIDE``-th of them (``_coarse``), checkpointed;
+    None if there is no such key. The sample of a key holds about ``_SAMPLED``
+    sequence numbers for every ``hot_rows`` rows."""
+    checkpoint_dir(rows.sparkSession)
+    hot = rows.groupBy(*keys).count().where(F.col("count") > hot_rows).select(*keys)
+    if hot.isEmpty():
+        return None
+    hot = hot.checkpoint(eager=True)
+    step = max(1, hot_rows // _SAMPLED)
+    per_chunk = max(1, hot_rows // step)
+    spot = F.pmod(F.xxhash64(*keys, seq, F.lit("chunk")), F.lit(step))
+    sample = (rows.join(hot, keys, "left_semi").where(spot == 0)
+              .select(*keys, _seq_number(rows, seq).alias("_num")).distinct())
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("_num"))
+    cuts = (sample.withColumn("_place", place).where(F.col("_place") % per_chunk == 0)
+            .groupBy(*keys).agg(F.sort_array(F.collect_list("_num")).alias("_bounds")))
+    none = F.array().cast(cuts.schema["_bounds"].dataType)
+    bounds = hot.join(cuts, keys, "left").withColumn("_bounds", F.coalesce("_bounds", none))
+    coarse = F.filter("_bounds", lambda b, i: (i + 1) % _STRIDE == 0)
+    return bounds.withColumn("_coarse", coarse).checkpoint(eager=True)
+
+
+def _assign_chunks(rows: DataFrame, keys: list[str], seq: str, bounds: DataFrame) -> DataFrame:
+    """Add ``_chunk``: 0 for cold keys, 1 + the bounds at or below the sequence
+    number for hot keys. The join is left to the planner: a hot key's rows are
+    the skewed side, which adaptive execution splits."""
     num = _seq_number(rows, seq)
-    bounds = (rows.join(F.broadcast(hot), keys, "left_semi")
-              .groupBy(*keys)
-              .agg(F.percentile_approx(num, probs, 10000).alias("_bounds")))
-    # One row per hot key with ``chunks - 1`` numbers: bounded broadcast.
-    tagged = rows.join(F.broadcast(bounds), keys, "left").withColumn(
-        _CHUNK,
-        F.when(F.col("_bounds").isNull(), F.lit(0))
-        .otherwise(F.size(F.filter("_bounds", lambda b: b <= num))),
-    ).drop("_bounds")
-    return tagged, hot
+    whole = F.size(F.filter("_coarse", lambda b: b <= num)) * _STRIDE
+    rest = F.size(F.filter(F.slice("_bounds", whole + 1, _STRIDE), lambda b: b <= num))
+    chunk = F.when(F.col("_bounds").isNull(), F.lit(0)).otherwise(1 + whole + rest)
+    return rows.join(bounds, keys, "left").withColumn(_CHUNK, chunk).drop("_bounds", "_coarse")
 
 
 def scd2(
@@ -98,8 +117,6 @@ def scd2(
     ignore_null_updates: bool = True,
     *,
     hot_rows: int = 1_000_000,
-    max_hot_keys: int = 1000,
-    chunks: int = 64,
 ) -> DataFrame:
     keys = list(keys)
     seq = sequence_by
@@ -108,20 +125,17 @@ def scd2(
     tracked = [c for c in (track or cols) if c in cols]
 
     base = changes.where(F.col(seq).isNotNull())
-    base, hot = _assign_chunks(base, keys, seq, hot_rows, max_hot_keys, chunks)
-    # One shuffle serves everything: the chunk is a function of (key, seq),
-    # so hashing on (key, chunk) co-locates the duplicates of a (key, seq)
-    # for the de-duplication, and its sort on (key, chunk, seq) is also the
-    # order every window below needs. Cold keys are a single chunk, so they
-    # are partitioned by key alone.
-    if hot is None:
-        # No literal chunk in the grouping: it would break the ordering reuse.
+    bounds = chunk_bounds(base, keys, seq, hot_rows)
+    hot = bounds is not None
+    if not hot:
+        # One shuffle serves everything: the grouping and the windows share
+        # the key. No literal chunk in it: it would break the ordering reuse.
         part = list(keys)
-        rows = (dedupe_sequence(base.drop(_CHUNK).repartition(*part), keys, seq, cols)
+        rows = (dedupe_sequence(base.repartition(*part), keys, seq, cols)
                 .withColumn(_CHUNK, F.lit(0)))
     else:
         part = [*keys, _CHUNK]
-        rows = dedupe_sequence(base.repartition(*part), part, seq, cols)
+        rows = dedupe_sequence(_assign_chunks(base, keys, seq, bounds), part, seq, cols)
 
     q = _quote
     kp = ", ".join(q(c) for c in part)
@@ -144,14 +158,13 @@ def scd2(
     local.append(f"row_number() OVER {w}) = 1 AS _first")
     scanned = rows.selectExpr(*local)
 
-    if hot is not None:
+    if hot:
         # Per-chunk summary of hot keys: what the chunk leaves behind.
         if ignore_null_updates:
             leave = [f"max_by({q(c)}, {nn.format(c=q(c))}) AS {q('_x_' + c)}" for c in cols]
         else:
             leave = [f"max_by({q(c)}, {q(seq)}) AS {q('_x_' + c)}" for c in cols]
-        summary = (rows.join(F.broadcast(hot), keys, "left_semi")
-                   .groupBy(*part).agg(*[F.expr(e) for e in leave]))
+        summary = rows.where(F.col(_CHUNK) > 0).groupBy(*part).agg(*[F.expr(e) for e in leave])
         oc = f"(PARTITION BY {ks} ORDER BY {q(_CHUNK)}"
         out = [q(c) for c in part]
         for c in cols:
@@ -163,8 +176,7 @@ def scd2(
                 out += [f"lag({x}) OVER {oc}) AS {q('_carry_' + c)}",
                         f"last({x}) OVER {oc} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS {q('_final_' + c)}"]
         out += [f"lag({q(_CHUNK)}) OVER {oc}) IS NOT NULL AS _has_prior", "true AS _hot"]
-        # At most max_hot_keys * chunks rows: bounded broadcast.
-        scanned = scanned.join(F.broadcast(summary.selectExpr(*out)), part, "left")
+        scanned = scanned.join(summary.selectExpr(*out), part, "left")
 
         def filled(c):
             return (f"coalesce({q('_lf_' + c)}, {q('_carry_' + c)})" if ignore_null_updates
@@ -202,25 +214,24 @@ def scd2(
     versions = starts.selectExpr(
         "*", f"lead({q(seq)}) OVER {w}) AS _next_local",
         *[f"lead({q('_p_' + c)}) OVER {w}) AS {q('_np_' + c)}" for c in cols])
-    if hot is not None:
+    if hot:
         # First version start of every hot chunk, and the values left just before it.
-        firsts = (starts.join(F.broadcast(hot), keys, "left_semi")
-                  .groupBy(*part)
+        firsts = (starts.where(F.col(_CHUNK) > 0).groupBy(*part)
                   .agg(F.min(seq).alias("_fs"),
                        *[F.min_by(f"_p_{c}", seq).alias(f"_fp_{c}") for c in cols]))
         nxt = Window.partitionBy(*keys).orderBy(_CHUNK)
         following = firsts.select(
             *part, F.lead("_fs").over(nxt).alias("_next_chunk"),
             *[F.lead(f"_fp_{c}").over(nxt).alias(f"_ncp_{c}") for c in cols])
-        versions = versions.join(F.broadcast(following), part, "left")
+        versions = versions.join(following, part, "left")
 
     def untracked(c):
-        if hot is None:
+        if not hot:
             return f"CASE WHEN _next_local IS NOT NULL THEN {q('_np_' + c)} ELSE {q('_k_' + c)} END"
         return (f"CASE WHEN _next_local IS NOT NULL THEN {q('_np_' + c)} "
                 f"WHEN _next_chunk IS NOT NULL THEN {q('_ncp_' + c)} ELSE {q('_k_' + c)} END")
 
-    end = "_next_local" if hot is None else "coalesce(_next_local, _next_chunk)"
+    end = "_next_local" if not hot else "coalesce(_next_local, _next_chunk)"
     return versions.selectExpr(
         *[q(k) for k in keys],
         *[f"{q('_f_' + c) if c in tracked else untracked(c)} AS {q(c)}" for c in cols],

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,19 +18,29 @@ def rules(entity: str) -> list[Expectation]:
     return [Expectation(f"valid_{key}", f"{key} IS NOT NULL", FAIL)]
 
 
-def typed(landing: DataFrame, entity: str) -> list[Column]:
+def typed(entity: str) -> list[Column]:
     """One projection of ``try_cast`` per column: a value that does not parse
-    becomes NULL instead of failing the job (ANSI ``cast`` would raise)."""
+    or fit becomes NULL instead of failing the job (ANSI ``cast`` would raise)."""
     return [F.col(name).try_cast(kind).alias(name) for name, kind in BRONZE_TYPES[entity]]
 
 
-def bronze(landing: DataFrame, entity: str, run_ts: datetime | None = None,
-           lineage: bool = False) -> DataFrame:
+def source_file(landing: DataFrame) -> Column:
+    """The file of each row. A feed made of several tables names it itself;
+    a file scan has it as metadata; rows from elsewhere have none."""
+    if "source_file_path" in landing.columns:
+        return F.col("source_file_path")
+    try:
+        landing.select("_metadata.file_path")
+    except AnalysisException:
+        return F.lit(None).cast("string").alias("source_file_path")
+    return F.col("_metadata.file_path").alias("source_file_path")
+
+
+def bronze(landing: DataFrame, entity: str, run_ts: datetime | None = None) -> DataFrame:
     """``run_ts`` is one literal per pipeline update (taken once in Python, not
-    per row or micro-batch). ``lineage`` adds the source file of each row; it
-    needs a file-scan landing DataFrame (``_metadata`` column)."""
-    cols = typed(landing, entity)
-    if lineage:
-        cols += [F.lit(run_ts or datetime.utcnow()).cast("timestamp").alias("ingest_timestamp"),
-                 F.col("_metadata.file_path").alias("source_file_path")]
+    per row or micro-batch); without a zone it is read as UTC."""
+    taken = run_ts or datetime.now(timezone.utc)
+    if taken.tzinfo is None:
+        taken = taken.replace(tzinfo=timezone.utc)
+    cols = [*typed(entity), F.lit(taken).cast("timestamp").alias("ingest_timestamp"), source_file(landing)]
     return enforce(landing.select(*cols), rules(entity))

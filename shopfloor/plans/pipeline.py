@@ -1,9 +1,10 @@
 """The dataset graph, bronze to gold, as lazily built DataFrames.
 
 ``Lakehouse`` builds every dataset of the pipeline from four landing feeds.
-Nothing runs until an action; each attribute is one logical plan that
-Catalyst optimizes end to end (a dashboard query over ``gold_facts`` prunes
-and pushes its filters down to the landing scans).
+Each attribute is one logical plan that Catalyst optimizes end to end (a
+dashboard query over ``gold_facts`` prunes and pushes its filters down to the
+landing scans). Two steps run a job while a plan is built: an SCD2 dimension
+counts its keys to find the hot ones, and RFM scores number the customers.
 
 ``run_batch`` materializes the datasets in dependency order (full refresh,
 T6): every table is written to a new run folder and then published, so a
@@ -15,7 +16,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timezone
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,12 +35,11 @@ from . import silver as silver_plan
 class Lakehouse:
     def __init__(self, spark: SparkSession, feeds: dict[str, Callable[[], DataFrame]],
                  params: Params = DEFAULT_PARAMS, run_ts: datetime | None = None,
-                 lineage: bool = False, scd2_scale: dict | None = None):
+                 scd2_scale: dict | None = None):
         self.spark = configure(spark)
         self.feeds = feeds
         self.params = params
-        self.run_ts = run_ts or datetime.utcnow()
-        self.lineage = lineage
+        self.run_ts = run_ts or datetime.now(timezone.utc)
         self.scd2_scale = scd2_scale or {}
 
     @classmethod
@@ -53,7 +53,7 @@ class Lakehouse:
 
     # --- bronze ------------------------------------------------------------------
     def bronze(self, entity: str) -> DataFrame:
-        return bronze_plan.bronze(self.feeds[entity](), entity, self.run_ts, self.lineage)
+        return bronze_plan.bronze(self.feeds[entity](), entity, self.run_ts)
 
     @cached_property
     def bronze_sales(self) -> DataFrame:
@@ -108,19 +108,10 @@ class Lakehouse:
     def stores_current(self) -> DataFrame:
         return silver_plan.dimension_current(self.silver_stores)
 
-    @cached_property
-    def dimension_bounds(self) -> dict[str, DataFrame]:
-        """Per dimension key, the landing feed: it has at least as many rows as
-        the current dimension has keys, and a size probe on it is a plain,
-        early-stopping scan instead of a second SCD2 build."""
-        return {"store_id": self.feeds["stores"](), "customer_id": self.feeds["customers"](),
-                "product_id": self.feeds["products"]()}
-
     @cached_property
     def sales_cleansed(self) -> DataFrame:
         return silver_plan.sales_cleansed(self.bronze_sales, self.stores_current,
-                                          self.customers_current, self.products_current,
-                                          bounds=self.dimension_bounds)
+                                          self.customers_current, self.products_current)
 
     @cached_property
     def silver_sales(self) -> DataFrame:
@@ -155,6 +146,11 @@ class Lakehouse:
         return gold_plan.customer_lifetime_value(self.gold_facts, self.params.as_of,
                                                  self.params.score_order)
 
+    @cached_property
+    def customer_spend(self) -> DataFrame:
+        """The rows of G4 without scores: nothing is ranked."""
+        return gold_plan.customer_spend(self.gold_facts, self.params.as_of)
+
     # --- quality -----------------------------------------------------------------------
     def quality_report(self) -> DataFrame:
         """E4 over every rule of the pipeline, each evaluated on its dataset body.
@@ -166,13 +162,12 @@ class Lakehouse:
         return body's sign normalisation touches no column a rule reads).
         Customers and products share bronze and cleansed bodies; the stores
         body rewrites ``manager``, so it is counted on its own."""
-        sales = bronze_plan.typed(self.feeds["sales"](), "sales")
-        flagged = self.feeds["sales"]().select(*sales)
+        flagged = self.feeds["sales"]().select(*bronze_plan.typed("sales"))
         kept = F.lit(True)
         for name, dim, key in (("stores", self.stores_current, "store_id"),
                                ("customers", self.customers_current, "customer_id"),
                                ("products", self.products_current, "product_id")):
-            present = joins.key_set(dim, [key], bound=self.dimension_bounds[key]).select(
+            present = joins.key_set(dim, [key], distinct=False).select(
                 key, F.lit(True).alias(f"_has_{name}"))
             flagged = flagged.join(present, key, "left")
             kept = kept & F.col(f"_has_{name}").isNotNull()
@@ -184,10 +179,10 @@ class Lakehouse:
             ("silver_returns", silver_plan.FACT_RULES, kept & (quantity < 0)),
         ])]
         for entity, rules in (("customers", silver_plan.CUSTOMER_RULES), ("products", silver_plan.PRODUCT_RULES)):
-            body = self.feeds[entity]().select(*bronze_plan.typed(self.feeds[entity](), entity))
+            body = self.feeds[entity]().select(*bronze_plan.typed(entity))
             parts.append(quality.report_many(body, [(f"bronze_{entity}", bronze_plan.rules(entity), None),
                                                     (f"{entity}_cleaned", rules, None)]))
-        stores = self.feeds["stores"]().select(*bronze_plan.typed(self.feeds["stores"](), "stores"))
+        stores = self.feeds["stores"]().select(*bronze_plan.typed("stores"))
         parts += [quality.report(stores, "bronze_stores", bronze_plan.rules("stores")),
                   quality.report(silver_plan.stores_body(stores), "stores_cleaned", silver_plan.STORE_RULES)]
         return quality.union_reports(parts)

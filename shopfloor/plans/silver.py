@@ -18,6 +18,7 @@ def _in(values) -> str:
     return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
 
 
+# Rule names and predicates (they appear in the quality report).
 CUSTOMER_RULES = [
     Expectation("valid customer_id", "customer_id IS NOT NULL", DROP),
     Expectation("valid_email", "email IS NULL OR email LIKE '%@%.%'", WARN),
@@ -74,28 +75,22 @@ def cleansed(bronze: DataFrame, entity: str) -> DataFrame:
 
 
 def sales_body(bronze_sales: DataFrame, stores_cur: DataFrame | None, customers_cur: DataFrame | None,
-               products_cur: DataFrame | None, streaming: bool = False,
-               bounds: dict[str, DataFrame] | None = None) -> DataFrame:
+               products_cur: DataFrame | None, streaming: bool = False) -> DataFrame:
     """C4 before its (warn-only) rules: calendar date, watermark, and the
-    referential semi joins against the current dimensions (J1-J3).
-    ``bounds`` maps a key to a cheap DataFrame with at least as many rows as
-    that dimension has keys (see ``joins``)."""
+    referential semi joins against the current dimensions (J1-J3)."""
     sales = bronze_sales.withColumn("date", F.col("event_time").cast("date"))
     if streaming:
         # No stateful operator follows, so the watermark drops nothing.
         sales = sales.withWatermark("event_time", WATERMARK)
-    bounds = bounds or {}
     # Current dimensions hold one row per key: no DISTINCT needed for a semi join.
     for dim, key in ((stores_cur, "store_id"), (customers_cur, "customer_id"), (products_cur, "product_id")):
         if dim is not None:
-            sales = joins.semi_join(sales, dim, [key], distinct=False, bound=bounds.get(key))
+            sales = joins.semi_join(sales, dim, [key], distinct=False)
     return sales
 
 
-def sales_cleansed(bronze_sales, stores_cur, customers_cur, products_cur, streaming=False,
-                   bounds=None) -> DataFrame:
-    return enforce(sales_body(bronze_sales, stores_cur, customers_cur, products_cur, streaming, bounds),
-                   SALES_RULES)
+def sales_cleansed(bronze_sales, stores_cur, customers_cur, products_cur, streaming=False) -> DataFrame:
+    return enforce(sales_body(bronze_sales, stores_cur, customers_cur, products_cur, streaming), SALES_RULES)
 
 
 # --- SCD2 dimensions ----------------------------------------------------------

@@ -40,8 +40,10 @@ def struct(fields: list[tuple[str, str]]) -> T.StructType:
 
 
 # Landing schemas are explicit: a small batch whose only ``manager`` is NULL
-# has no type to infer, so readers and writers never infer.
-LANDING_SCHEMAS: dict[str, T.StructType] = {e: struct(f) for e, f in BRONZE_TYPES.items()}
+# has no type to infer, so readers and writers never infer. Writers land whole
+# numbers as BIGINT; files with INT are read just as well.
+LANDING_SCHEMAS: dict[str, T.StructType] = {
+    e: struct([(n, "bigint" if t == "int" else t) for n, t in f]) for e, f in BRONZE_TYPES.items()}
 
 LINEAGE_COLS = ("ingest_timestamp", "source_file_path")
 

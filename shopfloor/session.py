@@ -23,10 +23,6 @@ RUNTIME_CONF = {
     # Timestamps written without zone (the driver tables) read as TIMESTAMP_NTZ;
     # the bronze casts turn them into session-zone timestamps.
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
-    # Constraint propagation re-derives every filter through the wide SCD2 and
-    # expectation projections; on these plans it roughly doubles the planning
-    # time of a query and infers nothing the scans do not already push.
-    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 
@@ -52,6 +48,8 @@ def build_session(
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = builder.config("spark.ui.showConsoleProgress", "false")
+    # Checkpoints go when nothing refers to them any more.
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

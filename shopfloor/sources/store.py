@@ -1,19 +1,22 @@
 """Parquet table store for the pipeline layers.
 
 Tables live under ``{root}/{layer}/{table}``. A full refresh (T6) writes a
-whole new run folder ``{root}/runs/{run_id}`` and then publishes it by
-rewriting a one-row pointer table; readers resolve the pointer once, so they
-never see a half-written refresh and old runs stay readable until removed.
+whole new run folder ``{root}/runs/{run_id}`` and then publishes it by adding
+one row to a pointer table: the commit of an append is one new file, so
+readers find the old run or the new one, never neither. They resolve the
+pointer once and never see a half-written refresh; old runs stay readable
+until removed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..config import COMMENTS
+from ..config import COMMENTS, CURRENT_VIEWS
 from .tables import local_rows
 
 
@@ -36,8 +39,17 @@ class TableStore:
             writer = writer.option("partitionOverwriteMode", "dynamic")
         writer.parquet(self.path(name))
 
-    def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+    def write_batch(self, df: DataFrame, name: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
+        """One micro-batch's rows in a folder of their own, ``batch_id=N``, which
+        a retry replaces whole, also with fewer rows or none."""
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(f"{self.path(name)}/batch_id={batch_id}")
+
+    def read(self, name: str, schema=None) -> DataFrame:
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(self.path(name))
 
     def exists(self, name: str) -> bool:
         try:
@@ -46,16 +58,30 @@ class TableStore:
         except AnalysisException:
             return False
 
-    def register(self, names: Sequence[str]) -> None:
-        """Temp views named like the tables (dots become underscores
-        only in the view name's schema part: ``gold.x`` -> ``gold_x``)."""
-        for name in names:
-            self.read(name).createOrReplaceTempView(name.split(".")[-1])
-
-    @staticmethod
-    def comment(name: str) -> str:
-        """S14."""
-        return COMMENTS.get(name, "")
+    def register(self, names: Sequence[str] | None = None) -> list[str]:
+        """Temp views named like the tables without their layer
+        (``gold.x`` -> ``x``), commented; silver dimensions also get their
+        current view (``silver_x_current``). ``None`` registers every stored
+        dataset. Returns the view names."""
+        views = []
+        for name in names if names is not None else [n for n in COMMENTS if self.exists(n)]:
+            table = self.read(name)
+            self._view(table, name.split(".")[-1], COMMENTS.get(name, ""))
+            views.append(name.split(".")[-1])
+            if name in CURRENT_VIEWS:
+                self._view(table.where("__END_AT IS NULL"), CURRENT_VIEWS[name], f"Open versions of {name}")
+                views.append(CURRENT_VIEWS[name])
+        return views
+
+    def _view(self, df: DataFrame, view: str, comment: str) -> None:
+        """A temp view whose columns carry the dataset's comment as metadata
+        (temp views of DataFrames have no comment of their own)."""
+        noted = [F.col(f"`{f.name}`").alias(f.name, metadata={**f.metadata, "dataset_comment": comment}) for f in df.schema.fields]
+        df.select(*noted).createOrReplaceTempView(view)
+
+    def comment(self, view: str) -> str:
+        """The comment attached to a registered view."""
+        return self.spark.table(view).schema.fields[0].metadata.get("dataset_comment", "")
 
 
 class RunStore:
@@ -72,8 +98,11 @@ class RunStore:
 
     def publish(self, run_id: str) -> None:
         local_rows(self.spark, [(run_id,)], [("run_id", "string")]).coalesce(1).write.mode(
-            "overwrite").parquet(f"{self.root}/{self.POINTER}")
+            "append").parquet(f"{self.root}/{self.POINTER}")
 
     def current(self) -> TableStore:
-        row = self.spark.read.parquet(f"{self.root}/{self.POINTER}").first()  # one row
-        return self.run(row["run_id"])
+        """The newest published run: run ids start with their UTC time."""
+        newest = self.spark.read.schema("run_id string").parquet(f"{self.root}/{self.POINTER}").agg(F.max("run_id")).first()[0]
+        if newest is None:
+            raise LookupError(f"no run is published under {self.root}")
+        return self.run(newest)

@@ -10,18 +10,14 @@ from pyspark.sql import functions as F
 
 class ParquetTables:
     """Lazy parquet reads under one folder. Nothing is read until an action;
-    Catalyst prunes columns and pushes filters into each scan.
-
-    A table stored as one file with one row group scans in a single task, and
-    everything up to the first shuffle would run there. Such a scan is spread
-    round-robin over the session's parallelism; on a cluster, where a large
-    table has thousands of splits, this is a no-op.
+    Catalyst prunes columns and pushes filters into each scan. Splits are left
+    to the scan (``spark.sql.files.maxPartitionBytes``); no table is dealt out
+    again for having few.
     """
 
-    def __init__(self, spark: SparkSession, root: str, spread: bool = True):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.spread = spread
         self._opened: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
@@ -29,14 +25,9 @@ class ParquetTables:
         return single if os.path.exists(single) or "://" in self.root else f"{self.root}/{name}"
 
     def table(self, name: str) -> DataFrame:
-        """The same DataFrame for every call: the split count is planned once."""
+        """The same DataFrame for every call."""
         if name not in self._opened:
-            df = self.spark.read.parquet(self.path(name))
-            if self.spread:
-                want = self.spark.sparkContext.defaultParallelism
-                if df.rdd.getNumPartitions() < want:
-                    df = df.repartition(want)
-            self._opened[name] = df
+            self._opened[name] = self.spark.read.parquet(self.path(name))
         return self._opened[name]
 
 

@@ -6,10 +6,10 @@
 * Facts: ``foreachBatch`` over new bronze sales. Each micro-batch is checked
   and enriched against the dimension snapshot read when the batch runs (a
   static side is listed when the DataFrame is built, so it is re-read per
-  batch). Outputs are partitioned by ``batch_id`` and written with dynamic
-  partition overwrite, so a retried batch replaces its own output instead of
-  duplicating it. Facts already written are not rewritten when a dimension
-  changes later; a full refresh does that.
+  batch). Each batch has a folder of its own, ``batch_id=N``, replaced whole by
+  a retry, so rows that no longer qualify do not stay behind. Facts already
+  written are not rewritten when a dimension changes later; a full refresh
+  does that.
 * Daily rollup (T7): streaming COUNT(DISTINCT) is not supported, so each
   batch recomputes the days it touched from the stored facts and replaces
   just those partitions of the rollup. The streamed rollup is partitioned by
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -34,9 +35,10 @@ from ..plans import bronze as bronze_plan
 from ..plans import gold as gold_plan
 from ..plans import silver as silver_plan
 from ..plans.refresh import FACT_PARTITION
-from ..schemas import BRONZE_TYPES, LINEAGE_COLS, struct
+from ..schemas import BRONZE_TYPES, struct
 from ..sources import landing
 from ..sources.store import TableStore
+from ..sources.tables import local_rows
 
 BRONZE_NAMES = {"sales": C.BRONZE_SALES, "customers": C.BRONZE_CUSTOMERS, "products": C.BRONZE_PRODUCTS,
                 "stores": C.BRONZE_STORES}
@@ -53,7 +55,7 @@ def bronze_stream(spark: SparkSession, landing_path: str, entity: str, run_ts: d
                   max_files_per_trigger: int | None = None) -> DataFrame:
     """S1 + S10 + S11 + P1-P4 + E1 on a stream."""
     src = landing.read_stream(spark, landing_path, entity, max_files_per_trigger)
-    return bronze_plan.bronze(src, entity, run_ts, lineage=True)
+    return bronze_plan.bronze(src, entity, run_ts)
 
 
 def read_table_stream(spark: SparkSession, store: TableStore, name: str, entity: str,
@@ -86,7 +88,7 @@ def process_sales_batch(batch: DataFrame, batch_id: int, store: TableStore) -> N
     """T3 body: one micro-batch of bronze sales to silver sales/returns and
     gold facts, idempotent per ``batch_id``; then T7 for the touched months."""
     dims = {e: current_dimension(store, n) for e, n in DIM_NAMES.items()}
-    clean = silver_plan.sales_cleansed(batch.drop(*LINEAGE_COLS), dims["stores"], dims["customers"],
+    clean = silver_plan.sales_cleansed(batch, dims["stores"], dims["customers"],
                                        dims["products"])
     clean = clean.persist()
     try:
@@ -96,24 +98,41 @@ def process_sales_batch(batch: DataFrame, batch_id: int, store: TableStore) -> N
             quality.report(silver_plan.sales_body_k1(clean), "silver_sales", silver_plan.FACT_RULES),
             quality.report(silver_plan.returns_body_k2(clean), "silver_returns", silver_plan.FACT_RULES),
         ])
-        tag = F.lit(batch_id).cast("bigint").alias("batch_id")
+        # Days this batch had in the store before (a retry), and has now:
+        # bounded by the calendar, not the data. A line without a time (it did
+        # not parse) belongs to no day.
+        before = _batch_days(store, batch_id)
         sales = silver_plan.silver_sales(clean)
-        store.write(sales.select("*", tag), C.SILVER_SALES, partition_by=["batch_id"], dynamic=True)
-        store.write(silver_plan.silver_returns(clean).select("*", tag), C.SILVER_RETURNS,
-                    partition_by=["batch_id"], dynamic=True)
+        store.write_batch(sales, C.SILVER_SALES, batch_id)
+        store.write_batch(silver_plan.silver_returns(clean), C.SILVER_RETURNS, batch_id)
         facts = gold_plan.denormalized(sales, dims["customers"], dims["products"], dims["stores"])
         month = F.trunc(F.col("event_time").cast("date"), "month").alias(FACT_PARTITION)
-        facts = facts.select("*", month, tag).persist()
-        store.write(facts, C.GOLD_FACTS, partition_by=[FACT_PARTITION, "batch_id"], dynamic=True)
-        # Days touched by this batch: bounded by the calendar, not the data.
-        touched = [r[0] for r in facts.select(F.col("event_time").cast("date")).distinct().collect()]
-        facts.unpersist()
+        store.write_batch(facts.select("*", month), C.GOLD_FACTS, batch_id, partition_by=[FACT_PARTITION])
+        touched = before | _batch_days(store, batch_id)
         if touched:
-            refresh_daily_days(store, touched)
+            refresh_daily_days(store, sorted(touched))
     finally:
         clean.unpersist()
 
 
+FACTS_SCHEMA = struct([
+    ("transaction_id", "int"), ("event_time", "timestamp"), ("customer_id", "int"), ("customer_name", "string"),
+    ("product_id", "int"), ("product_name", "string"), ("product_category", "string"), ("store_id", "int"),
+    ("store_name", "string"), ("quantity", "int"), ("unit_price", "double"), ("total_amount", "double"),
+    ("payment_method", "string"), ("discount_applied", "double"), ("tax_amount", "double"),
+    (FACT_PARTITION, "date"), ("batch_id", "bigint")])
+
+
+def _batch_days(store: TableStore, batch_id: int) -> set[date]:
+    """The days of the facts a batch has stored so far."""
+    path = f"{store.path(C.GOLD_FACTS)}/batch_id={batch_id}"
+    try:
+        held = store.spark.read.schema("event_time timestamp").parquet(path)
+    except AnalysisException:  # its first attempt
+        return set()
+    return {r[0] for r in held.select(F.col("event_time").cast("date")).distinct().collect() if r[0] is not None}
+
+
 def record_quality(store: TableStore, batch_id: int, reports: list[DataFrame]) -> None:
     """E3 counters of one micro-batch into the quality table: one small
     aggregate per dataset; a retried batch replaces its own rows."""
@@ -142,13 +161,22 @@ def refresh_daily_days(store: TableStore, days: list[date]) -> None:
         one = (ts >= F.lit(lo.isoformat()).cast("timestamp")) & (ts < F.lit(hi.isoformat()).cast("timestamp"))
         in_days = one if in_days is None else (in_days | one)
     months = sorted({d.replace(day=1) for d in days})
-    facts = (store.read(C.GOLD_FACTS)
+    facts = (store.read(C.GOLD_FACTS, FACTS_SCHEMA)
              .where(F.col(FACT_PARTITION).isin(months))
              .where(in_days))
     daily = gold_plan.daily_by_store(facts.drop(FACT_PARTITION, "batch_id"))
+    # A day that lost its last line keeps an empty marker row out of the rollup.
+    lost = local_rows(store.spark, [(d.isoformat(),) for d in days], [("sale_date", "string")]).select(F.col("sale_date").cast("date"))
+    daily = daily.join(lost, "sale_date", "right").select(daily.columns)
     store.write(daily, C.GOLD_DAILY_STORE, partition_by=[STREAM_DAILY_PARTITION], dynamic=True)
 
 
+def read_daily(store: TableStore) -> DataFrame:
+    """The streamed rollup (T7): a day without any line left holds one row
+    without a store, which is not part of it."""
+    return store.read(C.GOLD_DAILY_STORE).where("store_id IS NOT NULL")
+
+
 def sales_stream(spark: SparkSession, store: TableStore, checkpoint: str, available_now: bool = True,
                  max_files_per_trigger: int | None = None) -> StreamingQuery:
     src = read_table_stream(spark, store, C.BRONZE_SALES, "sales", max_files_per_trigger)

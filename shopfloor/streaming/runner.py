@@ -8,7 +8,7 @@ its checkpoint and stops; run it hourly for the published schedule.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
@@ -20,7 +20,7 @@ from .scd2_stream import dimension_stream
 def run_available_now(spark: SparkSession, landing_root: str, store: TableStore, checkpoint_root: str,
                       run_ts: datetime | None = None, max_files_per_trigger: int | None = None,
                       buckets: int = 16, **scale) -> None:
-    run_ts = run_ts or datetime.utcnow()
+    run_ts = run_ts or datetime.now(timezone.utc)
     bronze = [
         append_table(bronze_stream(spark, f"{landing_root}/{entity}", entity, run_ts, max_files_per_trigger),
                      store, name, f"{checkpoint_root}/bronze_{entity}")

@@ -12,6 +12,7 @@ arrival order; the bucket count bounds how much is recomputed per batch.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -21,11 +22,26 @@ from ..operators import scd2
 from ..operators import quality
 from ..plans import silver as silver_plan
 from ..sources.store import TableStore
+from ..sources.tables import local_rows
 from .ingest import BRONZE_NAMES, DIM_NAMES, read_table_stream, record_quality
 
 BUCKET, BATCH = "_bucket", "_batch"
 
 
+def check_buckets(store: TableStore, target: str, buckets: int) -> None:
+    """A dimension is stored by the bucket count it began with: another would
+    put keys in other buckets and leave their old versions open."""
+    name = f"{target}_buckets"
+    try:
+        held = store.read(name, "buckets int").first()
+    except AnalysisException:
+        held = None
+    if held is None:
+        store.write(local_rows(store.spark, [(buckets,)], [("buckets", "int")]).coalesce(1), name)
+    elif held["buckets"] != buckets:
+        raise ValueError(f"{target} is stored in {held['buckets']} buckets, not {buckets}; rebuild it to change that")
+
+
 def change_log_name(entity: str) -> str:
     return f"{C.SILVER}.{entity}_change_log"
 
@@ -52,6 +68,7 @@ def apply_changes(batch: DataFrame, batch_id: int, store: TableStore, log_name:
 
 def _log_and_rebuild(batch: DataFrame, batch_id: int, store: TableStore, log_name: str, target: str,
                      keys: list[str], sequence_by: str, track, except_cols, buckets: int, **scale) -> None:
+    check_buckets(store, target, buckets)
     tagged = batch.select("*", bucket_of(keys[0], buckets).alias(BUCKET),
                           F.lit(batch_id).cast("bigint").alias(BATCH)).persist()
     try:

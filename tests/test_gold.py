@@ -23,7 +23,7 @@ def test_rfm_seven_customers_bucket_sizes(spark):
     for c in range(1, 8):
         for t in range(c):
             rows.append((c * 100 + t, datetime(2001, 12, 31 - c, 12), c, f"c{c}", 1, "s", 1, 10.0))
-    clv = gold.customer_lifetime_value(_facts(spark, rows), date(2002, 1, 1), partitions=3)
+    clv = gold.customer_lifetime_value(_facts(spark, rows), date(2002, 1, 1))
     got = {r["customer_id"]: (r["r_score"], r["f_score"], r["m_score"]) for r in clv.collect()}
     # recency ascending days (customer 1 most recent), frequency / spend descending
     assert [got[c][0] for c in range(1, 8)] == [1, 1, 2, 2, 3, 4, 5]
@@ -36,8 +36,8 @@ def test_rfm_seven_customers_bucket_sizes(spark):
 
 def test_rfm_best_high_flips(spark):
     rows = [(c, datetime(2001, 12, 1 + c), c, f"c{c}", 1, "s", 1, float(c)) for c in range(1, 6)]
-    ref = gold.customer_lifetime_value(_facts(spark, rows), date(2002, 1, 1), partitions=2)
-    flip = gold.customer_lifetime_value(_facts(spark, rows), date(2002, 1, 1), "best_high", partitions=2)
+    ref = gold.customer_lifetime_value(_facts(spark, rows), date(2002, 1, 1))
+    flip = gold.customer_lifetime_value(_facts(spark, rows), date(2002, 1, 1), "best_high")
     a = {r["customer_id"]: r["m_score"] for r in ref.collect()}
     b = {r["customer_id"]: r["m_score"] for r in flip.collect()}
     assert all(a[c] + b[c] == 6 for c in a)
@@ -55,7 +55,7 @@ def test_segment_truth_table(spark, scores, segment):
 def test_future_purchase_and_filters(spark):
     rows = [(1, datetime(2003, 1, 1), 1, "a", 1, "s", 1, 5.0),   # after as_of: excluded
             (2, datetime(2001, 1, 1), 2, None, 1, "s", 1, 5.0)]  # NULL name -> 'Unknown'
-    clv = gold.customer_lifetime_value(_facts(spark, rows), date(2002, 1, 1), partitions=2)
+    clv = gold.customer_lifetime_value(_facts(spark, rows), date(2002, 1, 1))
     assert [(r["customer_id"], r["customer_name"]) for r in clv.collect()] == [(2, "Unknown")]
 
 

@@ -1,4 +1,4 @@
-"""Distributed ntile (W4), size-checked joins (J1-J8), row rules (D1-D5),
+"""Distributed ntile (W4), joins (J1-J8), row rules (D1-D5),
 money arithmetic and landing keys (S12, S13)."""
 
 from datetime import datetime
@@ -40,6 +40,14 @@ def test_ntile_all_ties_follow_key(spark):
     assert got == [1, 1, 2, 2, 3, 3, 4, 4, 5, 5]
 
 
+def test_ntile_keys_ranks_narrow_rows(spark):
+    from shopfloor.operators.ranking import ntile_keys
+    df = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 7 % 11).alias("m"), F.lit("wide").alias("w"))
+    ours = ntile_keys(df, ["k"], 5, {"t": F.col("m"), "u": -F.col("m")})
+    native = df.withColumn("t", F.ntile(5).over(Window.orderBy("m", "k"))).withColumn("u", F.ntile(5).over(Window.orderBy(F.desc("m"), "k")))
+    assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, native.collect()))
+
+
 def test_global_row_number_dense_and_total(spark):
     df = spark.range(1000).select((F.col("id") * 31 % 1000).alias("v"))
     out = global_row_number(df, [F.col("v")], partitions=6)
@@ -58,13 +66,10 @@ def test_semi_plus_anti_is_input(spark):
     assert semi.join(anti, "row").count() == 0
 
 
-def test_broadcast_only_with_proven_bound(spark):
+def test_joins_carry_no_hint(spark):
     dim = spark.range(100).select(F.col("id").alias("k"))
-    small = joins.key_set(dim, ["k"], max_rows=1000)
-    big = joins.key_set(dim, ["k"], max_rows=10)
-    assert "broadcast" in small._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in big._jdf.queryExecution().analyzed().toString().lower()
-    assert joins.at_most(dim, 100) and not joins.at_most(dim, 99)
+    plan = joins.semi_join(dim, dim, ["k"])._jdf.queryExecution().analyzed().toString().lower()
+    assert "hint" not in plan and "broadcast" not in plan
 
 
 # --- row rules -----------------------------------------------------------------------
@@ -120,6 +125,26 @@ def test_ratio_zero_denominator_is_null(spark):
     assert df.select(money.ratio_round2(F.col("n"), F.col("d"))).first()[0] is None
 
 
+def test_ratio_is_exact_above_2_53(spark):
+    pairs = [(2**53 + i, d) for i in range(1, 40) for d in (1, 2, 3)] + [(-(2**53) - 7, 3)]
+    df = spark.createDataFrame(pairs, "n long, d long")
+    got = [r[0] for r in df.select(money.ratio_round2(F.col("n"), F.col("d"))).collect()]
+    assert got == [_half_up(n, d) for n, d in pairs]
+
+
+def test_int_div_is_exact_above_2_53(spark):
+    pairs = [(2**53 + i, d) for i in range(200) for d in (1, 2, 7)]
+    df = spark.createDataFrame(pairs, "a long, b long")
+    assert [r[0] for r in df.select(money.int_div(F.col("a"), F.col("b"))).collect()] == [a // b for a, b in pairs]
+
+
+def test_amounts_below_a_cent_are_summed_before_rounding(spark):
+    df = spark.createDataFrame([(0.125,)] * 100, "x double")
+    total, mean = df.agg(money.round2_double(money.money_sum("x")),
+                         money.mean_round2(money.cents(money.money_sum("x")), F.count("x"))).first()
+    assert (total, mean) == (12.5, 0.13)
+
+
 def test_money_sum_exact(spark):
     df = spark.createDataFrame([(0.1,)] * 10 + [(0.2,)] * 10, "x double")
     assert df.agg(money.round2_double(money.money_sum("x"))).first()[0] == 3.0
@@ -138,6 +163,37 @@ def test_next_key_empty_and_filled(spark, scratch):
     assert landing.next_key(filled, "transaction_id").first()[0] == 10
 
 
+def test_landing_reads_int_and_bigint_files(spark, scratch):
+    for kind in ("int", "bigint"):
+        path = f"{scratch}/{kind}"
+        spark.createDataFrame([(7, 2)], f"transaction_id {kind}, quantity {kind}").write.parquet(path)
+        row = landing.read_batch(spark, path, "sales").first()
+        assert (row["transaction_id"], row["quantity"], row["store_id"]) == (7, 2, None)
+
+
+def test_bronze_time_is_utc_in_any_zone(spark):
+    from datetime import timezone
+    from shopfloor.plans import bronze
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    feed = spark.createDataFrame([(1, 2**40)], "store_id bigint, name bigint").selectExpr(
+        "store_id", "cast(name as string) name", "cast(null as string) address", "cast(null as string) manager",
+        "cast(null as timestamp) open_date", "cast(null as string) status", "cast(null as string) phone_number",
+        "cast(null as timestamp) last_update_time")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+        for ts in (datetime(2024, 1, 1, 12), datetime(2024, 1, 1, 12, tzinfo=timezone.utc)):
+            got = bronze.bronze(feed, "stores", ts).selectExpr("unix_seconds(ingest_timestamp) s").first()["s"]
+            assert got == 1704110400
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_try_cast_makes_what_does_not_fit_null(spark):
+    from shopfloor.plans import bronze
+    feed = spark.createDataFrame([(1, 3_000_000_000), (2, 5)], "product_id bigint, stock_quantity bigint")
+    assert [r[0] for r in feed.select(*[c for c in bronze.typed("products") if "stock_quantity" in str(c)]).collect()] == [None, 5]
+
+
 def test_append_and_allocate_keys(spark, scratch):
     path = f"{scratch}/landing/stores"
     t = datetime(2024, 1, 1)

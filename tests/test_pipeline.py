@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 from shopfloor import config as C
 from shopfloor.functions.money import money_sum
 from shopfloor.plans import bronze, silver
+from shopfloor.plans import dashboard as D
 from shopfloor.plans.pipeline import Lakehouse
 from shopfloor.plans.refresh import full_refresh
 from shopfloor.schemas import BRONZE_TYPES
 from shopfloor.sources import fixtures, landing
 from shopfloor.sources.store import RunStore, TableStore
 from shopfloor.sources.tables import ParquetTables
+from shopfloor.streaming.ingest import process_sales_batch, read_daily
 from shopfloor.streaming.runner import run_available_now
 
 from tests.conftest import SF_SMALL
@@ -96,6 +98,16 @@ def test_stored_refresh_and_streaming_match_in_memory(spark, scratch, lake):
     assert _same(stored.read(C.GOLD_CUSTOMER), lake.gold_customer)
     assert metrics["customers_cleaned"]["rows"] == lake.bronze_customers.count()
 
+    # Registered views (S9, S14, S15): every dataset, the current views, comments.
+    views = stored.register()
+    assert {"gold_daily_sales_by_store", "silver_stores_current", "expectations"} <= set(views)
+    assert spark.table("silver_customers_current").count() == lake.customers_current.count()
+    assert stored.comment("gold_customer_lifetime_value") == C.COMMENTS[C.GOLD_CUSTOMER]
+    top = D.run_sql(spark, "SELECT store_name, CAST(round(sum(CAST(total_revenue AS DECIMAL(28,6))), 2) AS DOUBLE) AS total_revenue "
+                           "FROM gold_daily_sales_by_store WHERE sale_date BETWEEN :date_range.min AND :date_range.max "
+                           "GROUP BY store_name ORDER BY total_revenue DESC, store_name LIMIT 5", lake.params)
+    assert top.collect() == D.q06_top_stores(lake.gold_daily_store, lake.params).collect()
+
     # Streaming: every feed landed in three slices, processed in small triggers.
     raw = ParquetTables(spark, SF_SMALL)
     for entity, feed in fixtures.FEEDS.items():
@@ -107,7 +119,7 @@ def test_stored_refresh_and_streaming_match_in_memory(spark, scratch, lake):
     run_available_now(spark, f"{scratch}/landing", store, f"{scratch}/ckpt", max_files_per_trigger=4)
     assert _same(store.read(C.GOLD_FACTS).drop("event_month", "batch_id"), lake.gold_facts)
     daily = lake.gold_daily_store
-    assert _same(store.read(C.GOLD_DAILY_STORE).select(*daily.columns), daily)
+    assert _same(read_daily(store).select(*daily.columns), daily)
     assert _same(store.read(C.SILVER_CUSTOMERS).drop("_bucket"), lake.silver_customers)
     lineage = store.read(C.BRONZE_SALES).select("source_file_path", "ingest_timestamp")
     assert lineage.where("source_file_path IS NULL OR ingest_timestamp IS NULL").count() == 0
@@ -159,3 +171,58 @@ def test_day_ranges_merge_contiguous_days():
     from shopfloor.streaming.ingest import day_ranges
     days = [date(2024, 1, 3), date(2024, 1, 1), date(2024, 1, 2), date(2024, 2, 1), date(2024, 1, 2)]
     assert day_ranges(days) == [(date(2024, 1, 1), date(2024, 1, 4)), (date(2024, 2, 1), date(2024, 2, 2))]
+
+
+@pytest.fixture()
+def dimensions(spark, scratch):
+    """A store with one row of each current dimension."""
+    store = TableStore(spark, f"{scratch}/lake")
+    for name, cols in ((C.SILVER_CUSTOMERS, "1 customer_id, 'c' name"), (C.SILVER_PRODUCTS, "1 product_id, 'p' name, 'k' category"),
+                       (C.SILVER_STORES, "1 store_id, 's' name")):
+        store.write(spark.sql(f"SELECT {cols}, CAST(NULL AS TIMESTAMP) __END_AT"), name)
+    return store
+
+
+def _sales(spark, rows):
+    schema = ", ".join(f"{n} {t}" for n, t in BRONZE_TYPES["sales"])
+    full = [(i, 1, when, 1, 1, qty, 2.0, 2.0 * qty, "Cash", discount, 0.1) for i, when, qty, discount in rows]
+    return spark.createDataFrame(full, schema).selectExpr("*", "timestamp '2024-01-01' ingest_timestamp", "'f' source_file_path")
+
+
+def test_retry_with_fewer_rows_or_none_leaves_nothing_behind(spark, dimensions):
+    store = dimensions
+    jan, feb = datetime(2024, 1, 5, 10), datetime(2024, 2, 6, 10)
+    process_sales_batch(_sales(spark, [(1, jan, 2, 0.0), (2, feb, 3, 0.0), (3, feb, -1, 0.0)]), 0, store)
+    process_sales_batch(_sales(spark, [(9, feb, 1, 0.0)]), 1, store)
+    assert store.read(C.GOLD_FACTS).count() == 3 and read_daily(store).count() == 2
+    process_sales_batch(_sales(spark, [(1, jan, 2, 0.0), (2, feb, 3, -1.0)]), 0, store)
+    assert sorted(r.transaction_id for r in store.read(C.GOLD_FACTS).collect()) == [1, 9]
+    assert store.read(C.SILVER_RETURNS).count() == 0 and store.read(C.SILVER_SALES).count() == 2
+    assert {(str(r.sale_date), r.total_transactions) for r in read_daily(store).collect()} == {("2024-01-05", 1), ("2024-02-06", 1)}
+    process_sales_batch(_sales(spark, [(1, jan, 0, 0.0)]), 0, store)
+    assert [r.transaction_id for r in store.read(C.GOLD_FACTS).collect()] == [9]
+    assert {str(r.sale_date) for r in read_daily(store).collect()} == {"2024-02-06"}
+
+
+def test_a_sale_without_a_time_does_not_stop_the_stream(spark, dimensions):
+    process_sales_batch(_sales(spark, [(1, None, 2, 0.0), (2, datetime(2024, 2, 6), 1, 0.0)]), 0, dimensions)
+    assert dimensions.read(C.GOLD_FACTS).count() == 2 and read_daily(dimensions).count() == 1
+
+
+def test_another_bucket_count_is_refused(spark, scratch):
+    from shopfloor.streaming.scd2_stream import apply_changes
+    store = TableStore(spark, f"{scratch}/s")
+    changes = spark.range(20).selectExpr("id AS k", "concat('n', id) AS name", "id AS seq")
+    args = (store, "silver.log", "silver.dim", ["k"], "seq", ["name"], ["seq"])
+    apply_changes(changes, 0, *args, buckets=4)
+    with pytest.raises(ValueError, match="4 buckets"):
+        apply_changes(changes, 1, *args, buckets=16)
+    apply_changes(changes.selectExpr("k", "'x' AS name", "seq + 100 AS seq"), 1, *args, buckets=4)
+    assert store.read("silver.dim").where("__END_AT IS NULL").count() == 20
+
+
+def test_publish_adds_a_pointer_and_the_newest_wins(spark, scratch):
+    runs = RunStore(spark, f"{scratch}/runs")
+    runs.publish("20240101T000000-aaa")
+    runs.publish("20240102T000000-bbb")
+    assert runs.current().root.endswith("20240102T000000-bbb")

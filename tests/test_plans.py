@@ -10,6 +10,7 @@ import __spark_entry__ as E
 from shopfloor.config import DEFAULT_PARAMS
 from shopfloor.operators.scd2 import scd2
 from shopfloor.plans import dashboard as D
+from shopfloor.plans.catalog import QUERIES
 from shopfloor.plans.refresh import _by_time
 from shopfloor.sources import fixtures
 from shopfloor.sources.tables import ParquetTables
@@ -25,10 +26,18 @@ def _scans(plan: str) -> Counter:
     return Counter(re.findall(r"/([a-z_]+)\.parquet", plan))
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
-def test_no_python_udf_in_any_query(spark, name):
-    plan = _plan(E.queries()[name](spark, SF_SMALL))
-    assert not re.search(r"BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas", plan)
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_plan_has_no_python_round_robin_or_limit_probe(spark, name):
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
+    assert not re.search(r"BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas|MapInArrow", plan)
+    assert "RoundRobinPartitioning" not in plan and "CartesianProduct" not in plan
+    assert not re.search(r"GlobalLimit|LocalLimit", plan)
+
+
+def test_acquisition_ranks_nothing(spark):
+    """q18 reads no score: its plan is one piece, without a stored ranking."""
+    plan = _plan(QUERIES["q18_acquisition"](spark, SF_SMALL))
+    assert "rangepartitioning" not in plan.lower() and "ExistingRDD" not in plan
 
 
 @pytest.mark.parametrize("name", ["j8_orphans", "g1_denormalized_facts", "c4_sales_cleansed", "q06_top_stores"])
@@ -43,7 +52,7 @@ def test_quality_report_scans_the_facts_once(spark):
 
 
 def test_scd2_shuffles_the_change_log_once(spark):
-    feed = fixtures.customer_changes(ParquetTables(spark, SF_SMALL, spread=False))
+    feed = fixtures.customer_changes(ParquetTables(spark, SF_SMALL))
     plan = _plan(scd2(feed, ["customer_id"], "last_update_time", ["name", "email"], ["last_update_time"]))
     assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
     assert "SortMergeJoin" not in plan

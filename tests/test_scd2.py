@@ -36,12 +36,12 @@ def test_fixture_any_arrival_order(spark, order):
     assert _versions(out) == EXPECTED
 
 
-@pytest.mark.parametrize("chunks", [2, 3, 5])
-def test_fixture_hot_key_chunks(spark, chunks):
+@pytest.mark.parametrize("hot_rows", [1, 2, 4])
+def test_fixture_hot_key_chunks(spark, hot_rows):
     """The same key split into sequence chunks gives the same versions."""
     df = spark.createDataFrame(ROWS, SCHEMA)
     out = scd2(df, ["customer_id"], "last_update_time", ["name", "email"], ["last_update_time"],
-               hot_rows=1, max_hot_keys=10, chunks=chunks)
+               hot_rows=hot_rows)
     assert _versions(out) == EXPECTED
 
 
@@ -96,7 +96,7 @@ def test_events_feed_matches_brute_force_cold_and_hot(spark):
     expected = _brute_force(feed.toPandas())
     cold = scd2(feed, ["customer_id"], "last_update_time", ["name", "email"], ["last_update_time"])
     hot = scd2(feed, ["customer_id"], "last_update_time", ["name", "email"], ["last_update_time"],
-               hot_rows=5, max_hot_keys=500, chunks=4)
+               hot_rows=5)
     assert _as_set(cold) == expected
     assert _as_set(hot) == expected
 
@@ -105,7 +105,7 @@ def test_intervals_contiguous_one_open_per_key(spark):
     from tests.conftest import SF_MID
 
     hist = scd2(_events_feed(spark, SF_MID), ["customer_id"], "last_update_time", ["name", "email"],
-                ["last_update_time"], hot_rows=20, max_hot_keys=1000, chunks=8)
+                ["last_update_time"], hot_rows=20)
     pdf = hist.toPandas().sort_values(["customer_id", START])
     for _, g in pdf.groupby("customer_id"):
         starts, ends = list(g[START]), list(g[END])
@@ -128,7 +128,7 @@ def test_null_sequence_rejected(spark):
     assert scd2(df, ["customer_id"], "last_update_time", ["name"], ["last_update_time"]).count() == 0
 
 
-@pytest.mark.parametrize("scale", [{}, {"hot_rows": 5, "max_hot_keys": 500, "chunks": 3}])
+@pytest.mark.parametrize("scale", [{}, {"hot_rows": 5}])
 def test_streaming_scd2_equals_batch_in_six_shuffled_micro_batches(spark, scratch, scale):
     """SURVEY 2.11: the events change feed landed as 6 files in scrambled order
     and applied one file per micro-batch gives the batch SCD2 exactly."""
@@ -151,3 +151,34 @@ def test_streaming_scd2_equals_batch_in_six_shuffled_micro_batches(spark, scratc
     batch = scd2(feed, ["customer_id"], "last_update_time", ["name", "email"], SCD2_EXCEPT)
     assert streamed.count() == batch.count()
     assert streamed.exceptAll(batch.select(*streamed.columns)).count() == 0
+
+
+def test_many_hot_keys_equal_the_cold_path(spark):
+    """No cap on hot keys; chunks grow with the key; the bounds depend on the rows only."""
+    from shopfloor.operators.scd2 import chunk_bounds
+    from shopfloor.sources import fixtures
+    from shopfloor.sources.tables import ParquetTables
+    from tests.conftest import SF_MID
+
+    feed = fixtures.product_grades(ParquetTables(spark, SF_MID))
+    args = (["product_id"], "last_update_time", ["grade", "state"], ["last_update_time"])
+    cold, hot = scd2(feed, *args), scd2(feed, *args, hot_rows=12)
+    bounds = chunk_bounds(feed, ["product_id"], "last_update_time", 12)
+    assert bounds.count() >= 1500
+    assert cold.count() == hot.count() and cold.exceptAll(hot.select(*cold.columns)).count() == 0
+    again = chunk_bounds(feed.repartition(17), ["product_id"], "last_update_time", 12)
+    assert sorted(map(str, bounds.collect())) == sorted(map(str, again.collect()))
+
+
+def test_chunks_grow_with_the_key(spark):
+    from shopfloor.operators.scd2 import chunk_bounds
+    rows = spark.range(60_000).selectExpr("CAST(IF(id < 50000, 1, 2) AS INT) AS k", "id AS s")
+    sizes = {r.k: len(r["_bounds"]) for r in chunk_bounds(rows, ["k"], "s", 1000).collect()}
+    assert 40 <= sizes[1] <= 60 and 7 <= sizes[2] <= 13
+
+
+def test_replays_of_one_sequence_are_one_row(spark):
+    rows = spark.range(5000).selectExpr("1 AS customer_id", "concat('n', id % 3) AS name", "id % 40 AS last_update_time")
+    out = scd2(rows, ["customer_id"], "last_update_time", ["name"], hot_rows=100)
+    cold = scd2(rows, ["customer_id"], "last_update_time", ["name"])
+    assert sorted(map(str, out.collect())) == sorted(map(str, cold.collect()))
