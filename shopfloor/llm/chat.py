@@ -30,8 +30,8 @@ def _escape_role(role: Column) -> Column:
 
 
 def _unescape_role(role: Column) -> Column:
-    marked = F.replace(unescape(role), F.lit("\\\\"), F.lit("\u0000\\"))
-    return F.replace(F.replace(marked, F.lit("\\n"), F.lit("\n")), F.lit("\u0000\\"), F.lit("\\"))
+    between = F.split(unescape(role), r"\\\\")
+    return F.array_join(F.transform(between, lambda p: F.replace(p, F.lit("\\n"), F.lit("\n"))), "\\")
 
 
 def fold(events: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ walk returns what the merges return, in time linear in the word.
 
 from __future__ import annotations
 
+import codecs
 import heapq
 import re
 from collections import Counter
@@ -390,6 +391,10 @@ class Encoder:
         return ids[np.concatenate(([True], ~same))]
 
 
+def _each_byte(error: UnicodeError) -> tuple[str, int]:
+    return "\ufffd" * (error.end - error.start), error.end
+
+
 class Decoder:
     def __init__(self, vocabulary: Vocabulary):
         v = vocabulary
@@ -399,6 +404,7 @@ class Decoder:
         self.is_byte = np.zeros(len(v.pieces), dtype=bool)
         self.is_byte[list(self.byte_of)] = True
         self.dummy_prefix = v.dummy_prefix
+        codecs.register_error("each-byte", _each_byte)
 
     def decode(self, ids: np.ndarray | None) -> str:
         """The text of ids; bytes that are not UTF-8 become U+FFFD each."""
@@ -412,10 +418,10 @@ class Decoder:
                 if i in self.byte_of:
                     run.append(self.byte_of[i])
                     continue
-                parts.append(run.decode("utf-8", "replace"))
+                parts.append(run.decode("utf-8", "each-byte"))
                 run.clear()
                 parts.append(self.text[i])
-            parts.append(run.decode("utf-8", "replace"))
+            parts.append(run.decode("utf-8", "each-byte"))
             out = "".join(parts)
         return out[1:] if self.dummy_prefix and out.startswith(" ") else out
 

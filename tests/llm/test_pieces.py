@@ -57,7 +57,7 @@ def test_unigram_paths_are_the_best(with_bytes):
     rng = random.Random(5)
     own = ["<unk>", "<s>", "</s>"] + ([f"<0x{b:02X}>" for b in range(256)] if with_bytes else [])
     start = len(own)
-    words = {"▁"} | {"".join(rng.choice("abc▁") if k == 0 else rng.choice("abc") for k in range(rng.randint(1, 5))) for _ in range(60)}
+    words = {"▁", "a", "b", "c"} | {"".join(rng.choice("abc▁") if k == 0 else rng.choice("abc") for k in range(rng.randint(1, 5))) for _ in range(60)}
     own += sorted(words)
     scores = [0.0] * start + [-rng.uniform(1, 9) for _ in own[start:]]
     v = pieces.Vocabulary(own, scores, "unigram", 0, {0, 1, 2}, {b: 3 + b for b in range(256)} if with_bytes else {})
