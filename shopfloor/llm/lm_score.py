@@ -167,8 +167,20 @@ def score(docs: DataFrame, is_target: Column, id_col: str = "doc_id", text_col:
     return rows.mapInArrow(run, f"doc_id {id_type}, n_tokens long, target_loss double, background_loss double, difference double")
 
 
+#: Ids of target documents that are broadcast, so that no text is shuffled; a
+#: longer list is joined by shuffling both sides. Two million take about 50 MB.
+BROADCAST_IDS = 2_000_000
+
+
+def mark(docs: DataFrame, ids: DataFrame, flag: str, limit: int = BROADCAST_IDS) -> DataFrame:
+    """``docs`` with a column ``flag``: whether the doc_id is one of ``ids``."""
+    ids = ids.where("doc_id is not null").select("doc_id").distinct()
+    side = F.broadcast(ids) if ids.count() <= limit else ids
+    return docs.join(side.withColumn(flag, F.lit(True)), "doc_id", "left")
+
+
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target: the texts labelled good and not toxic."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    good = read_table(spark, sf_dir, "labels").where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct()
-    return score(docs.join(good.withColumn("good", F.lit(True)), "doc_id", "left"), F.col("good"))
+    good = read_table(spark, sf_dir, "labels").where("quality = 1 and coalesce(toxic, 0) = 0")
+    return score(mark(docs, good, "good"), F.col("good"))

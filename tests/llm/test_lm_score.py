@@ -8,37 +8,45 @@ from pyspark.sql import functions as F
 from shopfloor.llm import lm_score as lm
 
 
+def slots_of(text):
+    """(word ids, pair slots): words that share a slot are one to the models."""
+    data = np.frombuffer("".join(c.lower() if c.isascii() else c for c in text or "").encode(), dtype=np.uint8)
+    word, pair, _ = lm._ids(lm.Chunk(0, data, np.array([0, len(data)]), lm.ALNUM))
+    return word.tolist(), pair.tolist()[1:]
+
+
 def plain(texts, wanted):
     """Cross-entropy differences by dictionaries, each text's own counts off."""
-    tokens = [[w for w in "".join(c.lower() if c.isascii() else c for c in t or "").split()] for t in texts]
+    tokens = [slots_of(t) for t in texts]
 
     def counts(picked):
         words, pairs, contexts = Counter(), Counter(), Counter()
-        for t in picked:
+        for t, p in picked:
             words.update(t)
-            pairs.update(zip(t, t[1:]))
+            pairs.update(p)
             contexts.update(t[:-1])
         return words, pairs, contexts
 
     target, total = counts([t for t, w in zip(tokens, wanted) if w]), counts(tokens)
     scale = sum(target[0].values()) / sum(total[0].values())
 
-    def loss(t, model, scale, counted):
+    def loss(text, model, scale, counted):
+        t, p = text
         if not t:
             return None
-        own = counts([t]) if counted else (Counter(),) * 3
+        own = counts([text]) if counted else (Counter(),) * 3
         words, pairs, contexts = ({k: max(scale * (m[k] - o[k]), 0) for k in m} for m, o in zip(model, own))
         size = scale * (sum(model[0].values()) - (len(t) if counted else 0))
         out = 0.0
         for i, w in enumerate(t):
-            p = (words.get(w, 0) + 1) / (size + lm.WORDS)
+            chance = (words.get(w, 0) + 1) / (size + lm.WORDS)
             if i:
                 c = contexts.get(t[i - 1], 0)
-                p = (min(pairs.get((t[i - 1], w), 0), c) + lm.SMOOTHING * p) / (c + lm.SMOOTHING)
-            out -= math.log(p)
+                chance = (min(pairs.get(p[i - 1], 0), c) + lm.SMOOTHING * chance) / (c + lm.SMOOTHING)
+            out -= math.log(chance)
         return out / len(t)
 
-    return [(len(t), loss(t, target, 1.0, w), loss(t, total, scale, True)) for t, w in zip(tokens, wanted)]
+    return [(len(t[0]), loss(t, target, 1.0, w), loss(t, total, scale, True)) for t, w in zip(tokens, wanted)]
 
 
 def test_matches_dictionaries(docs_of, prose, clashing):
@@ -78,3 +86,11 @@ def test_counts_cover_every_token(docs_of, prose):
     assert total[words].sum() == sum(len(t.split()) for t in texts) and target[words].sum() == sum(len(t.split()) for t in texts[:5])
     assert total[lm.PAIRS + lm.WORDS:].sum() == total[words].sum() - len(texts)
     assert np.all(target <= total)
+
+
+def test_marking_with_and_without_broadcast(spark, docs_of):
+    docs = docs_of([(1, "a"), (2, "b"), (None, "c"), (1, "a")])
+    ids = spark.createDataFrame([(1,), (1,), (None,), (7,)], "doc_id long")
+    for limit in (0, 10):
+        rows = lm.mark(docs, ids, "hit", limit).collect()
+        assert sorted((str(r.doc_id), r.hit) for r in rows) == [("1", True), ("1", True), ("2", None), ("None", None)]
