@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import materialize, read_table
 
 GRAM_WORDS = 2
 
@@ -84,8 +84,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     votes = met.where((F.col("place") < 0) | gram_there).select(
         "doc_id", "k1", "k2", "tid", "label", "exact", "place", diagonal.alias("diagonal"),
         F.size("words").alias("n_words"), (F.size("phrase") - GRAM_WORDS + 1).alias("grams"))
-    lines = votes.groupBy("doc_id", "k1", "k2", "tid", "label", "exact", "diagonal", "n_words", "grams").agg(
-        F.collect_set("place").alias("placed"), F.count("*").alias("times"))
+    # A row per text and per placement: stored, as three branches read it and the scan is the dear part.
+    lines = materialize(votes.groupBy("doc_id", "k1", "k2", "tid", "label", "exact", "diagonal", "n_words", "grams").agg(
+        F.collect_set("place").alias("placed"), F.count("*").alias("times")), "diagonals")
     base = lines.where(F.col("exact") & (F.size("placed") == F.col("grams")))
     marks = lines.where("tid < 0")
     # Neighbouring diagonals of one notice run together.
