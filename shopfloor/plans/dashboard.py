@@ -107,13 +107,13 @@ def q07_top_products(facts: DataFrame, p: Params) -> DataFrame:
 def q08_revenue_by_category(facts: DataFrame, p: Params) -> DataFrame:
     return (_events(facts, p).groupBy("product_category")
             .agg(round2_double(money_sum("total_amount")).alias("total_revenue"))
-            .orderBy(F.col("total_revenue").desc()))
+            .orderBy(F.col("total_revenue").desc(), "product_category"))
 
 
 def q09_revenue_by_payment(facts: DataFrame, p: Params) -> DataFrame:
     return (_events(facts, p).groupBy("payment_method")
             .agg(round2_double(money_sum("total_amount")).alias("total_revenue"))
-            .orderBy(F.col("total_revenue").desc()))
+            .orderBy(F.col("total_revenue").desc(), "payment_method"))
 
 
 # --- product analytics ----------------------------------------------------------
@@ -125,7 +125,7 @@ def q10_category_performance(facts: DataFrame, p: Params) -> DataFrame:
             .select("product_category", "product_count",
                     round2_double(F.col("_rev")).alias("total_revenue"), "total_quantity",
                     ratio_round2(cents(F.col("_rev")), F.col("total_quantity")).alias("avg_price"))
-            .orderBy(F.col("total_revenue").desc()))
+            .orderBy(F.col("total_revenue").desc(), "product_category"))
 
 
 def q11_top20_products(facts: DataFrame, p: Params) -> DataFrame:
@@ -158,7 +158,7 @@ def _store_kpis(daily: DataFrame, p: Params) -> DataFrame:
 
 
 def q12_store_performance(daily: DataFrame, p: Params) -> DataFrame:
-    return _store_kpis(daily, p).orderBy(F.col("total_revenue").desc())
+    return _store_kpis(daily, p).orderBy(F.col("total_revenue").desc(), "store_name")
 
 
 def q13_bottom_stores(daily: DataFrame, p: Params) -> DataFrame:
@@ -249,9 +249,11 @@ def date_range_arg(p: Params) -> Column:
 
 def run_sql(spark, text: str, p: Params, **args) -> DataFrame:
     """Run dashboard SQL text with its named parameters bound: ``:date_range``
-    (``:date_range.min`` / ``:date_range.max``) and ``:as_of``, plus any
-    extra ``args``. Tables are the views ``TableStore.register`` created."""
-    bound = {"date_range": date_range_arg(p), "as_of": F.expr(f"DATE '{p.as_of.isoformat()}'")}
+    (``:date_range.min`` / ``:date_range.max``), ``:as_of`` and
+    ``:acquired_by``, plus any extra ``args``. Tables are the views
+    ``TableStore.register`` created."""
+    bound = {"date_range": date_range_arg(p), "as_of": F.expr(f"DATE '{p.as_of.isoformat()}'"),
+             "acquired_by": F.expr(f"DATE '{p.acquisition_as_of.isoformat()}'")}
     bound.update(args)
     used = {k: v for k, v in bound.items() if f":{k}" in text}
     return spark.sql(text, args=used)

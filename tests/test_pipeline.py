@@ -1,6 +1,7 @@
 """Pipeline properties over the driver tables and the
 stored / streaming runs agreeing with the in-memory plan."""
 
+import inspect
 from datetime import datetime, timedelta
 
 import pytest
@@ -10,6 +11,7 @@ from shopfloor import config as C
 from shopfloor.functions.money import money_sum
 from shopfloor.plans import bronze, silver
 from shopfloor.plans import dashboard as D
+from shopfloor.plans.dashboard_sql import TEXTS
 from shopfloor.plans.pipeline import Lakehouse
 from shopfloor.plans.refresh import full_refresh
 from shopfloor.schemas import BRONZE_TYPES
@@ -103,10 +105,16 @@ def test_stored_refresh_and_streaming_match_in_memory(spark, scratch, lake):
     assert {"gold_daily_sales_by_store", "silver_stores_current", "expectations"} <= set(views)
     assert spark.table("silver_customers_current").count() == lake.customers_current.count()
     assert stored.comment("gold_customer_lifetime_value") == C.COMMENTS[C.GOLD_CUSTOMER]
-    top = D.run_sql(spark, "SELECT store_name, CAST(round(sum(CAST(total_revenue AS DECIMAL(28,6))), 2) AS DOUBLE) AS total_revenue "
-                           "FROM gold_daily_sales_by_store WHERE sale_date BETWEEN :date_range.min AND :date_range.max "
-                           "GROUP BY store_name ORDER BY total_revenue DESC, store_name LIMIT 5", lake.params)
-    assert top.collect() == D.q06_top_stores(lake.gold_daily_store, lake.params).collect()
+    # All 19 dashboard texts equal the DataFrame results over the same tables.
+    gold = {"facts": stored.read(C.GOLD_FACTS), "daily": stored.read(C.GOLD_DAILY_STORE), "clv": stored.read(C.GOLD_CUSTOMER),
+            "stores_history": stored.read(C.SILVER_STORES)}
+    assert len(TEXTS) == 19
+    for name, text in TEXTS.items():
+        fn = getattr(D, name)
+        tables = [gold[a] for a in inspect.signature(fn).parameters if a != "p"]
+        want, got = fn(*tables, lake.params), D.run_sql(spark, text, lake.params)
+        assert got.columns == want.columns, name
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), name
 
     # Streaming: every feed landed in three slices, processed in small triggers.
     raw = ParquetTables(spark, SF_SMALL)
