@@ -4,10 +4,10 @@ Without MERGE, every micro-batch of cleansed changes is appended to a change
 log bucketed by a hash of the key (partition ``_bucket``, sub-partition
 ``_batch``; a retried batch overwrites its own partition, and the
 (key, sequence) de-duplication of the SCD2 operator absorbs replays). The
-buckets the batch touched are then recomputed from the whole log with the
-batch SCD2 operator and replace their partitions of the dimension table
-(dynamic overwrite). The result equals the batch SCD2 of all changes in any
-arrival order; the bucket count bounds how much is recomputed per batch.
+keys the batch touched are then recomputed from their log with the batch SCD2
+operator; with the stored versions of the other keys they replace the touched
+partitions of the dimension table (dynamic overwrite). The result equals the
+batch SCD2 of all changes in any arrival order.
 """
 
 from __future__ import annotations
@@ -74,13 +74,19 @@ def _log_and_rebuild(batch: DataFrame, batch_id: int, store: TableStore, log_nam
     try:
         store.write(tagged, log_name, partition_by=[BUCKET, BATCH], dynamic=True)
         touched = [r[0] for r in tagged.select(BUCKET).distinct().collect()]  # at most ``buckets``
+        if not touched:
+            return
+        changed = tagged.select(*keys).distinct()
+        log = store.read(log_name).where(F.col(BUCKET).isin(touched)).drop(BATCH).join(changed, keys, "left_semi")
+        history = scd2.scd2(log, keys, sequence_by, track, except_cols, ignore_null_updates=True, **scale)
+        if store.exists(target):
+            # Other keys of the touched buckets keep their stored versions. A
+            # dynamic overwrite may read what it replaces: it writes aside first.
+            kept = store.read(target).where(F.col(BUCKET).isin(touched)).join(changed, keys, "left_anti")
+            history = history.unionByName(kept.select(history.columns))
+        store.write(history, target, partition_by=[BUCKET], dynamic=True)
     finally:
         tagged.unpersist()
-    if not touched:
-        return
-    log = store.read(log_name).where(F.col(BUCKET).isin(touched)).drop(BATCH)
-    history = scd2.scd2(log, keys, sequence_by, track, except_cols, ignore_null_updates=True, **scale)
-    store.write(history, target, partition_by=[BUCKET], dynamic=True)
 
 
 def dimension_stream(spark: SparkSession, store: TableStore, entity: str, checkpoint: str,
