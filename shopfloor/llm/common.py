@@ -4,6 +4,7 @@ byte-level numpy word kernel for Arrow batches."""
 from __future__ import annotations
 
 import atexit
+import contextlib
 import uuid
 from collections.abc import Iterator
 
@@ -15,8 +16,9 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 
-#: Bytes of text that a kernel call works on; one longer text is a call of its own.
-CHUNK_BYTES = 2 << 20
+#: Bytes of text that a kernel call works on (its arrays take some 40 times
+#: that); one longer text is a call of its own.
+CHUNK_BYTES = (1 << 20) - 64
 
 #: Bytes that are white space: x09-x0D and x20.
 SPACE_BYTES = bytes([0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20])
@@ -35,11 +37,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def _forget(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    if jvm is None or spark.sparkContext._jsc is None:
+    sc = spark.sparkContext
+    if sc._jvm is None or sc._jsc is None:  # the session was stopped
         return
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    with contextlib.suppress(Exception):  # the driver is ending; what is left is only disk
+        target = sc._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

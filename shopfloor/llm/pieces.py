@@ -42,7 +42,7 @@ BITMAP_BITS = 1 << 20
 PAIR_SLOTS = 1 << 21
 
 #: Words remembered by a task, and the longest that is.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000
 CACHE_CHARS = 64
 
 #: Words and characters that advance together.
@@ -427,7 +427,7 @@ class Decoder:
 
 
 #: Texts that are encoded together, in characters.
-BATCH_CHARS = 6 << 20
+BATCH_CHARS = 4 << 20
 
 
 def _batches(texts: list[str | None]) -> Iterator[list[str | None]]:

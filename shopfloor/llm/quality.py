@@ -171,7 +171,7 @@ def train(docs: DataFrame, ratings: DataFrame, n_grades: int = GRADES, rows: int
     lists = lists if isinstance(lists, pa.Array) else pa.concat_arrays(lists.chunks)
     offsets = np.asarray(lists.offsets).astype(np.int64)
     grades = found.column("grade").to_numpy().astype(np.int64)
-    return fit(np.asarray(lists.values).astype(np.int64), offsets - offsets[0], grades, n_grades)
+    return fit(np.asarray(lists.values), offsets - offsets[0], grades, n_grades)
 
 
 def rate(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
