@@ -38,7 +38,7 @@ SUBSTRING_BITS = 16
 
 #: Queries that one broadcast block holds, and rows that one index holds.
 QUERY_ROWS = 8192
-INDEX_ROWS = 32_768
+INDEX_ROWS = 8192
 
 #: Cells of the query-by-bucket tables that one step works on.
 CELLS = 1 << 21
