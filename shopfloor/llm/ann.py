@@ -218,7 +218,7 @@ def search(vectors: DataFrame, is_query, k: int = NEIGHBOURS, id_col: str = "vec
     block_of = F.pmod(F.xxhash64("vec_id", F.lit("block")), F.lit(blocks))
     # Shards are what one index holds at a time; there are as many as it takes.
     shards = -(-n // INDEX_ROWS)
-    index = rows if shards == 1 else rows.withColumn("shard", F.pmod(F.xxhash64("vec_id", F.lit("shard")), F.lit(shards))).repartition(shards, "shard").drop("shard")
+    index = rows if shards == 1 else rows.repartition(shards, "vec_id")
     for block in range(blocks):
         left_ids, left = _collected(queries.where(block_of == block))
         reach = radius
