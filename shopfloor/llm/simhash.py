@@ -21,6 +21,9 @@ HASH_SEED = 42
 #: Distinct fingerprints in one block bucket beyond which its rest is split again.
 BUCKET_ROWS = 256
 
+#: Masks that a plan holds as literals: three levels at three bits.
+MASKS = 8000
+
 
 def fingerprint(text: bytes, shingle: int = SHINGLE_WORDS) -> int:
     """Signed 64-bit SimHash of the A-Z-folded, white-space separated words'
@@ -90,7 +93,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, bucket_rows: int = BUCKET_RO
             "fp", (F.col("cut") * width + F.col("c")).alias("cut"), F.col("fp").bitwiseAND(F.col("mask")).alias("key"))
         level = [x for each in finer for x in each]
         large = None
-        if any(len(free) > 8 for _, free in level):
+        if any(len(free) > 8 for _, free in level) and len(level) * width <= MASKS:
             large = materialize(keyed.groupBy("cut", "key").count().where(F.col("count") > bucket_rows).select("cut", "key"), "buckets")
             if large.isEmpty():
                 large = None
