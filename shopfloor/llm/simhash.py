@@ -108,13 +108,20 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, bucket_rows: int = BUCKET_RO
 
 
 def groups(fps: DataFrame, max_bits: int = MAX_BITS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """(fp, component_id): the smallest doc_id whose fingerprint is reachable."""
+    """(fp, root, component_id): the smallest fingerprint and the smallest
+    doc_id that are reachable. The root names the group; the component need
+    not, as ids may be null or shared."""
     first = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "first")
     roots = connected(links(first, max_bits, bucket_rows))
     rooted = first.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first_doc", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    return rooted.join(least, "root").select("fp", "component_id")
+    return rooted.join(least, "root").select("fp", "root", "component_id")
+
+
+def _grouped(docs: DataFrame, shingle: int, max_bits: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    fps = materialize(fingerprints(docs, shingle, id_col, text_col), "simhash")
+    return fps.join(groups(fps, max_bits), "fp", "left")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
@@ -125,15 +132,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int
     repeated rows stay repeated; a null id is never the smallest, and a group
     of null ids only has a null component. Other columns are not read.
     """
-    fps = materialize(fingerprints(docs, shingle, id_col, text_col), "simhash")
-    return fps.join(groups(fps, max_bits), "fp", "left").select("doc_id", "text_key", "fp", "component_id")
+    return _grouped(docs, shingle, max_bits, id_col, text_col).select("doc_id", "text_key", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: the smallest doc_id
     (null last), of rows with that id the smallest text key, of equal rows one."""
-    fps = near_duplicates(docs, shingle, max_bits)
-    best = fps.groupBy(F.struct("component_id").alias("component")).agg(
+    best = _grouped(docs, shingle, max_bits).groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("text_key"))).alias("pick"))
     chosen = best.select(F.col("pick.doc_id").alias("__keep_id"), F.col("pick.text_key").alias("__keep_key"))
     names = docs.columns

@@ -99,3 +99,10 @@ def test_keep_one_keeps_columns_and_one_row(spark, docs_of, prose, clashing):
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == [1, 9]
+
+
+def test_keep_one_keeps_unrelated_texts_of_null_and_shared_ids(docs_of, prose):
+    texts = [prose(80, seed=20 + i) for i in range(5)]
+    docs = docs_of([(None, texts[0]), (None, texts[1]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (8, texts[3]), (9, texts[4])])
+    kept = [(r.doc_id, r.text) for r in simhash.keep_one(docs).collect()]
+    assert len(kept) == 5 and set(kept) == {(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (9, texts[4])}
