@@ -94,3 +94,34 @@ def test_marking_with_and_without_broadcast(spark, docs_of):
     for limit in (0, 10):
         rows = lm.mark(docs, ids, "hit", limit).collect()
         assert sorted((str(r.doc_id), r.hit) for r in rows) == [("1", True), ("1", True), ("2", None), ("None", None)]
+
+
+def test_rare_words_keep_their_own_counts(spark, docs_of, monkeypatch):
+    """More distinct words and pairs than any fixed table of slots holds apart,
+    over many blocks and buckets, against dictionaries of the words themselves."""
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 1 << 18)
+    monkeypatch.setattr(lm, "BUCKET_BYTES", 1 << 19)
+    texts = [" ".join(f"w{(i * 7919 + j * j) % 400_000}" for j in range(10_000)) for i in range(60)] + ["w1 w2 w1", None]
+    tokens = [(t or "").split() for t in texts]
+    words, pairs, contexts = Counter(), Counter(), Counter()
+    for t in tokens:
+        words.update(t)
+        pairs.update(zip(t, t[1:]))
+        contexts.update(t[:-1])
+    target = Counter(w for t in tokens[:10] for w in t), Counter(p for t in tokens[:10] for p in zip(t, t[1:])), Counter(w for t in tokens[:10] for w in t[:-1])
+    scale = sum(target[0].values()) / sum(words.values())
+    vocabulary = max(lm.WORDS, len(words))
+    rows = {r.doc_id: r for r in lm.score(docs_of(list(enumerate(texts))), F.col("doc_id") < 10).collect()}
+    assert len(rows) == len(texts) and rows[61].n_tokens == 0 and rows[61].difference is None
+    for i in (0, 9, 10, 59, 60):
+        own = Counter(tokens[i]), Counter(zip(tokens[i], tokens[i][1:])), Counter(tokens[i][:-1])
+        for got, model, by, counted in ((rows[i].target_loss, target, 1.0, i < 10), (rows[i].background_loss, (words, pairs, contexts), scale, True)):
+            left = [lambda k, m=m, o=o: by * (m[k] - counted * o[k]) for m, o in zip(model, own)]
+            size, loss = by * (sum(model[0].values()) - counted * len(tokens[i])), 0.0
+            for j, w in enumerate(tokens[i]):
+                chance = (left[0](w) + 1) / (size + vocabulary)
+                if j:
+                    before = tokens[i][j - 1]
+                    chance = (left[1]((before, w)) + lm.SMOOTHING * chance) / (left[2](before) + lm.SMOOTHING)
+                loss -= math.log(chance)
+            assert got == pytest.approx(loss / len(tokens[i]), rel=1e-9)
