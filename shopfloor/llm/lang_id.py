@@ -16,11 +16,14 @@ from .common import read_table
 
 UNDETERMINED = "und"
 
-#: Bounds of the training sample: bytes of a training text, dictionary bytes
-#: of a language (the sample holds half as much again, as an expectation), and
-#: languages (the most frequent ones).
-TRAIN_TEXT_BYTES = 16 << 10
+#: Characters of a training piece (longer texts are cut into such pieces), and
+#: dictionary bytes of a language. A draw holds DRAW times that, as an
+#: expectation over distinct pieces; languages that it leaves short are drawn again.
+TRAIN_PIECE_CHARS = 16 << 10
 DICTIONARY_BYTES = 110_000
+DRAW = 1.5
+
+#: Dictionaries that a task has open at a time; more languages go block by block.
 LANGUAGES = 200
 
 #: Whole texts are compressed in pieces, so that a long text leans on the
@@ -40,23 +43,35 @@ def letters(text: str | None) -> str:
 
 
 def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> dict[str, bytes]:
-    """Dictionaries by language, most frequent first, from a bounded sample of
-    the labelled rows: those whose text hashes smallest, as far as they fit."""
+    """Dictionaries of every language, most frequent first, from a sample of
+    the labelled rows: distinct pieces of texts chosen by hash, drawn until the
+    dictionary is full or the language is used up. The driver holds
+    DICTIONARY_BYTES a language."""
     lang, text = F.col(f"`{lang_col}`").cast("string"), F.col(f"`{text_col}`")
     rows = docs.select(lang.alias("lang"), text.alias("text")).where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    fits = F.octet_length("text") <= TRAIN_TEXT_BYTES
-    known = rows.groupBy("lang").agg(F.count("*").alias("texts"), F.sum(F.when(fits, F.octet_length("text"))).alias("bytes"))
-    known = known.orderBy(F.desc("texts"), "lang").limit(LANGUAGES).collect()
+    cut = F.regexp_extract_all("text", F.lit(f"(?s)(.{{1,{TRAIN_PIECE_CHARS}}})"), F.lit(1))
+    pieces = rows.select("lang", F.posexplode(F.when(F.octet_length("text") <= TRAIN_PIECE_CHARS, F.array("text")).otherwise(cut)).alias("at", "text"))
+    once = pieces.groupBy("lang", F.xxhash64("text").alias("hash")).agg(
+        F.count_if(F.col("at") == 0).alias("texts"), F.max(F.octet_length("text")).alias("bytes"))
+    known = once.groupBy("lang").agg(F.sum("texts").alias("texts"), F.sum("bytes").alias("bytes")).orderBy(F.desc("texts"), "lang").collect()
+    learned: dict[str, bytes] = {r["lang"]: b"" for r in known}
     # A language's sample is the same share of its hash space on every machine.
-    spot = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
-    share = F.lit(False)
-    for r in known:
-        share = share | ((F.col("lang") == r["lang"]) & (spot < int((1 << 30) * min(1.0, 1.5 * DICTIONARY_BYTES / (r["bytes"] or 1)))))
-    sample = rows.where(fits & share).distinct().orderBy("lang", F.xxhash64("text"), "text")
-    texts: dict[str, list[str]] = {r["lang"]: [] for r in known}
-    for row in sample.toLocalIterator():
-        texts[row["lang"]].append(letters(row["text"]))
-    return {name: " ".join(own).encode()[:DICTIONARY_BYTES] for name, own in texts.items()}
+    space, times, short = 1 << 30, DRAW, known
+    spot = F.pmod(F.xxhash64("text"), F.lit(space))
+    while short:
+        share = {r["lang"]: min(1.0, times * DICTIONARY_BYTES / r["bytes"]) for r in short}
+        limits = docs.sparkSession.createDataFrame([(k, int(space * v)) for k, v in share.items()], "lang string, below long")
+        drawn = pieces.join(F.broadcast(limits), "lang").where(spot < F.col("below")).select("lang", "text").distinct()
+        texts, held = {k: [] for k in share}, dict.fromkeys(share, 0)
+        for row in drawn.orderBy("lang", F.xxhash64("text"), "text").toLocalIterator():
+            if held[row["lang"]] < DICTIONARY_BYTES and (plain := letters(row["text"])):
+                texts[row["lang"]].append(plain)
+                held[row["lang"]] += len(plain.encode()) + 1
+        for name, own in texts.items():
+            learned[name] = " ".join(own).encode()[:DICTIONARY_BYTES]
+        short = [r for r in short if share[r["lang"]] < 1 and len(learned[r["lang"]]) < DICTIONARY_BYTES]
+        times *= 4
+    return learned
 
 
 class Classifier:
@@ -74,18 +89,40 @@ class Classifier:
         pieces = [text[i : i + PIECE_CHARS].encode() for i in range(0, len(text), PIECE_CHARS)]
         return [sum(len(c.compress(p)) for p in pieces) for c in self.compressors]
 
-    def predict(self, text: str | None) -> tuple[str, float, int]:
-        """(language, score, lead in bytes). The score shares out belief by
-        the compressed sizes; ties go to the more frequent language."""
-        plain = letters(text)
-        if not plain or not self.names:
-            return UNDETERMINED, 0.0, 0
+    def rank(self, plain: str) -> tuple[int, int, float, float]:
+        """(fewest bytes, its language's place, next fewest, all languages'
+        weight against the best) of a text of letters."""
         sizes = self.sizes(plain)
         best = min(sizes)
         at = sizes.index(best)
         rest = sizes[:at] + sizes[at + 1 :]
-        score = 1.0 / (1.0 + sum(math.exp((best - s) / 2) for s in rest))
-        return self.names[at], score, (min(rest) if rest else best + MARGIN_BYTES) - best
+        return best, at, min(rest, default=math.inf), 1.0 + sum(math.exp((best - s) / 2) for s in rest)
+
+
+def merge(one: tuple[int, int, float, float], two: tuple[int, int, float, float]) -> tuple[int, int, float, float]:
+    """The rank over both blocks; a tie goes to the first."""
+    won, lost = (two, one) if two[0] < one[0] else (one, two)
+    return won[0], won[1], min(won[2], lost[0]), won[3] + lost[3] * math.exp((won[0] - lost[0]) / 2)
+
+
+def predict(texts: list[str | None], dictionaries: dict[str, bytes], opened: dict[int, Classifier]) -> list[tuple[str, float, int]]:
+    """(language, score, lead in bytes) by text. The score shares out belief by
+    the compressed sizes; ties go to the more frequent language. ``opened``
+    keeps the classifier of the last block of languages."""
+    names = list(dictionaries)
+    plain = [letters(t) for t in texts]
+    ranks: list[tuple[int, int, float, float] | None] = [None] * len(plain)
+    for lo in range(0, len(names), LANGUAGES):
+        if lo not in opened:
+            opened.clear()
+            opened[lo] = Classifier({n: dictionaries[n] for n in names[lo : lo + LANGUAGES]})
+        for i, text in enumerate(plain):
+            if text:
+                best, at, after, weight = opened[lo].rank(text)
+                found = best, lo + at, after, weight
+                ranks[i] = found if ranks[i] is None else merge(ranks[i], found)
+    return [(UNDETERMINED, 0.0, 0) if r is None else
+            (names[r[1]], 1.0 / r[3], MARGIN_BYTES if r[2] == math.inf else int(r[2]) - r[0]) for r in ranks]
 
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -100,9 +137,9 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc
     held = docs.sparkSession.sparkContext.broadcast(dictionaries)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Classifier(held.value)
+        opened: dict[int, Classifier] = {}
         for batch in batches:
-            found = [model.predict(t.as_py()) for t in batch.column(1)]
+            found = predict([t.as_py() for t in batch.column(1)], held.value, opened)
             lead = [f[2] for f in found]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()),

@@ -53,3 +53,27 @@ def test_training_sample_is_bounded_and_stable(spark):
     docs = read_table(spark, SF, "documents")
     one, two = lang_id.train(docs), lang_id.train(docs.repartition(7))
     assert one == two and all(0 < len(v) <= lang_id.DICTIONARY_BYTES for v in one.values())
+
+
+def rows_of(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, lang string, text string")
+
+
+def test_every_language_is_learned_and_ranked_in_blocks(spark, monkeypatch):
+    words = {f"l{k:03d}": " ".join(f"{a}{b}{chr(97 + k % 26)}{chr(97 + k // 26)}" for a in "bcdfg" for b in "aeiou") for k in range(230)}
+    docs = rows_of(spark, [(i, k, t) for i, (k, t) in enumerate(words.items())])
+    model = lang_id.train(docs)
+    assert set(model) == set(words)
+    rows = lang_id.identify(docs, model).collect()
+    assert all(r.lang_pred == f"l{r.doc_id:03d}" for r in rows)
+    monkeypatch.setattr(lang_id, "LANGUAGES", 1000)
+    for r, whole in zip(sorted(rows), sorted(lang_id.identify(docs, model).collect())):
+        assert r.score == pytest.approx(whole.score) and (r.lang_pred, r.lead) == (whole.lang_pred, whole.lead)
+
+
+def test_long_texts_and_copies_fill_the_dictionary(spark):
+    def text(k, n):
+        return " ".join(chr(97 + k % 26) + chr(97 + k // 26) + "".join(chr(97 + (k * 31 + i * i + j * i) % 26) for j in range(7)) for i in range(n))
+    rows = [(1, "long", text(1, 40_000))] + [(i, "many", text(2, 300)) for i in range(2000)] + [(i, "many", text(i, 300)) for i in range(3, 90)]
+    model = lang_id.train(rows_of(spark, rows))
+    assert len(model["long"]) == lang_id.DICTIONARY_BYTES and len(model["many"]) == lang_id.DICTIONARY_BYTES
