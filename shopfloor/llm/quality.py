@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ALNUM, NON_SPACE, byte_table, chunks, mix64, read_table
+from .common import ALNUM, NON_SPACE, byte_table, chunks, mix64, read_table, text_key
 
 #: Hash buckets of the feature space: the weights are this many floats.
 BUCKETS = 1 << 18
@@ -83,6 +83,8 @@ def features(batch: pa.RecordBatch, name: str) -> Iterator[tuple[int, np.ndarray
 class Model:
     weights: np.ndarray
     thresholds: np.ndarray
+    #: False if there was no rated text to learn from; then nothing is rejected.
+    learned: bool = True
 
     def tails(self, scores: np.ndarray) -> np.ndarray:
         """P(grade >= k) for k = 1, 2, ... in columns."""
@@ -149,14 +151,18 @@ def label_grade(quality: Column, toxic: Column) -> Column:
 def train(docs: DataFrame, ratings: DataFrame, n_grades: int = GRADES, rows: int = TRAIN_ROWS) -> Model:
     """Fit on about ``rows`` rated rows: ``ratings`` has doc_id and grade (the
     worst counts, if a document has several; null ids and grades are left out).
-    Without rated texts every grade is as likely as the next."""
+    Of rows that share an id one is fitted on, that with the smallest text key.
+    Without rated texts every grade is as likely as the next, and the model is
+    marked as not learned."""
     spark = docs.sparkSession
     rated = ratings.where("doc_id is not null and grade is not null").groupBy("doc_id").agg(F.min("grade").alias("grade"))
     total = rated.count()
     if total > rows:
         part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
         rated = rated.where(part < int((1 << 20) * rows / total))
-    picked = docs.select("doc_id", "text").join(F.broadcast(rated), "doc_id").select("text", F.col("grade").cast("int").alias("grade"))
+    rows_of = docs.select("doc_id", "text").join(F.broadcast(rated), "doc_id")
+    picked = rows_of.groupBy("doc_id").agg(
+        F.min_by("text", text_key(F.col("text"))).alias("text"), F.first("grade").cast("int").alias("grade")).select("text", "grade")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,7 +172,7 @@ def train(docs: DataFrame, ratings: DataFrame, n_grades: int = GRADES, rows: int
 
     found = picked.mapInArrow(run, "grade int, buckets array<int>").toArrow()
     if not found.num_rows:
-        return Model(np.zeros(BUCKETS, dtype=np.float32), np.log(np.arange(1, n_grades) / (n_grades - np.arange(1, n_grades))))
+        return Model(np.zeros(BUCKETS, dtype=np.float32), np.log(np.arange(1, n_grades) / (n_grades - np.arange(1, n_grades))), learned=False)
     lists = found.column("buckets").combine_chunks()
     lists = lists if isinstance(lists, pa.Array) else pa.concat_arrays(lists.chunks)
     offsets = np.asarray(lists.offsets).astype(np.int64)
@@ -176,7 +182,8 @@ def train(docs: DataFrame, ratings: DataFrame, n_grades: int = GRADES, rows: int
 
 def rate(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """Every column of ``docs`` by position (c0, c1, ...) and expected_grade,
-    tail (probability of the best grade) and keep (tail >= SELECT_AT).
+    tail (probability of the best grade) and keep (tail >= SELECT_AT; every
+    row if the model learned nothing).
 
     Null, empty and blank texts are rated by their shape alone; repeated rows
     are rated each; ids may be null. Only the text is looked at.
@@ -184,7 +191,7 @@ def rate(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     names = [f"c{i}" for i in range(len(docs.columns))]
     rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)])
     text = names[docs.columns.index(text_col)]
-    held = docs.sparkSession.sparkContext.broadcast((model.weights, model.thresholds))
+    held = docs.sparkSession.sparkContext.broadcast((model.weights, model.thresholds, model.learned))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*held.value)
@@ -194,7 +201,7 @@ def rate(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                 scores[lo : lo + len(offsets) - 1] = _sums(own.weights[buckets].astype(np.float64), offsets)
             tails = own.tails(scores)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(tails.sum(axis=1)), pa.array(tails[:, -1]), pa.array(tails[:, -1] >= SELECT_AT)],
+                [*batch.columns, pa.array(tails.sum(axis=1)), pa.array(tails[:, -1]), pa.array((tails[:, -1] >= SELECT_AT) | (not own.learned))],
                 [*names, "expected_grade", "tail", "keep"])
 
     schema = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in names)
@@ -206,7 +213,8 @@ def graded(labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the rows that the classifier rejects."""
+    """``docs`` without the rows that the classifier rejects; all of them if no
+    label meets a document, as then nothing tells a bad text."""
     model = train(docs, graded(labels))
     names = docs.columns
     return rate(docs, model).where("keep").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])

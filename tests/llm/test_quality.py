@@ -74,3 +74,18 @@ def test_without_labels_or_documents(spark, docs_of):
     assert quality.rate(docs_of([]), model).count() == 0
     one_grade = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
     assert quality.keep_good(docs_of([(1, "text")]), one_grade).count() == 1
+
+
+def test_nothing_learned_rejects_nothing(spark, docs_of):
+    docs = docs_of([(1, "text"), (None, None), (2, "toxic words")])
+    for rows in ([], [(99, 0, 0)], [(1, None, None)]):
+        labels = spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+        assert quality.keep_good(docs, labels).count() == 3
+
+
+def test_fits_on_one_row_of_a_repeated_id(spark, docs_of, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda buckets, offsets, grades, n: seen.append(grades.tolist()))
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    quality.train(docs_of([(1, "same")] * 30 + [(1, f"text {i}") for i in range(30)] + [(2, None)]), quality.graded(labels))
+    assert [sorted(x) for x in seen] == [[1, 2]]
