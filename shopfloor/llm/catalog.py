@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, chat, decontam, lang_id, licenses, lm_score, pieces, quality, simhash, substring
+from . import align, ann, chat, decontam, exact_stream, lang_id, licenses, lm_score, pieces, quality, simhash, spelling, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lang_id": lang_id.op1,
@@ -19,14 +19,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": licenses.op8,
     "op9_simhash": simhash.op9,
     "op10_quality": quality.op10,
+    "op11_exact_dedup": exact_stream.op11,
+    "op12_token_alignment": align.op12,
+    "op13_spelling_variants": spelling.op13,
 }
 
 #: The others have no SQL form: zstandard, pieces, approximate search, hashed
-#: models, XXH64 and fitted weights. Their tests compare them with brute force,
+#: models, XXH64, fitted weights and tokenizers. Their tests compare them with brute force,
 #: the library, or held-out rows.
 ORACLE_SQL: dict[str, str] = {
     "op2_decontamination": decontam.OP2_SQL,
     "op3_chat_format": chat.OP3_SQL,
     "op5_substring_dedup": substring.OP5_SQL,
     "op8_licenses": licenses.OP8_SQL,
+    "op11_exact_dedup": exact_stream.OP11_SQL,
+    "op13_spelling_variants": spelling.OP13_SQL,
 }

@@ -1,0 +1,107 @@
+"""Exact duplicates by a stateful stream, against plain grouping."""
+import hashlib
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from shopfloor.llm import exact_stream
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def folded(text):
+    return (text or "").translate(str.maketrans(UPPER, LOWER))
+
+
+def expected(pairs):
+    """(doc_id, keep_id, group_size, text_sha256) of each row, sorted."""
+    groups = defaultdict(list)
+    for i, text in pairs:
+        groups[folded(text)].append(i)
+    best = {t: max((i for i in ids if i is not None), default=None) for t, ids in groups.items()}
+    return sorted(((i, best[folded(t)], len(groups[folded(t)]), hashlib.sha256(folded(t).encode()).hexdigest()) for i, t in pairs), key=str)
+
+
+def land(docs, folder, files=3, mode="overwrite"):
+    path = f"{folder}/documents.parquet"
+    docs.repartition(files).write.mode(mode).parquet(path)
+    return path
+
+
+def check(rows, pairs, exact_digest=True):
+    got = sorted(((r.doc_id, r.keep_id, r.group_size, bytes(r.digest).hex()) for r in rows), key=str)
+    want = expected(pairs)
+    if exact_digest:
+        assert got == want
+    else:
+        assert sorted((g[:3] for g in got), key=str) == sorted((w[:3] for w in want), key=str)
+    groups = defaultdict(int)
+    for i, t in pairs:
+        groups[folded(t)] += 1
+    assert sum(r.kept for r in rows) == len(groups)
+    for r in rows:
+        if r.kept:
+            assert r.doc_id == r.keep_id
+
+
+PAIRS = [(1, "One text"), (2, "one TEXT"), (3, "one text "), (4, None), (5, ""), (6, "Émile"), (7, "émile"), (8, "x" * 300_000),
+         (9, "X" * 300_000), (10, "One text"), (10, "One text"), (None, "one text"), (None, "no id"), (None, "no id"), (12, "K"), (13, "k")]
+
+
+def test_groups_by_content(spark, docs_of, scratch):
+    rows = exact_stream.deduplicate(spark, land(docs_of(PAIRS), scratch)).collect()
+    check(rows, PAIRS)
+    kept = [r for r in rows if r.keep_id == 10 and r.kept]
+    assert len(kept) == 1 and kept[0].doc_id == 10  # of two equal rows one stays
+
+
+def test_digests_that_meet_by_chance(spark, docs_of, scratch):
+    """With two digests for all contents, whole bytes still tell them apart."""
+    weak = lambda text: F.encode((F.length(text) % 2).cast("string"), "UTF-8")
+    rows = exact_stream.deduplicate(spark, land(docs_of(PAIRS), scratch), digest=weak).collect()
+    check(rows, PAIRS, exact_digest=False)
+
+
+def test_state_goes_on_from_run_to_run(spark, docs_of, scratch):
+    checkpoint, landed = f"{scratch}/state", []
+    for part in (PAIRS[:5], PAIRS[5:9], PAIRS[9:]):
+        path = land(docs_of(part), scratch, files=2, mode="append")
+        landed += part
+        rows = exact_stream.deduplicate(spark, path, checkpoint, max_files=1).collect()
+        check(rows, landed)
+    held = {bytes(r.digest).hex(): r.n for r in exact_stream.entries(spark, checkpoint).collect()}
+    assert held == {w[3]: w[2] for w in expected(PAIRS)}
+
+
+def test_nothing_new_and_empty_tables(spark, docs_of, scratch):
+    path, checkpoint = land(docs_of([]), scratch, files=1), f"{scratch}/state"
+    assert exact_stream.deduplicate(spark, path, checkpoint).count() == 0
+    assert exact_stream.deduplicate(spark, path, checkpoint).count() == 0
+
+
+def test_other_columns_are_not_read(spark, docs_of, clashing, scratch):
+    docs = clashing(docs_of(PAIRS)).withColumns({c: F.lit("x") for c in ("digest", "content", "file", "row", "top", "met", "_metadata")})
+    check(exact_stream.deduplicate(spark, land(docs, scratch)).collect(), PAIRS)
+
+
+def test_one_file_as_a_table(spark, docs_of, scratch):
+    path = land(docs_of(PAIRS), scratch, files=1)
+    part = spark.read.parquet(path).inputFiles()[0]
+    check(exact_stream.deduplicate(spark, part.replace("file://", "")).collect(), PAIRS)
+
+
+def test_locator_finds_the_content(spark, docs_of, scratch):
+    path = land(docs_of(PAIRS), scratch)
+    checkpoint = f"{scratch}/state"
+    exact_stream.absorb(spark, path, checkpoint)
+    places = exact_stream.entries(spark, checkpoint).select("digest", "top.file", "top.row")
+    texts = spark.read.parquet(path).select("text", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    found = places.join(texts, ["file", "row"]).collect()
+    assert len(found) == len({folded(t) for _, t in PAIRS})
+    assert all(hashlib.sha256(folded(r.text).encode()).digest() == bytes(r.digest) for r in found)
+
+
+@pytest.mark.parametrize("path,pattern", [("/a/b.parquet", "/a/b.parque[t]"), ("/a/b/", "/a/[b]")])
+def test_pattern_of_one_path(path, pattern):
+    assert exact_stream.exactly(path) == pattern
