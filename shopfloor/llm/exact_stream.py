@@ -31,6 +31,8 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    # No disk set aside beforehand: there may be many small stores.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
