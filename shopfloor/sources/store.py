@@ -17,7 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import COMMENTS, CURRENT_VIEWS
+from . import scd2_table
 from .tables import local_rows
+from .versions import VersionedTable
 
 
 class TableStore:
@@ -47,11 +49,19 @@ class TableStore:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self.path(name)}/batch_id={batch_id}")
 
+    def versioned(self, name: str, log: str | None = None) -> VersionedTable:
+        """A table whose folders a manifest names; its log may have a name of its own."""
+        return VersionedTable(self.spark, self.path(name), {"log": self.path(log)} if log else None)
+
     def read(self, name: str, schema=None) -> DataFrame:
+        if schema is None and self.versioned(name).exists():
+            return scd2_table.history(self.versioned(name))
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         return reader.parquet(self.path(name))
 
     def exists(self, name: str) -> bool:
+        if self.versioned(name).exists():
+            return True
         try:
             self.spark.read.parquet(self.path(name)).schema  # noqa: B018
             return True

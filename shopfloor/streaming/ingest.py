@@ -10,11 +10,9 @@
   a retry, so rows that no longer qualify do not stay behind. Facts already
   written are not rewritten when a dimension changes later; a full refresh
   does that.
-* Daily rollup (T7): streaming COUNT(DISTINCT) is not supported, so each
-  batch recomputes the days it touched from the stored facts and replaces
-  just those partitions of the rollup. The streamed rollup is partitioned by
-  day (``sale_date``), so a batch re-reads one day of facts, not a month: the
-  month folders are pruned and the time ranges are pushed into the scan.
+* Daily rollup (T7): streaming COUNT(DISTINCT) is not supported; each batch
+  adds its sums and customer bitmaps to a stored state and replaces the days it
+  touched in the rollup (``daily_state``).
 
 The watermark (T1) is declared on the sales stream as published; no stateful
 operator follows it, so it drops nothing (late rows are kept).
@@ -22,9 +20,8 @@ operator follows it, so it drops nothing (late rows are kept).
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -36,14 +33,12 @@ from ..plans import gold as gold_plan
 from ..plans import silver as silver_plan
 from ..plans.refresh import FACT_PARTITION
 from ..schemas import BRONZE_TYPES, struct
-from ..sources import landing
+from ..sources import landing, scd2_table
 from ..sources.store import TableStore
-from ..sources.tables import local_rows
+from .daily_state import DailyState
 
 BRONZE_NAMES = {"sales": C.BRONZE_SALES, "customers": C.BRONZE_CUSTOMERS, "products": C.BRONZE_PRODUCTS,
                 "stores": C.BRONZE_STORES}
-# The streamed rollup is stored by day; the full refresh stores it by month.
-STREAM_DAILY_PARTITION = "sale_date"
 DIM_NAMES = {"customers": C.SILVER_CUSTOMERS, "products": C.SILVER_PRODUCTS, "stores": C.SILVER_STORES}
 
 
@@ -77,16 +72,14 @@ def append_table(stream: DataFrame, store: TableStore, name: str, checkpoint: st
 
 
 def current_dimension(store: TableStore, name: str) -> DataFrame:
-    """V1-V3 over a stored SCD2 table (batch or bucketed streaming layout)."""
-    history = store.read(name)
-    if "_bucket" in history.columns:
-        history = history.drop("_bucket")
-    return scd2.current(history)
+    """V1-V3 over a stored SCD2 table: of a streamed one only the open parts are read."""
+    table = store.versioned(name)
+    return scd2_table.open_versions(table) if table.exists() else scd2.current(store.read(name))
 
 
 def process_sales_batch(batch: DataFrame, batch_id: int, store: TableStore) -> None:
     """T3 body: one micro-batch of bronze sales to silver sales/returns and
-    gold facts, idempotent per ``batch_id``; then T7 for the touched months."""
+    gold facts, idempotent per ``batch_id``; then T7 for the touched days."""
     dims = {e: current_dimension(store, n) for e, n in DIM_NAMES.items()}
     clean = silver_plan.sales_cleansed(batch, dims["stores"], dims["customers"],
                                        dims["products"])
@@ -98,41 +91,18 @@ def process_sales_batch(batch: DataFrame, batch_id: int, store: TableStore) -> N
             quality.report(silver_plan.sales_body_k1(clean), "silver_sales", silver_plan.FACT_RULES),
             quality.report(silver_plan.returns_body_k2(clean), "silver_returns", silver_plan.FACT_RULES),
         ])
-        # Days this batch had in the store before (a retry), and has now:
-        # bounded by the calendar, not the data. A line without a time (it did
-        # not parse) belongs to no day.
-        before = _batch_days(store, batch_id)
         sales = silver_plan.silver_sales(clean)
         store.write_batch(sales, C.SILVER_SALES, batch_id)
         store.write_batch(silver_plan.silver_returns(clean), C.SILVER_RETURNS, batch_id)
         facts = gold_plan.denormalized(sales, dims["customers"], dims["products"], dims["stores"])
         month = F.trunc(F.col("event_time").cast("date"), "month").alias(FACT_PARTITION)
         store.write_batch(facts.select("*", month), C.GOLD_FACTS, batch_id, partition_by=[FACT_PARTITION])
-        touched = before | _batch_days(store, batch_id)
-        if touched:
-            refresh_daily_days(store, sorted(touched))
+        held = store.spark.read.schema(facts.schema).parquet(f"{store.path(C.GOLD_FACTS)}/batch_id={batch_id}")
+        DailyState(store).absorb(held, batch_id)
     finally:
         clean.unpersist()
 
 
-FACTS_SCHEMA = struct([
-    ("transaction_id", "int"), ("event_time", "timestamp"), ("customer_id", "int"), ("customer_name", "string"),
-    ("product_id", "int"), ("product_name", "string"), ("product_category", "string"), ("store_id", "int"),
-    ("store_name", "string"), ("quantity", "int"), ("unit_price", "double"), ("total_amount", "double"),
-    ("payment_method", "string"), ("discount_applied", "double"), ("tax_amount", "double"),
-    (FACT_PARTITION, "date"), ("batch_id", "bigint")])
-
-
-def _batch_days(store: TableStore, batch_id: int) -> set[date]:
-    """The days of the facts a batch has stored so far."""
-    path = f"{store.path(C.GOLD_FACTS)}/batch_id={batch_id}"
-    try:
-        held = store.spark.read.schema("event_time timestamp").parquet(path)
-    except AnalysisException:  # its first attempt
-        return set()
-    return {r[0] for r in held.select(F.col("event_time").cast("date")).distinct().collect() if r[0] is not None}
-
-
 def record_quality(store: TableStore, batch_id: int, reports: list[DataFrame]) -> None:
     """E3 counters of one micro-batch into the quality table: one small
     aggregate per dataset; a retried batch replaces its own rows."""
@@ -140,37 +110,6 @@ def record_quality(store: TableStore, batch_id: int, reports: list[DataFrame]) -
     store.write(rows.coalesce(1), C.QUALITY_METRICS, partition_by=["dataset", "batch_id"], dynamic=True)
 
 
-def day_ranges(days: list[date]) -> list[tuple[date, date]]:
-    """Sorted days as contiguous [start, end) ranges."""
-    out: list[list[date]] = []
-    for d in sorted(set(days)):
-        if out and out[-1][1] == d:
-            out[-1][1] = d + timedelta(days=1)
-        else:
-            out.append([d, d + timedelta(days=1)])
-    return [(a, b) for a, b in out]
-
-
-def refresh_daily_days(store: TableStore, days: list[date]) -> None:
-    """Recompute the daily rollup of the given days from all stored facts
-    and replace only those day partitions."""
-    ranges = day_ranges(days)
-    ts = F.col("event_time")
-    in_days = None
-    for lo, hi in ranges:
-        one = (ts >= F.lit(lo.isoformat()).cast("timestamp")) & (ts < F.lit(hi.isoformat()).cast("timestamp"))
-        in_days = one if in_days is None else (in_days | one)
-    months = sorted({d.replace(day=1) for d in days})
-    facts = (store.read(C.GOLD_FACTS, FACTS_SCHEMA)
-             .where(F.col(FACT_PARTITION).isin(months))
-             .where(in_days))
-    daily = gold_plan.daily_by_store(facts.drop(FACT_PARTITION, "batch_id"))
-    # A day that lost its last line keeps an empty marker row out of the rollup.
-    lost = local_rows(store.spark, [(d.isoformat(),) for d in days], [("sale_date", "string")]).select(F.col("sale_date").cast("date"))
-    daily = daily.join(lost, "sale_date", "right").select(daily.columns)
-    store.write(daily, C.GOLD_DAILY_STORE, partition_by=[STREAM_DAILY_PARTITION], dynamic=True)
-
-
 def read_daily(store: TableStore) -> DataFrame:
     """The streamed rollup (T7): a day without any line left holds one row
     without a store, which is not part of it."""

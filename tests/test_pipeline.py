@@ -173,14 +173,6 @@ def test_late_row_is_kept_by_the_watermark(spark, scratch):
     assert sorted(r[0] for r in spark.read.parquet(out).select("transaction_id").collect()) == [1, 2]
 
 
-def test_day_ranges_merge_contiguous_days():
-    from datetime import date
-
-    from shopfloor.streaming.ingest import day_ranges
-    days = [date(2024, 1, 3), date(2024, 1, 1), date(2024, 1, 2), date(2024, 2, 1), date(2024, 1, 2)]
-    assert day_ranges(days) == [(date(2024, 1, 1), date(2024, 1, 4)), (date(2024, 2, 1), date(2024, 2, 2))]
-
-
 @pytest.fixture()
 def dimensions(spark, scratch):
     """A store with one row of each current dimension."""
