@@ -435,6 +435,12 @@ _FAMILY = ("CASE " + " ".join(f"WHEN regexp_matches(lower(name), '{words}') THEN
                               for fam, words in CATEGORY_FAMILIES) + f" ELSE 'default' END")
 _TAX_RATE = "CAST(CASE WHEN unit_price <= 1000 THEN 0.05 ELSE 0.12 END AS DECIMAL(4,2))"
 
+QUERIES["a8_store_customers"] = (f"""SELECT f.store_id, f.store_name, d.summed_daily_customers, count(DISTINCT f.customer_id) AS unique_customers
+  FROM gold_facts f JOIN (SELECT store_id, store_name, CAST(sum(unique_customers) AS BIGINT) AS summed_daily_customers
+                          FROM gold_daily WHERE {DATE_RANGE} GROUP BY store_id, store_name) d
+    ON d.store_id = f.store_id AND d.store_name IS NOT DISTINCT FROM f.store_name
+  WHERE CAST(f.event_time AS DATE) >= TIMESTAMP '{LO}' AND CAST(f.event_time AS DATE) <= TIMESTAMP '{HI}'
+  GROUP BY ALL""", ["gold_facts", "gold_daily"])
 QUERIES.update({
     "j8_orphans": (" UNION ALL ".join(
         f"SELECT b.* EXCLUDE (ingest_timestamp, source_file_path), '{name}' AS missing_dimension FROM bronze_sales b WHERE NOT EXISTS "

@@ -23,7 +23,7 @@ summaries. Cold keys are chunk 0 and take no summary; chunks of hot keys
 count from 1.
 
 The chunk bounds are values of a hash sample of the key's own sequence
-numbers: they depend on the set of rows only, not on how the rows are dealt
+numbers, of their own type (any type that sorts): they depend on the set of rows only, not on how the rows are dealt
 out. They are checkpointed once and every branch reads that one table.
 
 The change log of cold keys is shuffled once, on the key: the de-duplication
@@ -36,9 +36,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import checkpoint_dir
 
@@ -50,15 +49,6 @@ def _quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _seq_number(df: DataFrame, seq: str) -> Column:
-    dtype = df.schema[seq].dataType
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(seq).cast("timestamp"))
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(F.col(seq)).cast("bigint")
-    return F.col(seq).cast("double")
-
-
 def dedupe_sequence(changes: DataFrame, keys: Sequence[str], seq: str, cols: Sequence[str]) -> DataFrame:
     """One row per (key, seq); ties resolved by the smallest row (NULLs first)."""
     picked = F.min(F.struct(*[F.col(c) for c in cols])).alias("_row")
@@ -87,7 +77,7 @@ def chunk_bounds(rows: DataFrame, keys: list[str], seq: str, hot_rows: int) -> D
     per_chunk = max(1, hot_rows // step)
     spot = F.pmod(F.xxhash64(*keys, seq, F.lit("chunk")), F.lit(step))
     sample = (rows.join(hot, keys, "left_semi").where(spot == 0)
-              .select(*keys, _seq_number(rows, seq).alias("_num")).distinct())
+              .select(*keys, F.col(seq).alias("_num")).distinct())
     place = F.row_number().over(Window.partitionBy(*keys).orderBy("_num"))
     cuts = (sample.withColumn("_place", place).where(F.col("_place") % per_chunk == 0)
             .groupBy(*keys).agg(F.sort_array(F.collect_list("_num")).alias("_bounds")))
@@ -101,7 +91,7 @@ def _assign_chunks(rows: DataFrame, keys: list[str], seq: str, bounds: DataFrame
     """Add ``_chunk``: 0 for cold keys, 1 + the bounds at or below the sequence
     number for hot keys. The join is left to the planner: a hot key's rows are
     the skewed side, which adaptive execution splits."""
-    num = _seq_number(rows, seq)
+    num = F.col(seq)
     whole = F.size(F.filter("_coarse", lambda b: b <= num)) * _STRIDE
     rest = F.size(F.filter(F.slice("_bounds", whole + 1, _STRIDE), lambda b: b <= num))
     chunk = F.when(F.col("_bounds").isNull(), F.lit(0)).otherwise(1 + whole + rest)

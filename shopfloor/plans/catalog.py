@@ -17,6 +17,7 @@ from ..config import DEFAULT_PARAMS, SCD2_EXCEPT
 from ..operators import scd2
 from ..sources import fixtures
 from ..sources.tables import ParquetTables
+from ..streaming.daily_state import store_customers
 from ..session import configure
 from . import dashboard as q
 from . import audits
@@ -71,6 +72,12 @@ def _customer_changes_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2.current(_customer_changes_history(spark, sf_dir))
 
 
+def _store_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = _lake(spark, sf_dir)
+    lo, hi = q.date_bounds(lake.params)
+    return store_customers(lake.gold_facts, lo.isoformat(), hi.isoformat())
+
+
 def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lake(spark, sf_dir).quality_report()
 
@@ -100,6 +107,7 @@ QUERIES: dict[str, QueryFn] = {
     "g3_product_performance": _dataset("gold_product"),
     "g4_customer_lifetime_value": _dataset("gold_customer"),
     "e4_quality_report": _quality,
+    "a8_store_customers": _store_customers,
     "q01_total_revenue": _dash(q.q01_total_revenue, "gold_facts"),
     "q02_total_transactions": _dash(q.q02_total_transactions, "gold_facts"),
     "q03_total_customers": _dash(q.q03_total_customers, "gold_facts"),

@@ -7,17 +7,29 @@ decimals and rounded once.
 
 from __future__ import annotations
 
-_MONEY = "CAST({} AS DECIMAL(18,2))"
+_MONEY = "CAST({} AS DECIMAL(28,6))"
 _SALES = "gold_denormalized_sales_facts WHERE event_time BETWEEN :date_range.min AND :date_range.max"
 _DAYS = ("gold_daily_sales_by_store WHERE CAST(sale_date AS TIMESTAMP) BETWEEN :date_range.min AND :date_range.max")
-_REVENUE = f"CAST(sum({_MONEY.format('total_amount')}) AS DOUBLE) AS total_revenue"
-_DAY_REVENUE = f"CAST(sum({_MONEY.format('total_revenue')}) AS DOUBLE)"
+
+
+def _amount(column: str) -> str:
+    """A sum of money, exact to a millionth and rounded once."""
+    return f"CAST(round(sum({_MONEY.format(column)}), 2) AS DOUBLE)"
 
 
 def _ratio(a: str, b: str) -> str:
-    return f"CAST(round({a} / nullif({b}, 0), 2) AS DOUBLE)"
+    """a / b rounded half-up to hundredths in whole numbers: a decimal division
+    would round to the scale that Spark leaves it first."""
+    n, d = f"(CAST({a} AS DECIMAL(34,6)) * 100)", f"CAST(nullif({b}, 0) AS DECIMAL(19,0))"
+    twice = f"CAST((abs(CAST({n} AS DECIMAL(32,4))) * 2 + abs({d})) * 10000 AS DECIMAL(38,0))"
+    hundredths = f"({twice} div CAST(abs({d}) * 20000 AS DECIMAL(38,0)))"
+    return f"CAST(CAST(if(({n} < 0) <> ({d} < 0), -1, 1) * {hundredths} AS DECIMAL(19,0)) * 0.01 AS DOUBLE)"
+
 
+_REVENUE = f"{_amount('total_amount')} AS total_revenue"
+_DAY_REVENUE = _amount("total_revenue")
 
+# Result names below and the order of the segments.
 _KPIS = f"""SELECT store_name, {_DAY_REVENUE} AS total_revenue, sum(total_transactions) AS total_transactions,
   sum(unique_customers) AS total_unique_customers,
   {_ratio(f"sum({_MONEY.format('total_revenue')})", "sum(total_transactions)")} AS avg_transaction_value,
@@ -71,7 +83,7 @@ TEXTS: dict[str, str] = {
         "SELECT rfm_segment, count(*) AS customer_count FROM gold_customer_lifetime_value GROUP BY rfm_segment "
         f"ORDER BY {_SEGMENT}",
     "q17_rfm_performance":
-        f"SELECT rfm_segment, count(*) AS customer_count, CAST(sum({_MONEY.format('total_spend')}) AS DOUBLE) AS total_revenue, "
+        f"SELECT rfm_segment, count(*) AS customer_count, {_amount('total_spend')} AS total_revenue, "
         f"{_ratio(f'sum({_MONEY.format('total_spend')})', 'count(*)')} AS avg_spend, "
         f"{_ratio('CAST(sum(total_orders) AS DECIMAL(20,0))', 'count(*)')} AS avg_orders, "
         f"{_ratio(f'sum({_MONEY.format('avg_order_value')})', 'count(*)')} AS avg_order_value, "

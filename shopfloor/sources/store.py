@@ -106,13 +106,22 @@ class RunStore:
     def run(self, run_id: str) -> TableStore:
         return TableStore(self.spark, f"{self.root}/runs/{run_id}")
 
+    def _published(self) -> DataFrame:
+        return self.spark.read.schema("run_id string, number bigint").parquet(f"{self.root}/{self.POINTER}")
+
     def publish(self, run_id: str) -> None:
-        local_rows(self.spark, [(run_id,)], [("run_id", "string")]).coalesce(1).write.mode(
+        """Runs are numbered as they are published: one that started early and
+        finished last is the current one."""
+        try:
+            last = self._published().agg(F.max("number")).first()[0]
+        except AnalysisException:  # the first run
+            last = None
+        local_rows(self.spark, [(run_id, (last or 0) + 1)], [("run_id", "string"), ("number", "bigint")]).coalesce(1).write.mode(
             "append").parquet(f"{self.root}/{self.POINTER}")
 
     def current(self) -> TableStore:
-        """The newest published run: run ids start with their UTC time."""
-        newest = self.spark.read.schema("run_id string").parquet(f"{self.root}/{self.POINTER}").agg(F.max("run_id")).first()[0]
+        """The run published last."""
+        newest = self._published().agg(F.max_by("run_id", F.struct(F.coalesce("number", F.lit(0)), "run_id"))).first()[0]
         if newest is None:
             raise LookupError(f"no run is published under {self.root}")
         return self.run(newest)

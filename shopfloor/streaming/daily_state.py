@@ -67,6 +67,16 @@ def customers_over(state: DataFrame, lo, hi) -> DataFrame:
             .groupBy(*GROUP).agg(F.sum(F.bitmap_count("customers")).alias("unique_customers")))
 
 
+def store_customers(facts: DataFrame, lo, hi) -> DataFrame:
+    """Per store, the customers of a date range counted once each next to the
+    published figure, the sum of the days' counts (Q12), which counts a customer
+    again on every day. Both come from one pass of the facts into state."""
+    day = F.col("event_time").cast("date")
+    state = partial(facts.where(day.between(F.lit(lo).cast("date"), F.lit(hi).cast("date"))))
+    days = state.groupBy(DAY, *GROUP).agg(F.sum(F.bitmap_count("customers")).alias("n")).groupBy(*GROUP).agg(F.sum("n").alias("summed_daily_customers"))
+    return days.join(customers_over(state, lo, hi), GROUP).select(*GROUP, "summed_daily_customers", "unique_customers")
+
+
 class DailyState:
     def __init__(self, store: TableStore, table: VersionedTable | None = None):
         self.store = store

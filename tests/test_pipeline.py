@@ -226,3 +226,23 @@ def test_publish_adds_a_pointer_and_the_newest_wins(spark, scratch):
     runs.publish("20240101T000000-aaa")
     runs.publish("20240102T000000-bbb")
     assert runs.current().root.endswith("20240102T000000-bbb")
+
+
+def test_a_run_that_finishes_last_is_current(spark, scratch):
+    runs = RunStore(spark, f"{scratch}/runs")
+    runs.publish("20240102T000000-bbb")
+    runs.publish("20240101T000000-aaa")
+    assert runs.current().root.endswith("20240101T000000-aaa")
+
+
+def test_amounts_below_a_cent_are_rounded_once_in_sql_text_too(spark):
+    """100 x 0.125 is 12.5 on both paths, and ratios are rounded half-up."""
+    from shopfloor.config import DEFAULT_PARAMS
+    when = DEFAULT_PARAMS.date_min.isoformat(sep=" ")
+    facts = spark.range(100).selectExpr("id AS transaction_id", f"TIMESTAMP '{when}' AS event_time", "0.125D AS total_amount", "'p' AS product_name",
+                                        "IF(id < 97, 'a', 'b') AS product_category", "1 AS product_id", "IF(id < 97, 1, -7) AS quantity", "'Cash' AS payment_method")
+    facts.createOrReplaceTempView("gold_denormalized_sales_facts")
+    for name in ("q01_total_revenue", "q04_avg_order_value", "q07_top_products", "q08_revenue_by_category", "q09_revenue_by_payment", "q10_category_performance"):
+        got, want = D.run_sql(spark, TEXTS[name], DEFAULT_PARAMS), getattr(D, name)(facts, DEFAULT_PARAMS)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), name
+    assert D.run_sql(spark, TEXTS["q01_total_revenue"], DEFAULT_PARAMS).first()[0] == 12.5

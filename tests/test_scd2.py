@@ -182,3 +182,12 @@ def test_replays_of_one_sequence_are_one_row(spark):
     out = scd2(rows, ["customer_id"], "last_update_time", ["name"], hot_rows=100)
     cold = scd2(rows, ["customer_id"], "last_update_time", ["name"])
     assert sorted(map(str, out.collect())) == sorted(map(str, cold.collect()))
+
+
+@pytest.mark.parametrize("seq", ["concat('2024-', lpad(id % 97, 3, '0'))", "CAST(9007199254740993 + id % 97 AS BIGINT)",
+                                 "CAST(id % 97 AS DECIMAL(38,18)) / 1000000000000000000", "date_add(DATE '2024-01-01', CAST(id % 97 AS INT))"])
+def test_sequences_of_any_type_with_hot_keys(spark, seq):
+    """Bounds are of the sequence's own type: no cast fails and none loses digits."""
+    rows = spark.range(600).selectExpr("CAST(id % 2 AS INT) AS k", "concat('n', id % 97 % 5) AS name", f"{seq} AS seq")
+    cold, hot = scd2(rows, ["k"], "seq", ["name"]), scd2(rows, ["k"], "seq", ["name"], hot_rows=20)
+    assert cold.count() == hot.count() > 50 and cold.exceptAll(hot.select(*cold.columns)).count() == 0
