@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -34,7 +35,9 @@ LEVEL = 6
 #: Saved bytes by which the best language must lead for the text to be accepted.
 MARGIN_BYTES = 4
 
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+#: Word characters that are neither letters nor decimal digits: superscripts, fractions, Roman numerals and other number signs.
+_NUMBER_SIGNS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_NOT_LETTERS = re.compile(rf"[\W\d_{_NUMBER_SIGNS}]+")
 
 
 def letters(text: str | None) -> str:

@@ -77,3 +77,7 @@ def test_long_texts_and_copies_fill_the_dictionary(spark):
     rows = [(1, "long", text(1, 40_000))] + [(i, "many", text(2, 300)) for i in range(2000)] + [(i, "many", text(i, 300)) for i in range(3, 90)]
     model = lang_id.train(rows_of(spark, rows))
     assert len(model["long"]) == lang_id.DICTIONARY_BYTES and len(model["many"]) == lang_id.DICTIONARY_BYTES
+
+
+def test_number_signs_are_no_letters():
+    assert [lang_id.letters(t) for t in ("\u00b2", "\u00bd 5", "\u2167", "x\u00b2y", "\u00aa\u00e9")] == ["", "", "", "x y", "\u00aa\u00e9"]
