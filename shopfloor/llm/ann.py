@@ -171,22 +171,33 @@ def search(vectors: DataFrame, is_query, k: int = NEIGHBOURS, id_col: str = "vec
     function of the id column) holds, the k rows of largest inner product that
     were found, ties to the smaller id; the row itself is left out.
 
-    Rows that can't take part are dropped (see :func:`usable`), and so are rows
-    whose vector is not as long as the longest. Of rows with one id the first
-    by vector counts. Every usable row is indexed. If a query finds fewer than
-    k rows within the radius, its block is searched again with twice the
-    radius, until all rows are in reach.
+    Rows that can't take part are dropped (see :func:`usable`). An inner
+    product needs vectors of one length: rows are searched among those of their
+    length, each length by itself. Of rows with one id and length the first by
+    vector counts. Every usable row is indexed. If a query finds fewer than k
+    rows within the radius, its block is searched again with twice the radius,
+    until all rows are in reach. Other columns are not read.
     """
     spark = vectors.sparkSession
-    rows = usable(vectors, id_col, vector_col).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    width = F.size("vector")
+    rows = usable(vectors, id_col, vector_col).groupBy("vec_id", width.alias("width")).agg(F.min("vector").alias("vector"))
     rows = materialize(rows, "vectors")
+    asked = rows.where(is_query(F.col("vec_id"))).select("width").distinct()
+    found = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for length in sorted(r["width"] for r in asked.collect()):
+        found = found.unionAll(_search_length(rows.where(F.col("width") == length).select("vec_id", "vector"), is_query, k))
+    return found
+
+
+def _search_length(rows: DataFrame, is_query, k: int) -> DataFrame:
+    """The search among vectors of one length."""
+    spark = rows.sparkSession
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
     facts = rows.agg(F.max(F.size("vector")).alias("width"), F.max(norm).alias("norm"), F.count("*").alias("n")).first()
     schema = "query_id long, rank int, vec_id long, score double"
     if not facts["n"]:
         return spark.createDataFrame([], schema)
     width, longest, n = facts["width"], facts["norm"], facts["n"]
-    rows = rows.where(F.size("vector") == width)
     queries = rows.where(is_query(F.col("vec_id")))
 
     def share(of: DataFrame, total: int, want: int) -> DataFrame:

@@ -96,3 +96,13 @@ def test_blocks_and_shards(spark, monkeypatch):
     monkeypatch.setattr(ann, "QUERY_ROWS", 16)
     monkeypatch.setattr(ann, "INDEX_ROWS", 300)
     assert run(spark, rows) == whole
+
+
+def test_each_length_is_searched_by_itself(spark):
+    """One vector with a component too many takes nothing from the others."""
+    x = clusters(200, 8, 4)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    got = run(spark, rows + [(1000, [1.0] * 9, 0), (1001, [2.0] * 9, 0)])
+    want = run(spark, rows)
+    assert {q: f for q, f in got.items() if q != 1000} == want
+    assert got[1000] == [(1001, 18.0)]
