@@ -137,14 +137,16 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: the smallest doc_id
-    (null last), of rows with that id the smallest text key, of equal rows one."""
+    (null last), of rows with that id the smallest text key, of equal rows one.
+    Extra columns may have any name."""
     best = _grouped(docs, shingle, max_bits).groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("text_key"))).alias("pick"))
-    chosen = best.select(F.col("pick.doc_id").alias("__keep_id"), F.col("pick.text_key").alias("__keep_key"))
-    names = docs.columns
-    keyed = docs.select(*[F.col(f"`{c}`") for c in names], text_key(F.col("text")).alias("__key"))
-    kept = keyed.join(chosen, keyed["doc_id"].eqNullSafe(chosen["__keep_id"]) & (keyed["__key"] == chosen["__keep_key"]))
-    return kept.dropDuplicates(["__keep_id", "__keep_key"]).select(*[F.col(f"`{c}`") for c in names])
+    # Names by place: no column of the documents can clash.
+    rows, names = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]), docs.columns
+    doc_id, text = (F.col(f"c{names.index(c)}") for c in ("doc_id", "text"))
+    chosen = best.select(F.col("pick.doc_id").alias("keep_id"), F.col("pick.text_key").alias("keep_key"))
+    kept = rows.join(chosen, doc_id.eqNullSafe(F.col("keep_id")) & (text_key(text) == F.col("keep_key")))
+    return kept.dropDuplicates(["keep_id", "keep_key"]).select([f"c{i}" for i in range(len(names))]).toDF(*names)
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:

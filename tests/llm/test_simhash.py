@@ -106,3 +106,12 @@ def test_keep_one_keeps_unrelated_texts_of_null_and_shared_ids(docs_of, prose):
     docs = docs_of([(None, texts[0]), (None, texts[1]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (8, texts[3]), (9, texts[4])])
     kept = [(r.doc_id, r.text) for r in simhash.keep_one(docs).collect()]
     assert len(kept) == 5 and set(kept) == {(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (9, texts[4])}
+
+
+def test_keep_one_with_columns_of_any_name(spark, docs_of):
+    from pyspark.sql import functions as F
+
+    docs = docs_of([(1, "one two three four"), (2, "one two three four"), (3, "other words in here")])
+    docs = docs.withColumns({c: F.lit("x") for c in ("__key", "__keep_id", "keep_id", "keep_key", "c0", "root", "pick")})
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3]
