@@ -175,7 +175,8 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW_WORDS, id_col: str =
     found = index.where("alike").select("anchor", "whole", F.lit(-1).cast("long").alias("bits")).unionAll(
         parted.select("anchor", "whole", "bits"))
     hits = factors.select("k1", "k2", "start", "count", "anchor", "whole").join(found, ["anchor", "whole"])
-    return hits.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "count", "bits")).alias("blocks"))
+    # Rows equal in id and text give the same blocks: a set holds each once, however many rows there are.
+    return hits.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "count", "bits")).alias("blocks"))
 
 
 def _cover(n: int, blocks: list[dict], window: int) -> np.ndarray:
