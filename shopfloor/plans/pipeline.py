@@ -22,8 +22,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT_PARAMS, Params
-from ..operators import joins, quality
+from ..config import DEFAULT_PARAMS, KEYS, Params
+from ..operators import quality
 from ..session import configure
 from ..sources import fixtures
 from ..sources.tables import ParquetTables
@@ -108,10 +108,18 @@ class Lakehouse:
     def stores_current(self) -> DataFrame:
         return silver_plan.dimension_current(self.silver_stores)
 
+    @cached_property
+    def present_keys(self) -> dict[str, DataFrame]:
+        """Key column -> the keys that the referential checks J1-J3 find (a
+        null key of a change is left to rule E1, a null key of a sale finds none)."""
+        cleansed = {"stores": self.stores_cleansed, "customers": self.customers_cleansed,
+                    "products": self.products_cleansed}
+        return {KEYS[name]: silver_plan.dimension_keys(body, name) for name, body in cleansed.items()}
+
     @cached_property
     def sales_cleansed(self) -> DataFrame:
-        return silver_plan.sales_cleansed(self.bronze_sales, self.stores_current,
-                                          self.customers_current, self.products_current)
+        keys = self.present_keys
+        return silver_plan.sales_cleansed(self.bronze_sales, keys["store_id"], keys["customer_id"], keys["product_id"])
 
     @cached_property
     def silver_sales(self) -> DataFrame:
@@ -164,13 +172,9 @@ class Lakehouse:
         body rewrites ``manager``, so it is counted on its own."""
         flagged = self.feeds["sales"]().select(*bronze_plan.typed("sales"))
         kept = F.lit(True)
-        for name, dim, key in (("stores", self.stores_current, "store_id"),
-                               ("customers", self.customers_current, "customer_id"),
-                               ("products", self.products_current, "product_id")):
-            present = joins.key_set(dim, [key], distinct=False).select(
-                key, F.lit(True).alias(f"_has_{name}"))
-            flagged = flagged.join(present, key, "left")
-            kept = kept & F.col(f"_has_{name}").isNotNull()
+        for key, present in self.present_keys.items():
+            flagged = flagged.join(present.withColumn(f"_has_{key}", F.lit(True)), key, "left")
+            kept = kept & F.col(f"_has_{key}").isNotNull()
         quantity = F.col("quantity")
         parts = [quality.report_many(flagged, [
             ("bronze_sales", bronze_plan.rules("sales"), None),

@@ -106,6 +106,12 @@ def dimension_current(history: DataFrame) -> DataFrame:
     return scd2.current(history)
 
 
+def dimension_keys(cleansed_dim: DataFrame, entity: str) -> DataFrame:
+    """The keys that have a current version: change flows hold no deletes, so
+    those of every change with a sequence. No version is built to know them."""
+    return cleansed_dim.where(F.col(SEQUENCE_COL).isNotNull()).select(KEYS[entity]).distinct()
+
+
 # --- fact split -----------------------------------------------------------------
 def sales_body_k1(sales_clean: DataFrame) -> DataFrame:
     # Quantity 0 or NULL lands in neither table.

@@ -52,6 +52,11 @@ def test_quality_report_scans_the_facts_once(spark):
     assert scans["lineitem"] == 1 and scans["orders"] == 1
 
 
+@pytest.mark.parametrize("name", ["j8_orphans", "c4_sales_cleansed", "e4_quality_report"])
+def test_referential_checks_build_no_versions(spark, name):
+    assert "Window" not in _plan(QUERIES[name](spark, SF_SMALL))
+
+
 def test_scd2_shuffles_the_change_log_once(spark):
     feed = fixtures.customer_changes(ParquetTables(spark, SF_SMALL))
     plan = _plan(scd2(feed, ["customer_id"], "last_update_time", ["name", "email"], ["last_update_time"]))
