@@ -44,3 +44,16 @@ def history(table: VersionedTable) -> DataFrame:
     runs = [folder for folder, _ in held.runs.get("closed", [])]
     parts = [_open_rows(table, held), *([closed_rows(table, held, runs)] if runs else [])]
     return reduce(DataFrame.unionByName, parts).drop(BUILD, LAST)
+
+
+def history_sql(table: VersionedTable) -> str:
+    """H1-H3 as SQL text over the folders that the manifest names now, for views
+    that outlive a session's DataFrames."""
+    held = table.manifest()
+    cols = ", ".join(f"`{n}`" for n in _schema(held).fieldNames() if n not in (BUILD, LAST))
+    keys = " AND ".join(f"c.`{k}` = o.`{k}`" for k in [*held.info["keys"], BUILD])
+    every_open = " UNION ALL ".join(f"SELECT {cols}, `{BUILD}` FROM parquet.`{table.location(f)}`" for f in sorted(held.parts.values()))
+    parts = [f"SELECT {cols} FROM open"]
+    for folder, _ in held.runs.get("closed", []):
+        parts.append(f"SELECT {cols} FROM parquet.`{table.location(folder)}` c WHERE EXISTS (SELECT 1 FROM open o WHERE {keys})")
+    return f"WITH open AS ({every_open}) {' UNION ALL '.join(parts)}"

@@ -22,6 +22,10 @@ from .tables import local_rows
 from .versions import VersionedTable
 
 
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -89,6 +93,37 @@ class TableStore:
         noted = [F.col(f"`{f.name}`").alias(f.name, metadata={**f.metadata, "dataset_comment": comment}) for f in df.schema.fields]
         df.select(*noted).createOrReplaceTempView(view)
 
+    def create_tables(self, database: str | None = None, names: Sequence[str] | None = None) -> list[str]:
+        """Tables of the session catalog over the stored folders, one
+        database for each layer or all in ``database``, with COMMENT ON TABLE;
+        views of a dimension's open versions next to it. Tables are external:
+        dropping one leaves its files. A dimension that a stream keeps becomes a
+        view of the folders its manifest names now; call again after a batch.
+        Returns the qualified names."""
+        made = []
+        for name in names if names is not None else [n for n in COMMENTS if self.exists(n)]:
+            layer, table = name.split(".")
+            layer = database or layer
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}` LOCATION '{self.root}/_databases/{layer}'")
+            qualified = f"`{layer}`.`{table}`"
+            versioned = self.versioned(name)
+            if versioned.exists():
+                text = scd2_table.history_sql(versioned)
+                self.spark.sql(f"CREATE OR REPLACE VIEW {qualified} COMMENT {_literal(COMMENTS.get(name, ''))} AS {text}")
+            else:
+                self.spark.sql(f"DROP TABLE IF EXISTS {qualified}")
+                self.spark.catalog.createTable(f"{layer}.{table}", path=self.path(name), source="parquet")
+                if any(c.isPartition for c in self.spark.catalog.listColumns(f"{layer}.{table}")):
+                    self.spark.catalog.recoverPartitions(f"{layer}.{table}")  # the catalog lists a table's partitions itself
+                self.spark.sql(f"COMMENT ON TABLE {qualified} IS {_literal(COMMENTS.get(name, ''))}")
+            made.append(f"{layer}.{table}")
+            if name in CURRENT_VIEWS:
+                view = f"`{layer}`.`{CURRENT_VIEWS[name]}`"
+                self.spark.sql(f"CREATE OR REPLACE VIEW {view} COMMENT {_literal(f'Open versions of {name}')} AS "
+                               f"SELECT * FROM {qualified} WHERE __END_AT IS NULL")
+                made.append(f"{layer}.{CURRENT_VIEWS[name]}")
+        return made
+
     def comment(self, view: str) -> str:
         """The comment attached to a registered view."""
         return self.spark.table(view).schema.fields[0].metadata.get("dataset_comment", "")

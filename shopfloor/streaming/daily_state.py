@@ -82,13 +82,17 @@ class DailyState:
         self.store = store
         self.table = table or store.versioned(STATE)
 
-    def absorb(self, facts: DataFrame, batch_id: int) -> None:
-        """One micro-batch's facts, in place of what an earlier attempt left."""
+    def absorb(self, facts: DataFrame, batch_id: int, release: int | None = None) -> None:
+        """One micro-batch's facts, in place of what an earlier attempt left; or
+        those of a ``release`` of held rows after that batch."""
         held = self.table.manifest()
-        if batch_id <= held.info.get("merged", -1):
+        if release is None and batch_id <= held.info.get("merged", -1):
             raise ValueError(f"batch {batch_id} is part of merged state; only a full refresh can replay it")
-        mine = [f for f, _ in held.runs.get("state", []) if f.startswith(f"state-{batch_id}-")]
-        folder = self.table.new_folder(f"state-{batch_id}")
+        # The rest of a folder's name is hexadecimal, so no batch's own begins with r.
+        own = f"state-{batch_id}" if release is None else f"state-{batch_id}-r{release}"
+        mine = [f for f, _ in held.runs.get("state", [])
+                if f.startswith(f"{own}-") and (release is not None or not f.startswith(f"{own}-r"))]
+        folder = self.table.new_folder(own)
         self.table.write(partial(facts).hint("rebalance", DAY), folder, [DAY])
         days = {d for f in [*mine, folder] for d in self._days(f)} | set(held.info.get("pending", []))
         runs = [r for r in held.runs.get("state", []) if r[0] not in mine]

@@ -2,7 +2,8 @@
 
 Order per run: the four bronze streams, then the three dimension streams
 (so the snapshot of this run is complete), then the sales stream (facts,
-returns, gold facts, daily rollup). Each stream processes what landed since
+returns, gold facts, daily rollup), then sales that waited for a dimension row
+that came now, if no sales batch took them up. Each stream processes what landed since
 its checkpoint and stops; run it hourly for the published schedule.
 """
 
@@ -13,7 +14,7 @@ from datetime import datetime, timezone
 from pyspark.sql import SparkSession
 
 from ..sources.store import TableStore
-from .ingest import BRONZE_NAMES, append_table, bronze_stream, sales_stream
+from .ingest import BRONZE_NAMES, append_table, bronze_stream, release_waiting, sales_stream
 from .scd2_stream import dimension_stream
 
 
@@ -35,6 +36,7 @@ def run_available_now(spark: SparkSession, landing_root: str, store: TableStore,
         q.awaitTermination()
     sales_stream(spark, store, f"{checkpoint_root}/sales", max_files_per_trigger=max_files_per_trigger
                  ).awaitTermination()
+    release_waiting(store)
 
 
 __all__ = ["run_available_now"]
