@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,19 +27,9 @@ from pyspark.sql import functions as F
 
 from .common import ALNUM, LOWER, Chunk, chunks, materialize, mix64, read_table, spans_of, text_column
 
-#: The least vocabulary that word estimates are smoothed over; a corpus of more
-#: distinct words is smoothed over those. Also the word slots of :func:`count`.
-WORDS = 1 << 18
-
-#: Pair slots of :func:`count`.
-PAIRS = 1 << 20
-
 #: Weight of the word model in a pair's estimate, in tokens.
 SMOOTHING = 20.0
 
-#: Counts of a task are handed on when they hold so many pairs of slots.
-ROWS = 1 << 16
-
 #: Text and rows of a block (a longer text is a block of its own), and the text
 #: whose keys one bucket adds up.
 BLOCK_BYTES = 4 << 20
@@ -62,52 +53,6 @@ def _ids(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (hashes & ~_KIND) | _WORD, pair & ~_KIND, inner
 
 
-def _slots(keys: np.ndarray, size: int) -> np.ndarray:
-    return (keys >> np.uint64(2) & np.uint64(size - 1)).astype(np.int64)
-
-
-def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of one task: (slot, target, total); words come after the pairs,
-    and the contexts of pairs after the words."""
-    total = np.zeros(PAIRS + 2 * WORDS, dtype=np.int64)
-    target = np.zeros(PAIRS + 2 * WORDS, dtype=np.int64)
-    for batch in batches:
-        wanted = np.asarray(batch.column(1).fill_null(False).to_numpy(zero_copy_only=False), dtype=bool)
-        for chunk in chunks(batch, "text", ALNUM, lower=True):
-            word, pair, inner = _ids(chunk)
-            word, pair = _slots(word, WORDS), _slots(pair, PAIRS)
-            mine = wanted[chunk.lo : chunk.lo + len(chunk)][chunk.text_of_word()] if len(word) else np.zeros(0, dtype=bool)
-            slots = [pair, PAIRS + word]
-            told = [mine, mine]
-            follows = np.flatnonzero(inner)
-            if len(follows):
-                slots.append(PAIRS + WORDS + word[follows - 1])
-                told.append(mine[follows])
-            slots, told = np.concatenate(slots), np.concatenate(told)
-            total += np.bincount(slots, minlength=len(total))
-            target += np.bincount(slots[told], minlength=len(target))
-    held = np.flatnonzero(total)
-    for lo in range(0, len(held), ROWS):
-        part = held[lo : lo + ROWS]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(part, pa.int32()), pa.array(target[part]), pa.array(total[part])], ["slot", "target", "total"])
-
-
-def count(docs: DataFrame, is_target: Column, text_col: str = "text") -> tuple[np.ndarray, np.ndarray]:
-    """(target, total) counts over all of ``docs``, folded into slots;
-    ``is_target`` marks the rows of the target corpus (null: not), the
-    background is every row. A summary of bounded size for checks of the
-    totals: slots are shared, so :func:`score` does not use it."""
-    rows = docs.select(F.col(f"`{text_col}`").alias("text"), is_target.alias("target"))
-    sums = rows.mapInArrow(_count_rows, "slot int, target long, total long").groupBy("slot").agg(
-        F.sum("target").alias("target"), F.sum("total").alias("total"))
-    table = materialize(sums, "counts").toArrow()
-    slot = table.column("slot").to_numpy()
-    out = np.zeros((2, PAIRS + 2 * WORDS), dtype=np.int64)
-    out[0, slot], out[1, slot] = table.column("target").to_numpy(), table.column("total").to_numpy()
-    return out[0], out[1]
-
-
 def _pack(to: zstandard.ZstdCompressor, *columns: np.ndarray) -> bytes:
     """Columns of one length, byte plane by byte plane."""
     return to.compress(b"".join(np.ascontiguousarray(c.view(np.uint8).reshape(len(c), -1).T).tobytes() for c in columns))
@@ -209,24 +154,28 @@ def _list(column: pa.ListArray, row: int) -> np.ndarray:
     return column[row].values.to_numpy(zero_copy_only=False)
 
 
+def _wanted(own: np.ndarray, marks: pa.Table) -> np.ndarray:
+    """A block's target texts: its own flags and the places that marks add."""
+    wanted = own.astype(bool)
+    for places in marks.column("places"):
+        wanted[places.values.to_numpy(zero_copy_only=False)] = True
+    return wanted
+
+
 def _asker(buckets: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(left: pa.Table, marks: pa.Table) -> pa.Table:
         """Per block and bucket: the block's keys, as differences, and counts."""
         to = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            for row in range(batch.num_rows):
-                block = Block(batch.column(3)[row].as_py(), _list(batch.column(2), row))
-                if not len(block.keys):
-                    continue
-                target, total = (c.astype(np.uint32) for c in block.counts(_list(batch.column(1), row).astype(bool)))
-                # By the upper half, so that a bucket is a range of keys.
-                bucket = ((block.keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-                starts = np.flatnonzero(np.diff(bucket, prepend=-1))
-                ends = np.append(starts[1:], len(bucket))
-                asks = [_pack(to, np.diff(block.keys[lo:hi], prepend=np.uint64(0)), target[lo:hi], total[lo:hi]) for lo, hi in zip(starts, ends)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(asks), batch.column(0)[row].as_py())), pa.array(bucket[starts], pa.int32()), pa.array(asks, pa.binary())],
-                    ["block", "bucket", "asks"])
+        held = left.combine_chunks().to_batches()[0]
+        block = Block(held.column(3)[0].as_py(), _list(held.column(2), 0))
+        target, total = (c.astype(np.uint32) for c in block.counts(_wanted(_list(held.column(1), 0), marks)))
+        # By the upper half, so that a bucket is a range of keys.
+        bucket = ((block.keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+        ends = np.append(starts[1:], len(bucket))
+        asks = [_pack(to, np.diff(block.keys[lo:hi], prepend=np.uint64(0)), target[lo:hi], total[lo:hi]) for lo, hi in zip(starts, ends)]
+        return pa.table([pa.array(np.full(len(asks), held.column(0)[0].as_py(), dtype=np.int64)), pa.array(bucket[starts], pa.int32()),
+                         pa.array(asks, pa.binary())], names=["block", "bucket", "asks"])
     return run
 
 
@@ -248,10 +197,20 @@ def _answer(table: pa.Table) -> pa.Table:
                      "words": told[0], "tokens": told[1], "wanted": told[2]})
 
 
-def score(docs: DataFrame, is_target: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def places_of(blocks: DataFrame, ids: DataFrame) -> DataFrame:
+    """(block, places): the texts whose id is one of ``ids`` (null ids match
+    nothing). Only ids are joined, no text: a row per text, then per block."""
+    listed = blocks.select("block", F.posexplode("ids").alias("place", "doc_id"))
+    wanted = ids.select(F.col(ids.columns[0]).alias("doc_id")).where("doc_id is not null").distinct()
+    return listed.join(wanted, "doc_id").groupBy("block").agg(F.collect_list("place").alias("places"))
+
+
+def score(docs: DataFrame, is_target: Column, id_col: str = "doc_id", text_col: str = "text",
+          target_ids: DataFrame | None = None) -> DataFrame:
     """(doc_id, n_tokens, target_loss, background_loss, difference) per row of
     ``docs`` under models counted on ``docs``; ``is_target`` marks the rows of
-    the target corpus (null: not), the background is every row. A text's own
+    the target corpus (null: not), and so do their ids if they are in the only
+    column of ``target_ids``; the background is every row. A text's own
     counts are left out where it is scored, as it would otherwise vouch for
     itself.
 
@@ -264,18 +223,23 @@ def score(docs: DataFrame, is_target: Column, id_col: str = "doc_id", text_col:
     blocks = materialize(rows.mapInArrow(
         _blocks, f"block long, ids array<{id_type}>, wanted array<boolean>, lengths array<long>, text binary, bytes long"), "blocks")
     buckets = max(1, -(-(blocks.agg(F.sum("bytes")).first()[0] or 0) // BUCKET_BYTES))
-    asks = blocks.select("block", "wanted", "lengths", "text").mapInArrow(_asker(buckets), "block long, bucket int, asks binary")
+    none = docs.sparkSession.createDataFrame([], "block long, places array<int>")
+    marks = none if target_ids is None else materialize(places_of(blocks, target_ids), "marks")
+    asks = blocks.select("block", "wanted", "lengths", "text").groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(
+        _asker(buckets), "block long, bucket int, asks binary")
     answers = materialize(asks.groupBy("bucket").applyInArrow(
         _answer, "block long, bucket int, counts binary, words long, tokens long, wanted long"), "answers")
     words, tokens, wanted = (int(x or 0) for x in answers.agg(F.sum("words"), F.sum("tokens"), F.sum("wanted")).first())
     # The background has the target's number of tokens.
-    vocabulary, scale = max(WORDS, words), wanted / tokens if wanted else 1.0
+    vocabulary, scale = max(1, words), wanted / tokens if wanted else 1.0
     names = ["doc_id", "n_tokens", "target_loss", "background_loss", "difference"]
 
     def judge(left: pa.Table, right: pa.Table) -> pa.Table:
         held = left.combine_chunks().to_batches()[0]
         block = Block(held.column(3)[0].as_py(), _list(held.column(2), 0))
-        mine = _list(held.column(1), 0).astype(np.float64)
+        told = pa.compute.is_valid(right.column("places"))
+        mine = _wanted(_list(held.column(1), 0), right.filter(told)).astype(np.float64)
+        right = right.filter(pa.compute.invert(told))
         counts = np.zeros((2, 0))
         if right.num_rows:
             order = np.argsort(right.column("bucket").to_numpy())
@@ -290,24 +254,14 @@ def score(docs: DataFrame, is_target: Column, id_col: str = "doc_id", text_col:
                          *[pa.array(x, mask=none) for x in (mean[0], mean[1], mean[0] - mean[1])]], names=names)
 
     texts = blocks.select("block", "wanted", "lengths", "text", "ids")
-    return texts.groupBy("block").cogroup(answers.select("block", "bucket", "counts").groupBy("block")).applyInArrow(
+    replies = answers.select("block", "bucket", "counts", F.lit(None).cast("array<int>").alias("places")).unionByName(
+        marks.select("block", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("counts"), "places"))
+    return texts.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
         judge, f"doc_id {id_type}, n_tokens long, target_loss double, background_loss double, difference double")
 
 
-#: Ids of target documents that are broadcast, so that no text is shuffled; a
-#: longer list is joined by shuffling both sides. Two million take about 50 MB.
-BROADCAST_IDS = 2_000_000
-
-
-def mark(docs: DataFrame, ids: DataFrame, flag: str, limit: int = BROADCAST_IDS) -> DataFrame:
-    """``docs`` with a column ``flag``: whether the doc_id is one of ``ids``."""
-    ids = ids.where("doc_id is not null").select("doc_id").distinct()
-    side = F.broadcast(ids) if ids.count() <= limit else ids
-    return docs.join(side.withColumn(flag, F.lit(True)), "doc_id", "left")
-
-
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target: the texts labelled good and not toxic."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    good = read_table(spark, sf_dir, "labels").where("quality = 1 and coalesce(toxic, 0) = 0")
-    return score(mark(docs, good, "good"), F.col("good"))
+    good = read_table(spark, sf_dir, "labels").where("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id")
+    return score(docs, F.lit(False), target_ids=good)

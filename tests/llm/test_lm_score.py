@@ -28,6 +28,7 @@ def plain(texts, wanted):
         return words, pairs, contexts
 
     target, total = counts([t for t, w in zip(tokens, wanted) if w]), counts(tokens)
+    vocabulary = len(total[0])
     scale = sum(target[0].values()) / sum(total[0].values())
 
     def loss(text, model, scale, counted):
@@ -39,7 +40,7 @@ def plain(texts, wanted):
         size = scale * (sum(model[0].values()) - (len(t) if counted else 0))
         out = 0.0
         for i, w in enumerate(t):
-            chance = (words.get(w, 0) + 1) / (size + lm.WORDS)
+            chance = (words.get(w, 0) + 1) / (size + vocabulary)
             if i:
                 c = contexts.get(t[i - 1], 0)
                 chance = (min(pairs.get(p[i - 1], 0), c) + lm.SMOOTHING * chance) / (c + lm.SMOOTHING)
@@ -79,21 +80,16 @@ def test_no_target_no_rows_and_repeats(spark, docs_of):
     assert lm.score(docs_of([]), F.lit(True)).count() == 0
 
 
-def test_counts_cover_every_token(docs_of, prose):
-    texts = [prose(30 + i, seed=i) for i in range(25)]
-    target, total = lm.count(docs_of(list(enumerate(texts))), F.col("doc_id") < 5)
-    words = slice(lm.PAIRS, lm.PAIRS + lm.WORDS)
-    assert total[words].sum() == sum(len(t.split()) for t in texts) and target[words].sum() == sum(len(t.split()) for t in texts[:5])
-    assert total[lm.PAIRS + lm.WORDS:].sum() == total[words].sum() - len(texts)
-    assert np.all(target <= total)
-
-
-def test_marking_with_and_without_broadcast(spark, docs_of):
-    docs = docs_of([(1, "a"), (2, "b"), (None, "c"), (1, "a")])
-    ids = spark.createDataFrame([(1,), (1,), (None,), (7,)], "doc_id long")
-    for limit in (0, 10):
-        rows = lm.mark(docs, ids, "hit", limit).collect()
-        assert sorted((str(r.doc_id), r.hit) for r in rows) == [("1", True), ("1", True), ("2", None), ("None", None)]
+def test_target_ids_and_flags_give_equal_scores(spark, docs_of, prose, monkeypatch):
+    """Over many blocks; null, repeated and unknown ids mark nothing more."""
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 1 << 12)
+    docs = docs_of([(i % 50, prose(30, seed=i)) for i in range(60)] + [(None, "a b c"), (90, None)])
+    ids = spark.createDataFrame([(i,) for i in (3, 3, 9, 17, 40, 999, None)], "good long")
+    by_flag = lm.score(docs, F.col("doc_id").isin(3, 9, 17, 40)).collect()
+    by_ids = lm.score(docs, F.lit(False), target_ids=ids).collect()
+    assert sorted(map(str, by_flag)) == sorted(map(str, by_ids)) and len(by_ids) == 62
+    none = lm.score(docs, F.lit(False), target_ids=ids.where("good = 999")).collect()
+    assert all(r.difference is None or r.difference == pytest.approx(0) for r in none)
 
 
 def test_rare_words_keep_their_own_counts(spark, docs_of, monkeypatch):
@@ -110,7 +106,7 @@ def test_rare_words_keep_their_own_counts(spark, docs_of, monkeypatch):
         contexts.update(t[:-1])
     target = Counter(w for t in tokens[:10] for w in t), Counter(p for t in tokens[:10] for p in zip(t, t[1:])), Counter(w for t in tokens[:10] for w in t[:-1])
     scale = sum(target[0].values()) / sum(words.values())
-    vocabulary = max(lm.WORDS, len(words))
+    vocabulary = len(words)
     rows = {r.doc_id: r for r in lm.score(docs_of(list(enumerate(texts))), F.col("doc_id") < 10).collect()}
     assert len(rows) == len(texts) and rows[61].n_tokens == 0 and rows[61].difference is None
     for i in (0, 9, 10, 59, 60):
