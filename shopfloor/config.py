@@ -21,6 +21,8 @@ SILVER_PRODUCTS = f"{SILVER}.silver_products"
 SILVER_STORES = f"{SILVER}.silver_stores"
 SILVER_SALES = f"{SILVER}.silver_sales_transaction"
 SILVER_RETURNS = f"{SILVER}.silver_returns_transaction"
+# Sales that passed the referential checks, with names: kept while a refresh runs.
+CHECKED_SALES = f"{SILVER}._checked_sales"
 
 GOLD_FACTS = f"{GOLD}.gold_denormalized_sales_facts"
 GOLD_DAILY_STORE = f"{GOLD}.gold_daily_sales_by_store"

@@ -16,11 +16,23 @@ Range partitioning samples its input in a separate pass before the shuffle,
 so an expensive input (an aggregate over all facts) would be computed twice.
 ``checkpoint_input`` materializes it once first; inputs that are cheap to
 recompute (a plain scan, a previous ranking) skip that.
+
+Tiles alone need no row numbers: a tile ends at one row, so NTILE(5) of a
+metric is four cut rows. ``ntile_keys`` finds them by counting. Each cut is
+held between two rows whose positions are counted exactly; a hash sample of
+the rows between them gives two nearer ones, until few rows are left, which
+are sorted. A round reads a sample and one aggregate of counts, for all cuts of
+all metrics at once, and leaves about a twentieth of the rows between; nothing
+is shuffled, sorted or stored, and the tiles are a projection that compares
+each row with the cuts. The driver sees at most about ``_SAMPLE`` rows a cut,
+whatever the size.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -68,18 +80,107 @@ def ntile_of(rank: Column, total: Column, buckets: int) -> Column:
             .otherwise(int_div(rank - 1 - big, F.greatest(size, F.lit(1))) + rem + 1)).cast("int")
 
 
-def ntile_keys(df: DataFrame, keys: Sequence[str], buckets: int, metrics: dict[str, Column]) -> DataFrame:
+# Rows sampled between the two bounds of a cut, and left there to be sorted.
+_SAMPLE = 8192
+# Rounds leave about a twentieth each: this many serve any count of different rows.
+_ROUNDS = 24
+
+
+@dataclass
+class _Cut:
+    """The row at ``position`` of a metric's ordering lies above ``low`` (which
+    ``below`` rows do not exceed) and at or below ``high`` (``upto`` rows)."""
+    metric: int
+    position: int
+    below: int
+    upto: int
+    low: tuple | None = None
+    high: tuple | None = None
+
+    @property
+    def between(self) -> int:
+        return self.upto - self.below
+
+    def narrow(self, row: tuple, upto: int) -> None:
+        """``upto`` rows do not exceed ``row``."""
+        if self.position <= upto <= self.upto:
+            self.high, self.upto = row, upto
+        elif self.below <= upto < self.position:
+            self.low, self.below = row, upto
+
+
+def _spark_order(row: tuple) -> tuple:
+    """Sort key of a collected row: NULL first, NaN last, as Spark orders them."""
+    return tuple((0, 0) if v is None else (2, 0) if isinstance(v, float) and math.isnan(v) else (1, v) for v in row)
+
+
+def ntile_keys(df: DataFrame, keys: Sequence[str], buckets: int, metrics: dict[str, Column], *,
+               sample: int = _SAMPLE) -> DataFrame:
     """``df`` with one NTILE column per entry of ``metrics`` (name -> ordering
-    of a metric; ties by the keys, which must be unique and not NULL). Only the
-    keys and the one metric travel through each ranking; the tiles come back
-    by a join on the keys."""
-    ties = [F.col(k).asc() for k in keys]
-    out = df
-    for name, order in metrics.items():
-        narrow = df.select(*keys, order.alias("_metric"))
-        tiles = ntile(narrow, buckets, [F.col("_metric").asc(), *ties], name)
-        out = out.join(tiles.select(*keys, name), list(keys))
-    return out
+    of a metric, ascending, NULL first; ties by the keys, which must be unique).
+    ``df`` is read a few times: store it first if it is dear or may change."""
+    ranks = [F.struct(order.alias("_metric"), *[F.col(k) for k in keys]) for order in metrics.values()]
+    flat = df.select(*[rank.alias(f"_r{i}") for i, rank in enumerate(ranks)])
+    total = flat.count()
+    size, rest = divmod(total, buckets)
+    cuts = [_Cut(i, j * size + min(j, rest), 0, total) for i in range(len(ranks)) for j in range(1, buckets)]
+    if total:
+        _narrow(flat, cuts, sample)
+    types = [f.dataType for f in flat.schema.fields]
+
+    def tile(i: int) -> Column:
+        ends = [_literal(cut.high, types[i]) for cut in cuts if cut.metric == i and cut.high is not None]
+        return sum([(ranks[i] > end).cast("int") for end in ends], F.lit(1))
+
+    return df.select("*", *[tile(i).alias(name) for i, name in enumerate(metrics)])
+
+
+def _literal(row: tuple, rank) -> Column:
+    return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, rank.fields)])
+
+
+def _narrow(flat: DataFrame, cuts: list[_Cut], sample: int) -> None:
+    """Bring ``high`` of every cut to the row at its position."""
+    types = [f.dataType for f in flat.schema.fields]
+
+    def upto(cut: _Cut, row: tuple) -> Column:
+        return F.col(f"_r{cut.metric}") <= _literal(row, types[cut.metric])
+
+    def inside(cut: _Cut) -> Column:
+        found = F.lit(True) if cut.high is None else upto(cut, cut.high)
+        return found if cut.low is None else found & ~upto(cut, cut.low)
+
+    def rows_of(open_cuts: list[_Cut], chosen: list[Column]) -> list[list[tuple]]:
+        """Per cut the rows its condition chooses, in order."""
+        marks = F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in enumerate(chosen)]), lambda m: m.isNotNull())
+        found: list[list[tuple]] = [[] for _ in open_cuts]
+        for row in flat.withColumn("_cuts", marks).where(F.size("_cuts") > 0).collect():
+            for n in row["_cuts"]:
+                found[n].append(tuple(row[f"_r{open_cuts[n].metric}"]))
+        return [sorted(rows, key=_spark_order) for rows in found]
+
+    for turn in range(_ROUNDS):
+        wide = [cut for cut in cuts if cut.between > sample]
+        if not wide:
+            break
+        draw = [inside(cut) & (F.pmod(F.xxhash64(f"_r{cut.metric}", F.lit(turn)), F.lit(-(-cut.between // sample))) == 0)
+                for cut in wide]
+        tried = []
+        for cut, rows in zip(wide, rows_of(wide, draw)):
+            if rows:
+                # Where the position falls in the sample, give or take four standard errors.
+                place = (cut.position - cut.below) * len(rows) / cut.between
+                slack = 2 * math.sqrt(len(rows)) + 1
+                near = {max(0, int(place - slack)), min(len(rows) - 1, int(place + slack))}
+                tried += [(cut, rows[n]) for n in sorted(near)]
+        if tried:
+            counts = flat.agg(*[F.count_if(upto(cut, row)).alias(f"_{n}") for n, (cut, row) in enumerate(tried)]).first()
+            for (cut, row), count in zip(tried, counts):
+                cut.narrow(row, count)
+    else:
+        raise ValueError("rows do not get fewer: the keys are not unique")
+    for cut, rows in zip(cuts, rows_of(cuts, [inside(cut) for cut in cuts])):
+        cut.high = rows[cut.position - cut.below - 1]
 
 
 def ntile(df: DataFrame, buckets: int, order: Sequence[Column], out: str,

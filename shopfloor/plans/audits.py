@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..config import KEYS
 from ..functions import rules
-from ..operators.ranking import ntile
+from ..operators.ranking import ntile_keys
 from ..session import configure
 from ..sources import fixtures, landing
 from ..sources.tables import ParquetTables
@@ -40,7 +40,7 @@ def w4_ntile_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """NTILE(5) over all orders by price (desc) without a single-task window."""
     configure(spark)
     orders = ParquetTables(spark, sf_dir).table("orders").select("o_orderkey", "o_totalprice")
-    return ntile(orders, 5, [F.col("o_totalprice").desc(), F.col("o_orderkey").asc()], "price_tile")
+    return ntile_keys(orders, ["o_orderkey"], 5, {"price_tile": -F.col("o_totalprice")})
 
 
 def d1_d2_amount_tax(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,22 +19,31 @@ FACT_COLUMNS = [
     "product_category", "store_id", "store_name", "quantity", "unit_price", "total_amount",
     "payment_method", "discount_applied", "tax_amount",
 ]
-
-
-def denormalized(sales: DataFrame, customers_cur: DataFrame, products_cur: DataFrame,
-                 stores_cur: DataFrame) -> DataFrame:
-    """G1: sales joined (inner) to the current dimensions, pruned and aliased
-    for BI (J4-J6, P13). No broadcast hint: dimensions grow with the data;
-    the planner broadcasts a side only when its estimated or (adaptive)
-    measured size is under the threshold, else it shuffles and splits skew."""
+#: What ``with_names`` adds to a sale.
+DIMENSION_NAMES = ["store_name", "customer_name", "product_name", "product_category"]
+
+
+def with_names(sales: DataFrame, customers_cur: DataFrame, products_cur: DataFrame,
+               stores_cur: DataFrame) -> DataFrame:
+    """Sales joined (inner) to the current dimensions (J4-J6), with the names
+    that G1 shows. A current dimension holds one row a key, so exactly the rows
+    of the referential checks J1-J3 stay. No broadcast hint: dimensions grow
+    with the data; the planner broadcasts a side only when its estimated or
+    (adaptive) measured size is under the threshold, else it shuffles and
+    splits skew."""
     stores = stores_cur.select("store_id", F.col("name").alias("store_name"))
     customers = customers_cur.select("customer_id", F.col("name").alias("customer_name"))
     products = products_cur.select("product_id", F.col("name").alias("product_name"),
                                    F.col("category").alias("product_category"))
     return (sales.join(stores, "store_id", "inner")
             .join(customers, "customer_id", "inner")
-            .join(products, "product_id", "inner")
-            .select(*FACT_COLUMNS))
+            .join(products, "product_id", "inner"))
+
+
+def denormalized(sales: DataFrame, customers_cur: DataFrame, products_cur: DataFrame,
+                 stores_cur: DataFrame) -> DataFrame:
+    """G1: the named sales, pruned and aliased for BI."""
+    return with_names(sales, customers_cur, products_cur, stores_cur).select(*FACT_COLUMNS)
 
 
 def daily_by_store(facts: DataFrame, window_start: str | None = None) -> DataFrame:
@@ -110,7 +119,7 @@ def customer_lifetime_value(facts: DataFrame, as_of: date, score_order: str = "r
     """
     checkpoint_dir(facts.sparkSession)
     # The aggregate reads all facts: store it once (a row per customer), as
-    # three rankings and the result read it.
+    # finding the cuts and the result read it.
     spend = customer_spend(facts, as_of).checkpoint(eager=True)
     up = -1 if score_order == "best_high" else 1
     scored = ntile_keys(spend, ["customer_id", "customer_name"], 5, {

@@ -88,27 +88,23 @@ def run_batch(spark: SparkSession, feeds: dict, store: TableStore, params: C.Par
     current = {e: scd2.current(store.read(n)) for e, n in silver_names.items()}
     sales = store.read(C.BRONZE_SALES)
 
-    def body() -> DataFrame:
-        return silver_plan.sales_body(sales, current["stores"], current["customers"], current["products"])
-
+    # The sales meet the dimensions once: the inner joins keep what the referential
+    # checks keep and bring the names along. K1, K2 and G1 read the stored result.
     observations: dict = {}
+    named = gold_plan.with_names(silver_plan.sales_body(sales, None, None, None), current["customers"],
+                                 current["products"], current["stores"])
+    store.write(_observed(named, "sales_cleaned", silver_plan.SALES_RULES, observations), C.CHECKED_SALES)
+    checked = store.read(C.CHECKED_SALES)
+    unnamed = checked.drop(*gold_plan.DIMENSION_NAMES)
+    facts = silver_plan.silver_sales(checked).select(*gold_plan.FACT_COLUMNS)
+    _together(
+        lambda: store.write(_by_time(facts, "event_time", FACT_PARTITION), C.GOLD_FACTS, partition_by=[FACT_PARTITION]),
+        lambda: store.write(_observed(silver_plan.sales_body_k1(unnamed), "silver_sales", silver_plan.FACT_RULES,
+                                      observations), C.SILVER_SALES),
+        lambda: store.write(_observed(silver_plan.returns_body_k2(unnamed), "silver_returns", silver_plan.FACT_RULES,
+                                      observations), C.SILVER_RETURNS))
+    store.drop(C.CHECKED_SALES)  # nothing reads it any more
 
-    def kept_sales() -> None:
-        # One pass of the checked sales counts the C4 rules and writes K1.
-        checked = _observed(body(), "sales_cleaned", silver_plan.SALES_RULES, observations)
-        store.write(_observed(silver_plan.sales_body_k1(checked), "silver_sales", silver_plan.FACT_RULES, observations),
-                    C.SILVER_SALES)
-
-    def returns() -> None:
-        # quantity < 0 reaches the scan: few rows are joined again.
-        store.write(_observed(silver_plan.returns_body_k2(body()), "silver_returns", silver_plan.FACT_RULES,
-                              observations), C.SILVER_RETURNS)
-
-    _together(kept_sales, returns)
-
-    facts = gold_plan.denormalized(store.read(C.SILVER_SALES), current["customers"], current["products"],
-                                   current["stores"])
-    store.write(_by_time(facts, "event_time", FACT_PARTITION), C.GOLD_FACTS, partition_by=[FACT_PARTITION])
     stored_facts = store.read(C.GOLD_FACTS).drop(FACT_PARTITION)
     daily = gold_plan.daily_by_store(stored_facts)
     _together(

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import COMMENTS, CURRENT_VIEWS
-from . import scd2_table
+from . import files, scd2_table
 from .tables import local_rows
 from .versions import VersionedTable
 
@@ -53,6 +53,10 @@ class TableStore:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self.path(name)}/batch_id={batch_id}")
 
+    def drop(self, name: str) -> None:
+        """Remove a stored table's folder."""
+        files.delete(self.spark, self.path(name))
+
     def versioned(self, name: str, log: str | None = None) -> VersionedTable:
         """A table whose folders a manifest names; its log may have a name of its own."""
         return VersionedTable(self.spark, self.path(name), {"log": self.path(log)} if log else None)

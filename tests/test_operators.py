@@ -48,6 +48,40 @@ def test_ntile_keys_ranks_narrow_rows(spark):
     assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, native.collect()))
 
 
+@pytest.mark.parametrize("n,sample", [(0, 8), (1, 8), (4, 8), (5, 8), (37, 8), (3000, 40), (20000, 500)])
+def test_ntile_cuts_equal_ntile_at_any_sample(spark, n, sample):
+    """Cuts found in several rounds: nearly all ties, all different, text, NULL, NaN and signed zero."""
+    from shopfloor.operators.ranking import ntile_keys
+    i = F.col("id")
+    df = spark.range(n).select(
+        i.alias("k"), F.concat(F.lit("n"), i % 3).alias("name"),
+        F.when(i % 10 != 0, 1).otherwise(i % 4).alias("ties"), (F.xxhash64(i) / 1e6).alias("free"),
+        F.when(i % 5 == 0, F.lit(None)).when(i % 7 == 0, F.lit("nan").cast("double")).when(i % 2 == 0, -0.0).otherwise(0.0).alias("odd"),
+        F.when(i % 3 == 0, F.lit(None)).otherwise(F.hex(F.xxhash64(i))).alias("text"), F.lit(7).alias("same"))
+    metrics = ["ties", "free", "odd", "text", "same"]
+    ours = ntile_keys(df, ["k", "name"], 5, {f"t_{m}": F.col(m) for m in metrics}, sample=sample)
+    native = df
+    for m in metrics:
+        native = native.withColumn(f"t_{m}", F.ntile(5).over(Window.orderBy(m, "k", "name")))
+    tiles = ["k", *[f"t_{m}" for m in metrics]]
+    assert sorted(map(tuple, ours.select(*tiles).collect())) == sorted(map(tuple, native.select(*tiles).collect()))
+    assert ours.schema[-1].dataType == native.schema[-1].dataType
+
+
+def test_ntile_cuts_move_no_rows(spark):
+    """The tiles are a projection: no exchange, sort or join in the plan."""
+    from shopfloor.operators.ranking import ntile_keys
+    plan = ntile_keys(spark.range(5000), ["id"], 5, {"t": F.col("id") % 9}, sample=50)._jdf.queryExecution().toString()
+    assert not any(step in plan for step in ("Exchange", "Sort", "Join"))
+
+
+def test_ntile_cuts_refuse_repeated_keys(spark):
+    from shopfloor.operators.ranking import ntile_keys
+    same = spark.range(400).select(F.lit(1).alias("k"))
+    with pytest.raises(ValueError, match="not unique"):
+        ntile_keys(same, ["k"], 2, {"t": F.lit(0)}, sample=10)
+
+
 def test_global_row_number_dense_and_total(spark):
     df = spark.range(1000).select((F.col("id") * 31 % 1000).alias("v"))
     out = global_row_number(df, [F.col("v")], partitions=6)
