@@ -4,7 +4,7 @@
 Each attribute is one logical plan that Catalyst optimizes end to end (a
 dashboard query over ``gold_facts`` prunes and pushes its filters down to the
 landing scans). Two steps run a job while a plan is built: an SCD2 dimension
-counts its keys to find the hot ones, and RFM scores number the customers.
+counts its keys to find the hot ones, and RFM scores look for their cut rows.
 
 ``run_batch`` materializes the datasets in dependency order (full refresh,
 T6): every table is written to a new run folder and then published, so a
