@@ -37,12 +37,24 @@ MARGIN_BYTES = 4
 
 #: Word characters that are neither letters nor decimal digits: superscripts, fractions, Roman numerals and other number signs.
 _NUMBER_SIGNS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_NOT_LETTERS = re.compile(rf"[\W\d_{_NUMBER_SIGNS}]+")
+_SPACED = dict.fromkeys(map(ord, _NUMBER_SIGNS), " ")
+#: Finds a number sign or any character beyond U+FFFF. Those are one range: a
+#: class tries what it holds beyond U+FFFF one by one for every character.
+_MAYBE_NUMBER_SIGN = re.compile(f"[{''.join(c for c in _NUMBER_SIGNS if c <= '\uffff')}\U00010000-\U0010ffff]")
+_NOT_LETTERS = re.compile(r"[\W\d_]+")
+_NOT_ASCII_LETTERS = re.compile("[^a-z]+")
 
 
 def letters(text: str | None) -> str:
     """Lower-case words of letters, joined by single spaces."""
-    return _NOT_LETTERS.sub(" ", text.lower()).strip() if text else ""
+    if not text:
+        return ""
+    low = text.lower()
+    if low.isascii():
+        return _NOT_ASCII_LETTERS.sub(" ", low).strip()
+    if _MAYBE_NUMBER_SIGN.search(low):
+        low = low.translate(_SPACED)
+    return _NOT_LETTERS.sub(" ", low).strip()
 
 
 def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> dict[str, bytes]:

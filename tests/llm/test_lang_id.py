@@ -1,3 +1,6 @@
+import re
+import sys
+import time
 import zlib
 
 import pytest
@@ -81,3 +84,22 @@ def test_long_texts_and_copies_fill_the_dictionary(spark):
 
 def test_number_signs_are_no_letters():
     assert [lang_id.letters(t) for t in ("\u00b2", "\u00bd 5", "\u2167", "x\u00b2y", "\u00aa\u00e9")] == ["", "", "", "x y", "\u00aa\u00e9"]
+
+
+def test_letters_of_every_character():
+    for c in map(chr, range(sys.maxunicode + 1)):
+        low = f"a{c}b".lower()
+        assert lang_id.letters(f"a{c}b") == " ".join("".join(x if x.isalpha() else " " for x in low).split()), hex(ord(c))
+
+
+@pytest.mark.parametrize("text", ["some plain words, and 12 more ", "été über mañana, 12 "])
+def test_number_signs_cost_no_scan_a_character(text):
+    def seconds(run):
+        best = 9.0
+        for _ in range(5):
+            began = time.perf_counter()
+            run(text * 3000)
+            best = min(best, time.perf_counter() - began)
+        return best
+    plain = re.compile(r"[\W\d_]+")
+    assert seconds(lang_id.letters) < 4 * seconds(lambda t: plain.sub(" ", t.lower()).strip())
