@@ -28,8 +28,9 @@ out. They are checkpointed once and every branch reads that one table.
 
 The change log of cold keys is shuffled once, on the key: the de-duplication
 and every window run on that partitioning and on its one sort by (key,
-sequence). With hot keys, replays of a (key, sequence) are first combined
-map-side, then one shuffle on (key, chunk) serves the windows.
+sequence). With hot keys it is shuffled on the key to meet the bounds, then
+once on (key, chunk): the de-duplication, the summaries, the windows and the
+join with the summaries all run on that shuffle.
 """
 
 from __future__ import annotations
@@ -69,10 +70,9 @@ def chunk_bounds(rows: DataFrame, keys: list[str], seq: str, hot_rows: int) -> D
     None if there is no such key. The sample of a key holds about ``_SAMPLED``
     sequence numbers for every ``hot_rows`` rows."""
     checkpoint_dir(rows.sparkSession)
-    hot = rows.groupBy(*keys).count().where(F.col("count") > hot_rows).select(*keys)
+    hot = rows.groupBy(*keys).count().where(F.col("count") > hot_rows).select(*keys).checkpoint(eager=True)
     if hot.isEmpty():
         return None
-    hot = hot.checkpoint(eager=True)
     step = max(1, hot_rows // _SAMPLED)
     per_chunk = max(1, hot_rows // step)
     spot = F.pmod(F.xxhash64(*keys, seq, F.lit("chunk")), F.lit(step))
@@ -98,6 +98,77 @@ def _assign_chunks(rows: DataFrame, keys: list[str], seq: str, bounds: DataFrame
     return rows.join(bounds, keys, "left").withColumn(_CHUNK, chunk).drop("_bounds", "_coarse")
 
 
+def _across_chunks(scanned: DataFrame, keys: list[str], seq: str, cols: list[str], tracked: list[str],
+                   ignore_nulls: bool) -> DataFrame:
+    """Per chunk of a hot key, what its rows need of the other chunks: the
+    values left by the chunks before (``_carry_``) and by the whole key
+    (``_final_``), the next version start in a later chunk (``_next_chunk``) and
+    the values left just before it (``_ncp_``). The change log is read once.
+
+    Only few rows of a chunk can be its first version start: its first row, the
+    first one that differs from a value of its own chunk, and the first non-NULL
+    one of each tracked column. They are kept with the values before them, and
+    which of them opens a version is decided once the carried values are known."""
+    q = _quote
+    part = [*keys, _CHUNK]
+
+    def before(c):
+        return q("_plf_" + c)
+
+    def met(c):
+        return f"({before(c)} IS NULL AND {q('_lf_' + c)} IS NOT NULL)"
+
+    if ignore_nulls:
+        changed = " OR ".join(f"({before(c)} IS NOT NULL AND NOT ({q('_lf_' + c)} <=> {before(c)}))" for c in tracked)
+    else:
+        changed = " OR ".join(f"NOT ({q('_lf_' + c)} <=> {before(c)})" for c in tracked)
+    spot = ", ".join([f"{q(seq)} AS at", *[f"{q('_lf_' + c)} AS {q('v_' + c)}" for c in cols], *[f"{before(c)} AS {q('p_' + c)}" for c in cols]])
+    kinds = {"_c_first": "_first", "_c_own": f"NOT _first AND ({changed or 'false'})"}
+    if ignore_nulls:
+        kinds |= {f"_c_met_{c}": met(c) for c in tracked}
+    # Key and chunk come back as aggregates: a filter on them stays above the
+    # grouping, so that both readers of the change log share its one shuffle.
+    chunks = scanned.groupBy(*[F.col(q(c)).alias(f"_g{i}") for i, c in enumerate(part)]).agg(
+        *[F.max(q(c)).alias(c) for c in part],
+        *[F.expr(f"min_by(struct({spot}), {q(seq)}) FILTER (WHERE {when})").alias(name) for name, when in kinds.items()],
+        *[F.expr(f"max_by({q('_lf_' + c)}, {q(seq)})").alias(f"_x_{c}") for c in cols]).where(F.col(_CHUNK) > 0)
+
+    over = "(PARTITION BY " + ", ".join(q(k) for k in keys) + f" ORDER BY {q(_CHUNK)}"
+    out = [q(c) for c in [*part, *kinds]] + [f"lag({q(_CHUNK)}) OVER {over}) IS NOT NULL AS _has_prior"]
+    for c in cols:
+        x = q("_x_" + c)
+        carry = f"last({x}, true) OVER {over} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)" if ignore_nulls else f"lag({x}) OVER {over})"
+        out += [f"{carry} AS {q('_carry_' + c)}",
+                f"last({x}, {str(ignore_nulls).lower()}) OVER {over} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS {q('_final_' + c)}"]
+    carried = chunks.selectExpr(*out)
+
+    def start(name, opens):
+        """The kept row ``name``, if it opens a version, with the values left before it."""
+        def left(c):
+            own, carry = f"{q(name)}.{q('p_' + c)}", q("_carry_" + c)
+            if ignore_nulls:
+                return f"coalesce({own}, {carry})"
+            return carry if name == "_c_first" else own
+        fields = ", ".join([f"{q(name)}.at AS at", *[f"{left(c)} AS {q('p_' + c)}" for c in cols]])
+        return f"CASE WHEN {q(name)} IS NOT NULL AND ({opens}) THEN struct({fields}) END"
+
+    def moved(name, columns):
+        return " OR ".join(f"NOT ({q(name)}.{q('v_' + c)} <=> {q('_carry_' + c)})" for c in columns) or "false"
+
+    starts = [start("_c_own", "true")]
+    starts.append(start("_c_first", "NOT _has_prior OR " + ("false" if ignore_nulls else moved("_c_first", tracked))))
+    if ignore_nulls:
+        starts += [start(f"_c_met_{c}", moved(f"_c_met_{c}", [c])) for c in tracked]
+    earliest = f"array_min(filter(array({', '.join(starts)}), s -> s IS NOT NULL))"
+    opened = carried.selectExpr(*[q(c) for c in [*part, "_has_prior"]], *[q(f"_{k}_{c}") for k in ("carry", "final") for c in cols],
+                                f"{earliest} AS _start")
+    back = over + " DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    told = opened.selectExpr("*", f"last(_start, true) OVER {back} AS _following")
+    return told.selectExpr(
+        *[q(c) for c in [*part, "_has_prior"]], "true AS _hot", *[q(f"_{k}_{c}") for k in ("carry", "final") for c in cols],
+        "_following.at AS _next_chunk", *[f"_following.{q('p_' + c)} AS {q('_ncp_' + c)}" for c in cols])
+
+
 def scd2(
     changes: DataFrame,
     keys: Sequence[str],
@@ -124,8 +195,10 @@ def scd2(
         rows = (dedupe_sequence(base.repartition(*part), keys, seq, cols)
                 .withColumn(_CHUNK, F.lit(0)))
     else:
+        # This shuffle is the last of the change log: whatever follows is on (key, chunk).
         part = [*keys, _CHUNK]
-        rows = dedupe_sequence(_assign_chunks(base, keys, seq, bounds), part, seq, cols)
+        chunked = _assign_chunks(base, keys, seq, bounds).select(*part, seq, *cols)
+        rows = dedupe_sequence(chunked.repartition(*part), part, seq, cols)
 
     q = _quote
     kp = ", ".join(q(c) for c in part)
@@ -149,24 +222,7 @@ def scd2(
     scanned = rows.selectExpr(*local)
 
     if hot:
-        # Per-chunk summary of hot keys: what the chunk leaves behind.
-        if ignore_null_updates:
-            leave = [f"max_by({q(c)}, {nn.format(c=q(c))}) AS {q('_x_' + c)}" for c in cols]
-        else:
-            leave = [f"max_by({q(c)}, {q(seq)}) AS {q('_x_' + c)}" for c in cols]
-        summary = rows.where(F.col(_CHUNK) > 0).groupBy(*part).agg(*[F.expr(e) for e in leave])
-        oc = f"(PARTITION BY {ks} ORDER BY {q(_CHUNK)}"
-        out = [q(c) for c in part]
-        for c in cols:
-            x = q("_x_" + c)
-            if ignore_null_updates:
-                out += [f"last({x}, true) OVER {oc} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS {q('_carry_' + c)}",
-                        f"last({x}, true) OVER {oc} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS {q('_final_' + c)}"]
-            else:
-                out += [f"lag({x}) OVER {oc}) AS {q('_carry_' + c)}",
-                        f"last({x}) OVER {oc} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS {q('_final_' + c)}"]
-        out += [f"lag({q(_CHUNK)}) OVER {oc}) IS NOT NULL AS _has_prior", "true AS _hot"]
-        scanned = scanned.join(summary.selectExpr(*out), part, "left")
+        scanned = scanned.join(_across_chunks(scanned, keys, seq, cols, tracked, ignore_null_updates), part, "left")
 
         def filled(c):
             return (f"coalesce({q('_lf_' + c)}, {q('_carry_' + c)})" if ignore_null_updates
@@ -199,22 +255,12 @@ def scd2(
         *[f"{previous(c)} AS {q('_p_' + c)}" for c in cols],
         *[f"{final(c)} AS {q('_k_' + c)}" for c in cols],
         f"NOT {has_prev} OR {differs} AS _open",
+        *(["_next_chunk", *[q("_ncp_" + c) for c in cols]] if hot else []),
     ).where("_open")
 
     versions = starts.selectExpr(
         "*", f"lead({q(seq)}) OVER {w}) AS _next_local",
         *[f"lead({q('_p_' + c)}) OVER {w}) AS {q('_np_' + c)}" for c in cols])
-    if hot:
-        # First version start of every hot chunk, and the values left just before it.
-        firsts = (starts.where(F.col(_CHUNK) > 0).groupBy(*part)
-                  .agg(F.min(seq).alias("_fs"),
-                       *[F.min_by(f"_p_{c}", seq).alias(f"_fp_{c}") for c in cols]))
-        nxt = Window.partitionBy(*keys).orderBy(_CHUNK)
-        following = firsts.select(
-            *part, F.lead("_fs").over(nxt).alias("_next_chunk"),
-            *[F.lead(f"_fp_{c}").over(nxt).alias(f"_ncp_{c}") for c in cols])
-        versions = versions.join(following, part, "left")
-
     def untracked(c):
         if not hot:
             return f"CASE WHEN _next_local IS NOT NULL THEN {q('_np_' + c)} ELSE {q('_k_' + c)} END"

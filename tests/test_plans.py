@@ -64,6 +64,14 @@ def test_scd2_shuffles_the_change_log_once(spark):
     assert "SortMergeJoin" not in plan
 
 
+def test_scd2_with_hot_keys_reads_the_change_log_once(spark):
+    feed = fixtures.product_grades(ParquetTables(spark, SF_SMALL))
+    out = scd2(feed, ["product_id"], "last_update_time", ["grade", "state"], ["last_update_time"], hot_rows=12)
+    assert out.collect()
+    ran = _plan(out).split("Initial Plan")[0]
+    assert _scans(ran)["lineitem"] == 1 and "ReusedExchange" in ran
+
+
 def test_dashboard_filter_reaches_the_scan(spark, scratch):
     facts = spark.range(10).selectExpr("CAST(id AS INT) AS transaction_id",
                                        "TIMESTAMP '1997-06-01 00:00:00' AS event_time", "1.5D AS total_amount")
