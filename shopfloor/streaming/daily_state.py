@@ -34,13 +34,22 @@ COLUMNS = [c.split(" ")[0] for c in SCHEMA.split(", ")]
 
 
 def partial(facts: DataFrame) -> DataFrame:
-    """The state of some facts; a line without a time belongs to no day."""
+    """The state of some facts; a line without a time belongs to no day.
+
+    Lines become one row for each customer of a store and day before any bitmap
+    (4 KB each) is made. Bitmaps are then made in the order of (store, block,
+    day), one at a time: none is shuffled or sorted, here or where
+    ``customers_over`` unites them."""
     day = F.col("event_time").cast("date")
-    return (facts.where(day.isNotNull())
-            .groupBy(day.alias(DAY), *GROUP, F.bitmap_bucket_number("customer_id").alias("block"))
+    visits = (facts.where(day.isNotNull()).groupBy(*GROUP, day.alias(DAY), "customer_id")
+              .agg(money_sum("total_amount").cast("decimal(38,6)").alias("revenue"),
+                   F.count("transaction_id").alias("transactions"), F.sum("quantity").cast("bigint").alias("items"))
+              .withColumn("block", F.bitmap_bucket_number("customer_id")))
+    return (visits.repartition(*GROUP, "block").groupBy(*GROUP, "block", DAY)
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("customer_id")).alias("customers"),
-                 money_sum("total_amount").cast("decimal(38,6)").alias("revenue"),
-                 F.count("transaction_id").alias("transactions"), F.sum("quantity").cast("bigint").alias("items")))
+                 F.sum("revenue").cast("decimal(38,6)").alias("revenue"),
+                 F.sum("transactions").alias("transactions"), F.sum("items").alias("items"))
+            .select(COLUMNS))
 
 
 def merged(state: DataFrame) -> DataFrame:

@@ -72,6 +72,12 @@ def test_scd2_with_hot_keys_reads_the_change_log_once(spark):
     assert _scans(ran)["lineitem"] == 1 and "ReusedExchange" in ran
 
 
+def test_no_bitmap_is_shuffled_or_sorted(spark):
+    plan = _plan(QUERIES["a8_store_customers"](spark, SF_SMALL))
+    assert "bitmap_construct_agg" in plan and "bitmap_or_agg" in plan
+    assert not re.search(r"(Exchange hashpartitioning|Sort \[)[^\n]*\n[^\n]*Aggregate\([^\n]*bitmap_(construct|or)_agg", plan)
+
+
 def test_dashboard_filter_reaches_the_scan(spark, scratch):
     facts = spark.range(10).selectExpr("CAST(id AS INT) AS transaction_id",
                                        "TIMESTAMP '1997-06-01 00:00:00' AS event_time", "1.5D AS total_amount")
