@@ -23,7 +23,14 @@ RUNTIME_CONF = {
     # Timestamps written without zone (the driver tables) read as TIMESTAMP_NTZ;
     # the bronze casts turn them into session-zone timestamps.
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
+    # What a task holds in sorts and hash tables follows what it reads, so this
+    # does not grow with the tables: splits of a scan, and shuffled bytes a task.
+    "spark.sql.files.maxPartitionBytes": "32m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
 }
+#: Partitions of a shuffle at least, before adaptive execution puts small ones
+#: together: enough that none is over the advisory size up to 16 GB shuffled.
+INITIAL_PARTITIONS = 512
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -31,6 +38,10 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    wanted = max(INITIAL_PARTITIONS, shuffle_partitions(spark))
+    if int(spark.conf.get(initial, None) or 0) < wanted:
+        spark.conf.set(initial, str(wanted))
     return spark
 
 

@@ -78,6 +78,21 @@ def test_no_bitmap_is_shuffled_or_sorted(spark):
     assert not re.search(r"(Exchange hashpartitioning|Sort \[)[^\n]*\n[^\n]*Aggregate\([^\n]*bitmap_(construct|or)_agg", plan)
 
 
+@pytest.mark.parametrize("given,planned", [(2, 512), (600, 600)])
+def test_tasks_do_not_grow_with_the_tables(spark, given, planned):
+    """However few partitions a session names, adaptive execution starts from many and joins small ones."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    before = {n: spark.conf.get(n, None) for n in names}
+    try:
+        spark.conf.set(names[0], str(given))
+        plan = _plan(QUERIES["g2_daily_store"](spark, SF_SMALL))
+        assert set(re.findall(r"Exchange hashpartitioning\(.*?(\d+)\), ENSURE", plan)) == {str(planned)}
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "32m"
+    finally:
+        for n, v in before.items():
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
 def test_dashboard_filter_reaches_the_scan(spark, scratch):
     facts = spark.range(10).selectExpr("CAST(id AS INT) AS transaction_id",
                                        "TIMESTAMP '1997-06-01 00:00:00' AS event_time", "1.5D AS total_amount")
